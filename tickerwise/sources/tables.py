@@ -120,12 +120,10 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-in-time lookup requests: one per order, ticker from the order key.
 
-    The 25 brands are Brand#11 .. Brand#55; key k maps to brand index k mod 25.
+    The 25 brands are Brand#1 .. Brand#25; key k maps to Brand#(k mod 25 + 1).
     """
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    idx = F.pmod(F.col("o_orderkey"), F.lit(25))
-    ticker = F.concat(F.lit("Brand#"), (F.floor(idx / 5) + 1).cast("string"),
-                      (F.pmod(idx, F.lit(5)) + 1).cast("string"))
+    ticker = F.concat(F.lit("Brand#"), (F.pmod(F.col("o_orderkey"), F.lit(25)) + 1).cast("string"))
     return o.select(F.col("o_orderkey").alias("request_id"), ticker.alias(KEY),
                     F.col("o_orderdate").alias("event_timestamp"))
 
