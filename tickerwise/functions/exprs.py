@@ -59,16 +59,39 @@ def unit_uniform(*cols, seed: int = 42) -> Column:
     return int_mix(*cols, seed=seed).cast("double") / F.lit(float(_M))
 
 
+# ---- fixed values: erfcc coefficients (Numerical Recipes, Chebyshev fit) ----
+ERFC_COEFFS = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+               0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+# ---- end of fixed values ----
+
+
 def erfc_expr(x: Column) -> Column:
-    """erfc(x) for x >= 0 (Numerical Recipes erfcc, |rel err| < 1.2e-7)."""
+    """erfc(x) for x >= 0 (|relative error| < 1.2e-7); Spark has no erf."""
     t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * x)
-    poly = (F.lit(-1.26551223) + t * (F.lit(1.00002368) + t * (F.lit(0.37409196) + t * (
-        F.lit(0.09678418) + t * (F.lit(-0.18628806) + t * (F.lit(0.27886807) + t * (
-            F.lit(-1.13520398) + t * (F.lit(1.48851587) + t * (F.lit(-0.82215223)
-                                                              + t * F.lit(0.17087277))))))))))
+    poly = F.lit(ERFC_COEFFS[-1])
+    for c in reversed(ERFC_COEFFS[:-1]):
+        poly = F.lit(c) + t * poly
     return t * F.exp(-x * x + poly)
 
 
+def erfc_sql(x: str) -> str:
+    """DuckDB twin of :func:`erfc_expr` (same operation order)."""
+    t = f"(1.0 / (1.0 + 0.5 * ({x})))"
+    poly = repr(ERFC_COEFFS[-1])
+    for c in reversed(ERFC_COEFFS[:-1]):
+        poly = f"({c!r} + {t} * {poly})"
+    return f"({t} * exp(-({x}) * ({x}) + {poly}))"
+
+
+def ks_pvalue_sql(d: str, n: str, m: str, terms: int = 100) -> str:
+    """DuckDB twin of :func:`ks_pvalue_expr`."""
+    ne = f"(CAST({n} AS DOUBLE) * CAST({m} AS DOUBLE) / CAST({n} + {m} AS DOUBLE))"
+    lam = f"((sqrt({ne}) + 0.12 + 0.11 / sqrt({ne})) * {d})"
+    q = (f"(list_reduce(list_transform(range(1, {terms + 1}), lambda j: pow(-1.0, j - 1) * "
+         f"exp(-2.0 * j * j * {lam} * {lam})), lambda acc, x: acc + x) * 2.0)")
+    return f"(CASE WHEN {lam} < 0.001 THEN 1.0 ELSE greatest(0.0, least(1.0, {q})) END)"
+
+
 def ks_pvalue_expr(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value.
 

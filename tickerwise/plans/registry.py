@@ -32,5 +32,5 @@ def register(name: str, sql: str | None = None, digits: int | None = 6):
 def load_all() -> None:
     """Import every query module so that they register themselves."""
     from tickerwise.plans import (  # noqa: F401
-        q_bars, q_clean, q_feas, q_model,
+        q_bars, q_clean, q_feas, q_model, q_drift,
     )
