@@ -36,9 +36,12 @@ def resample_bars(trades: DataFrame, key: str, bucket, price: str, size, tiebrea
                  size.alias("Volume")))
 
 
-def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_daily(spark: SparkSession, sf_dir: str, line_filter=None) -> DataFrame:
     """Daily bars: ticker = part brand, one bar per ship date.
 
+    ``line_filter`` (a Column over lineitem columns) is applied to the scan so
+    date bounds reach the Parquet reader as pushed filters.
+
     The join to ``part`` is left to the planner: the pruned (partkey, brand)
     projection is broadcast only while it is under
     ``spark.sql.autoBroadcastJoinThreshold`` (the size check), otherwise it is
@@ -46,7 +49,9 @@ def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_quantity", "l_shipdate")
+        "l_quantity", "l_shipdate", *(["l_linestatus"] if line_filter is not None else []))
+    if line_filter is not None:
+        li = li.filter(line_filter)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     trades = li.join(part, li.l_partkey == part.p_partkey)
     return resample_bars(
