@@ -7,6 +7,7 @@ is fitted on all train rows.  Nothing loops over tickers on the driver.
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 
@@ -158,7 +159,8 @@ def reproducibility(scaled: DataFrame, features: list[str] | None = None, kind:
 def save_model(model, path: str, features: list[str], kind: str, spark=None) -> None:
     """Write the ml model plus a one-row metadata JSON next to it."""
     model.write().overwrite().save(os.path.join(path, "model"))
-    meta = {"feature_names": features, "model_type": kind}
+    meta = {"feature_names": features, "model_type": kind,
+            "trained_at": datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")}
     spark = spark or SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(
         os.path.join(path, "metadata"))

@@ -40,6 +40,26 @@ def stage(df: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
+def stage_in_order(df: DataFrame, path: str, order: str = ORDER, chunks: int = 8, files: int = 4,
+                   key: str = KEY) -> str:
+    """Write ``df`` as ``chunks`` consecutive appends covering equal spans of ``order``.
+
+    The file source replays files oldest first, so a stream reading ``path``
+    sees the data in time order chunk by chunk.  Inside a chunk the rows are
+    hash-partitioned by ``key``: all rows of one ticker in one chunk sit in
+    one file, hence in one micro-batch, and never arrive after a later chunk.
+    Only the two span bounds reach the driver.
+    """
+    lo, hi = df.agg(F.min(order).cast("date"), F.max(order).cast("date")).first()
+    span = max((hi - lo).days + 1, 1) if lo is not None else 1
+    bucket = F.floor(F.datediff(F.col(order).cast("date"), F.lit(lo)) * F.lit(chunks) / F.lit(span))
+    tagged = df.withColumn("_chunk", bucket)
+    for k in range(chunks):
+        (tagged.filter(F.col("_chunk") == k).drop("_chunk").repartition(files, key)
+         .write.mode("append").parquet(path))
+    return path
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """Stream one input table file of ``sf_dir`` (the folder is the source, filtered by file name)."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
@@ -135,10 +155,24 @@ def run_stream_online_snapshot(spark: SparkSession, view: DataFrame, ts: str = "
 def run_stream_dedup(spark: SparkSession, bars: DataFrame, delay: str = "7 days") -> DataFrame:
     """ST5: drop repeated (ticker, Date) arrivals within the watermark; the first arrival is kept."""
     path = run_dir(spark, "dedup")
-    stage(bars.withColumn("_ets", F.col(ORDER).cast("timestamp")), f"{path}/in", files=8)
-    s = (dir_stream(spark, f"{path}/in", 2).withWatermark("_ets", delay)
-         .dropDuplicatesWithinWatermark([KEY, ORDER]).drop("_ets"))
-    return _sink_append(s, path)
+    return _sink_append(dedup_stream(dir_stream(spark, stage_arrivals(bars, f"{path}/in"), 4), delay), path)
+
+
+def dedup_stream(rows: DataFrame, delay: str = "7 days") -> DataFrame:
+    return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
+            .dropDuplicatesWithinWatermark([KEY, ORDER]).drop("_ets"))
+
+
+def stage_arrivals(bars: DataFrame, path: str, seq: str = "seq") -> str:
+    """First arrivals (even ``seq``) in time order, then the re-sent rows (odd ``seq``).
+
+    Re-sent rows newer than the watermark meet the dedup state and are
+    dropped as duplicates; older ones are dropped as late.  Either way the
+    first arrival is what the sink holds.
+    """
+    stage_in_order(bars.filter(F.col(seq) % 2 == 0), path)
+    bars.filter(F.col(seq) % 2 == 1).repartition(4, KEY).write.mode("append").parquet(path)
+    return path
 
 
 # ------------------------------------------------------------------ ST6
@@ -162,7 +196,10 @@ def _rolling_update(key, pdfs, state):
         closes = list(closes)
     else:
         last_date, closes, dropped = None, [], 0
-    new = pd.concat(list(pdfs), ignore_index=True).sort_values(ORDER)
+    parts = [p for p in pdfs if len(p)]
+    if not parts:
+        return
+    new = pd.concat(parts, ignore_index=True).sort_values(ORDER)
     if last_date is not None:
         late = new[ORDER] <= last_date
         dropped += int(late.sum())
@@ -194,8 +231,7 @@ def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int = 4
     its own new bars (bounded by ``maxFilesPerTrigger``).
     """
     path = run_dir(spark, "features")
-    stage(bars.select(KEY, ORDER, "Close").withColumn("_m", F.month(ORDER)).repartition(12, "_m").drop("_m"),
-          f"{path}/in")
+    stage_in_order(bars.select(KEY, ORDER, "Close"), f"{path}/in")
     s = dir_stream(spark, f"{path}/in", max_files)
     out = s.groupBy(KEY).applyInPandasWithState(_rolling_update, FEATURE_OUT, FEATURE_STATE, "append",
                                                 GroupStateTimeout.NoTimeout)
