@@ -138,6 +138,22 @@ def lookahead_columns(schema: T.StructType, target: str = TARGET) -> list[tuple[
     return out
 
 
+def lookahead_report(df: DataFrame, key: str = KEY, target: str = TARGET) -> DataFrame:
+    """C6 as a table: per ticker, each suspicious numeric column, its keyword and non-null count.
+
+    The column list is schema metadata; the counts are one aggregate over the
+    data, so a leaky column that is empty for a ticker is visible as 0.
+    """
+    hits = lookahead_columns(df.schema, target)
+    schema = "ticker string, `column` string, keyword string, n_values bigint".replace("ticker", key, 1)
+    if not hits:
+        return df.sparkSession.createDataFrame([], schema)
+    agg = df.groupBy(key).agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, (c, _) in enumerate(hits)])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("keyword"), F.col(f"_n{i}").alias("n_values"))
+            for i, (c, k) in enumerate(hits)]
+    return agg.select(key, F.inline(F.array(*rows)))
+
+
 def feasibility_report(df: DataFrame, key: str = KEY, order: str = ORDER, label: str | None = TARGET) -> DataFrame:
     """One row per (ticker, check) for all six checks.
 

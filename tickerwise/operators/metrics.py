@@ -168,3 +168,14 @@ def metrics_long(m: DataFrame, by=(KEY,), names=("accuracy", "precision", "recal
 def round_metrics(m: DataFrame, digits: int = 6, names=("accuracy", "precision", "recall", "f1")) -> DataFrame:
     """Round metric columns (used before comparing metrics across engines)."""
     return m.withColumns({c: F.round(c, digits) for c in names})
+
+
+def prediction_diff(df: DataFrame, a: str, b: str, by=(KEY,)) -> DataFrame:
+    """Do two prediction columns agree row by row?  (rows, differing rows, identical).
+
+    Both predictions sit on the same rows, so this is one aggregate, no join;
+    a NULL on either side counts as a difference.
+    """
+    differs = ~F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    return (df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("n_diff"))
+            .withColumn("identical", F.col("n_diff") == 0))

@@ -144,3 +144,22 @@ def q_trading_calendar(spark, sf):
 def q_missing_days(spark, sf):
     """Weekdays inside each ticker's span without a bar."""
     return fz.missing_days(bars_daily(spark, sf))
+
+
+LEAKY_SQL = """lk AS (SELECT *, lead(Close) OVER (PARTITION BY ticker ORDER BY Date) AS future_price,
+  lead(Volume) OVER (PARTITION BY ticker ORDER BY Date) AS next_day_volume FROM fb)"""
+
+
+@register("lookahead_columns", f"""{FB}, {LEAKY_SQL}
+SELECT ticker, 'future_price' AS "column", 'future' AS keyword, CAST(count(future_price) AS BIGINT) AS n_values
+FROM lk GROUP BY ticker
+UNION ALL
+SELECT ticker, 'next_day_volume' AS "column", 'next' AS keyword, CAST(count(next_day_volume) AS BIGINT) AS n_values
+FROM lk GROUP BY ticker""")
+def q_lookahead_columns(spark, sf):
+    """Bars with two leaked next-bar columns; each is reported per ticker with its keyword."""
+    from tickerwise.functions.exprs import by_ticker
+    w = by_ticker()
+    fb = add_target(bars_daily(spark, sf))
+    leaky = fb.withColumns({"future_price": F.lead("Close").over(w), "next_day_volume": F.lead("Volume").over(w)})
+    return fz.lookahead_report(leaky)

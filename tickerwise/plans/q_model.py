@@ -306,3 +306,16 @@ def q_model_report(spark, sf):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+@register("prediction_diff", f"""{BASE},
+rp AS (SELECT ticker, Date, CASE WHEN returns > 0 THEN 1 ELSE 0 END AS rule_pred FROM sp)
+SELECT p.ticker, p.split, CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(count(*) FILTER (WHERE NOT coalesce(p.y_pred = r.rule_pred, false)) AS BIGINT) AS n_diff,
+  count(*) FILTER (WHERE NOT coalesce(p.y_pred = r.rule_pred, false)) = 0 AS identical
+FROM pred p JOIN rp r ON p.ticker = r.ticker AND p.Date = r.Date GROUP BY p.ticker, p.split""")
+def q_prediction_diff(spark, sf):
+    """Linear-model predictions vs the momentum rule (returns > 0), row by row, per ticker and split."""
+    sp = split_features(spark, sf).withColumn("rule_pred", F.when(F.col("returns") > 0, 1).otherwise(0))
+    scored = md.score_linear(md.standardize(sp, FEATS), FEATS)
+    return mt.prediction_diff(scored, "prediction", "rule_pred", ("ticker", "split"))

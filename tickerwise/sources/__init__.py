@@ -1,4 +1,4 @@
+from tickerwise.sources.files import read_bars_csv, write_bars, write_json_report  # noqa: F401
 from tickerwise.sources.tables import (  # noqa: F401
-    read_table, bars_daily, bars_hourly, dirty_bars, request_log, entity_requests,
-    label_predictions,
+    bars_daily, bars_hourly, dirty_bars, entity_requests, label_predictions, read_table, request_log,
 )
