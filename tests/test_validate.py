@@ -171,3 +171,24 @@ def test_freshness(spark):
     df = spark.createDataFrame([row(Date=D0)], BAR_SCHEMA)
     r = va.freshness(df, F.lit(D0 + dt.timedelta(days=8))).first()
     assert r["age_days"] == 8 and r["stale"]
+
+
+def test_union_of_reused_shuffle_keeps_one_row_per_ticker(spark, tmp_path):
+    """Regression: bars read from Parquet, self-union (re-sent rows), windows, then per-ticker joins.
+
+    With spark.sql.unionOutputPartitioning on, this plan returned two rows per
+    ticker on collect(); the session guard turns it off.
+    """
+    from tickerwise.session import apply_safe_conf
+    from tickerwise.sources import tables
+    apply_safe_conf(spark)
+    path = str(tmp_path / "bars")
+    tables.derive_bars_daily(spark, "/root/testdata/sf0.001").write.parquet(path)
+    bars = spark.read.parquet(path)
+    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("ticker").orderBy("Date")
+    b = bars.withColumn("seq", F.row_number().over(w).cast("bigint") * 2)
+    dirty = b.unionByName(b.filter(F.col("seq") % 146 == 0).withColumn("seq", F.col("seq") + 1))
+    c = cl.clean_bars(dirty)
+    j = va.bar_summary(va.integrity_filter(c)).join(va.integrity_gate(c), "ticker")
+    rows = j.collect()
+    assert len(rows) == len({r["ticker"] for r in rows}) == bars.select("ticker").distinct().count()

@@ -23,6 +23,23 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
+# Correctness guards applied to every session a query runs in (also one we
+# did not build).  With ``unionOutputPartitioning`` on (the 4.1 default) a
+# Union whose branches read one reused shuffle reports hash partitioning it
+# does not have; windows and aggregates above it then skip their exchange and
+# split a ticker over two tasks (observed: duplicated per-ticker rows and
+# "Can't zip RDDs with unequal numbers of partitions").
+SAFE_CONF = {
+    "spark.sql.unionOutputPartitioning": "false",
+}
+
+
+def apply_safe_conf(spark: SparkSession) -> SparkSession:
+    for k, v in SAFE_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickerwise", extra: dict | None = None) -> SparkSession:
@@ -30,7 +47,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **SAFE_CONF}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -38,6 +55,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    apply_safe_conf(spark)
     checkpoint_dir(spark)
     return spark
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerwise.schema import KEY, ORDER
+from tickerwise.sources.reuse import reuse
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,12 @@ def resample_bars(trades: DataFrame, key: str, bucket, price: str, size, tiebrea
 
 
 def bars_daily(spark: SparkSession, sf_dir: str, line_filter=None) -> DataFrame:
+    """Daily bars (see :func:`derive_bars_daily`), built once per query inside ``shared_inputs``."""
+    key = ("bars_daily", sf_dir, None if line_filter is None else str(line_filter))
+    return reuse(key, lambda: derive_bars_daily(spark, sf_dir, line_filter))
+
+
+def derive_bars_daily(spark: SparkSession, sf_dir: str, line_filter=None) -> DataFrame:
     """Daily bars: ticker = part brand, one bar per ship date.
 
     ``line_filter`` (a Column over lineitem columns) is applied to the scan so
@@ -62,6 +69,10 @@ def bars_daily(spark: SparkSession, sf_dir: str, line_filter=None) -> DataFrame:
 
 def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars: ticker = event type, price = value, volume = event count."""
+    return reuse(("bars_hourly", sf_dir), lambda: derive_bars_hourly(spark, sf_dir))
+
+
+def derive_bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     return resample_bars(ev, "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz"), "value",
                          F.count(F.lit(1)), ["ts", "event_id"])
