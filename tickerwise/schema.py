@@ -81,3 +81,20 @@ def feature_names(windows=ROLLING_WINDOWS) -> list[str]:
     """The 12 model features: raw OHLCV, returns, rolling means, rolling volatility."""
     return (OHLCV + ["returns"] + [f"ma_{w}" for w in windows]
             + [f"volatility_{w}" for w in windows])
+
+
+class MissingFeaturesError(KeyError):
+    """Raised when a frame lacks features a model was trained on."""
+
+
+def feature_columns(columns, order: str = ORDER, target: str = TARGET, key: str = KEY) -> list[str]:
+    """Every column except the date, the label (and the ticker key), in frame order."""
+    return [c for c in columns if c not in (order, target, key)]
+
+
+def select_features(df, names: list[str], keep=(KEY, ORDER)):
+    """Project the model's features in training order; name every missing one."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise MissingFeaturesError(f"missing features: {missing}")
+    return df.select(*[k for k in keep if k in df.columns], *names)

@@ -65,3 +65,14 @@ def write_bars(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY) -
 def write_json_report(report: DataFrame, path: str, column: str = "report") -> None:
     """One JSON document per row (e.g. ``drift_report_json``) as text files."""
     report.select(column).write.mode("overwrite").text(path)
+
+
+def load_and_compare(spark: SparkSession, reference_path: str, current_path: str,
+                     ticker: str | None = None) -> DataFrame:
+    """Two bar/feature files as ONE frame with ``sample`` = 'ref' / 'cur' (the drift input).
+
+    Columns present in only one file are kept (NULL on the other side).
+    """
+    ref = read_bars_csv(spark, reference_path, ticker).withColumn("sample", F.lit("ref"))
+    cur = read_bars_csv(spark, current_path, ticker).withColumn("sample", F.lit("cur"))
+    return ref.unionByName(cur, allowMissingColumns=True)
