@@ -9,6 +9,7 @@ from tickerwise.operators import clean, validate
 from tickerwise.operators import features as feat
 from tickerwise.plans import sql_blocks as S
 from tickerwise.plans.registry import register
+from tickerwise.sources.reuse import reuse
 from tickerwise.schema import OHLCV
 from tickerwise.sources import bars_daily, dirty_bars
 
@@ -244,7 +245,8 @@ FEAT_SPLIT = (f"{BARS}, {S.features('bars')}, fe AS (SELECT * FROM feat_all WHER
 
 
 def split_features(spark, sf):
-    return feat.temporal_split(feat.features_full(bars_daily(spark, sf)))
+    """Features + chronological split; written once per run inside ``shared_inputs`` (several legs read it)."""
+    return reuse(("split_features", sf), lambda: feat.temporal_split(feat.features_full(bars_daily(spark, sf))))
 
 
 @register("class_distribution", f"{FEAT_SPLIT} SELECT ticker, split, target, CAST(count(*) AS BIGINT) AS n_rows "
