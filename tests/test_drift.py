@@ -109,3 +109,18 @@ def test_autosplit_70_30(make_bars):
     got = [r["sample"] for r in df.orderBy("Date").collect()]
     assert got == ["ref"] * 7 + ["cur"] * 3
     assert dt.date(2021, 1, 4) in [r["Date"] for r in df.filter("sample = 'ref'").collect()]
+
+
+@pytest.mark.parametrize("bins", [1, 3, 64, 1000])
+def test_ks_exact_for_any_bin_count(spark, bins):
+    # clustered values: most mass in a narrow range plus far outliers, unequal sample sizes
+    vals_ref = [0.001 * (i % 50) for i in range(400)] + [1000.0, -500.0]
+    vals_cur = [0.001 * (i % 37) + 0.0005 for i in range(150)] + [999.0]
+    rows = [("T", "ref", v) for v in vals_ref] + [("T", "cur", v) for v in vals_cur]
+    df = spark.createDataFrame(rows, ["ticker", "sample", "x"])
+    got = dr.ks_drift(df, ["x"], bins=bins).first()["ks_stat"]
+    # brute force over every distinct value
+    grid = sorted(set(vals_ref) | set(vals_cur))
+    want = max(abs(sum(v <= g for v in vals_ref) / len(vals_ref) - sum(v <= g for v in vals_cur) / len(vals_cur))
+               for g in grid)
+    assert got == pytest.approx(want, abs=1e-12)
