@@ -60,9 +60,14 @@ def ks_drift(df: DataFrame, features: list[str], key: str = KEY, p_value: float
     span = counts.groupBy(*grp).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
                                     F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
     width = F.col("_hi") - F.col("_lo")
-    binned = counts.join(span, grp).withColumn(
+    # The join with the per-group span would leave the rows partitioned by
+    # (ticker, feature) - enough for the window below, so no exchange would
+    # follow and a hot group would stay in one task.  Shuffle on the full
+    # window key instead: a group's bins spread over the cluster.
+    binned = (counts.join(span, grp).withColumn(
         "_bin", F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / width * bins),
                                           F.lit(bins - 1))).otherwise(F.lit(0)).cast("int"))
+        .repartition(*grp, "_bin"))
     inner = Window.partitionBy(*grp, "_bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     local = binned.withColumn("_ca", F.sum("a").over(inner)).withColumn("_cb", F.sum("b").over(inner))
     totals = binned.groupBy(*grp, "_bin").agg(F.sum("a").alias("_ta"), F.sum("b").alias("_tb"))

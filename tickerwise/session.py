@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # bar windows are CPU-heavy for their bytes (seven window functions per
+    # row); let AQE keep small shuffles spread over the cores instead of
+    # coalescing them into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024),
 }
 
 # Correctness guards applied to every session a query runs in (also one we

@@ -56,3 +56,4 @@ def reuse(key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
     if key not in memo:
         memo[key] = materialize(build(), str(key[0]))
     return memo[key]
+
