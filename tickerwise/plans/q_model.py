@@ -11,7 +11,7 @@ from tickerwise.plans.q_clean import FEAT_SPLIT, RULE_SQL, split_features
 from tickerwise.plans.registry import register
 from tickerwise.schema import feature_names
 from tickerwise.functions.exprs import int_mix_sql, unit_uniform
-from tickerwise.sources import bars_daily
+from tickerwise.sources import bars_daily, label_predictions
 
 FEATS = feature_names()
 
@@ -319,3 +319,15 @@ def q_prediction_diff(spark, sf):
     sp = split_features(spark, sf).withColumn("rule_pred", F.when(F.col("returns") > 0, 1).otherwise(0))
     scored = md.score_linear(md.standardize(sp, FEATS), FEATS)
     return mt.prediction_diff(scored, "prediction", "rule_pred", ("ticker", "split"))
+
+
+LABEL_SQL = """lp AS (SELECT l.doc_id, l.quality AS y_true, CASE WHEN d.n_chars >= 1000 THEN 1 ELSE 0 END AS y_pred
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+@register("label_metrics", f"""WITH {LABEL_SQL}, cm AS (SELECT 'quality' AS task, {CM_COLS} FROM lp)
+SELECT task, tn, fp, fn, tp, {METRIC_COLS} FROM cm""")
+def q_label_metrics(spark, sf):
+    """M5/M6 on real labels: labels.quality as truth, a document-length rule (n_chars >= 1000) as prediction."""
+    return mt.round_metrics(mt.classification_metrics(
+        label_predictions(spark, sf).withColumn("task", F.lit("quality")), ("task",)))
