@@ -55,6 +55,17 @@ def validate_schema(df: DataFrame, order: str = ORDER) -> DataFrame:
 
 
 # ------------------------------------------------------------- V2 time rules
+def time_flags(df: DataFrame, seq: str | None = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
+    """Row flags of V2: ``_repeat`` (same date as the previous row by date) and
+    ``_unsorted`` (earlier date than the previous arrival).  Both windows
+    partition by ticker, so an aggregate by ticker can follow without a shuffle."""
+    has_seq = bool(seq) and seq in df.columns
+    by_date = Window.partitionBy(key).orderBy(order, *([seq] if has_seq else []))
+    arrival = Window.partitionBy(key).orderBy(seq if has_seq else order)
+    return (df.withColumn("_repeat", null_safe_bool(F.lag(order).over(by_date) == F.col(order)))
+            .withColumn("_unsorted", null_safe_bool(F.lag(order).over(arrival) > F.col(order))))
+
+
 def time_contract(df: DataFrame, seq: str | None = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
     """V2: per ticker duplicates (fail), arrival order not ascending (fail), weekend rows (flag).
 
@@ -63,12 +74,8 @@ def time_contract(df: DataFrame, seq: str | None = "seq", key: str = KEY, order:
     values per ticker ever reach the aggregate.
     """
     has_seq = bool(seq) and seq in df.columns
-    arrival_cols = [seq] if has_seq else [order]
-    by_date = Window.partitionBy(key).orderBy(order, *([seq] if has_seq else []))
-    arrival = Window.partitionBy(key).orderBy(*arrival_cols)
-    t = (df.select(key, order, *([seq] if has_seq else []))
-         .withColumn("_repeat", null_safe_bool(F.lag(order).over(by_date) == F.col(order)))
-         .withColumn("_unsorted", null_safe_bool(F.lag(order).over(arrival) > F.col(order)))
+    arrival = Window.partitionBy(key).orderBy(seq if has_seq else order)
+    t = (time_flags(df.select(key, order, *([seq] if has_seq else [])), seq, key, order)
          .withColumn("_dup_rank", F.sum(F.col("_repeat").cast("int")).over(
              arrival.rowsBetween(Window.unboundedPreceding, 0))))
     agg = t.groupBy(key).agg(
@@ -166,27 +173,46 @@ def validate_bars(df: DataFrame, seq: str | None = "seq", key: str = KEY, order:
     summary of the valid rows, rows before/removed, the rule breakdown as a
     MAP and a ``passed`` verdict over every check (all evaluated, not only up
     to the first failure).
+
+    The statistics are ONE aggregate over rows flagged once (first broken
+    rule, time flags): no per-check aggregates joined back, and the time
+    windows' ticker partitioning feeds the aggregate without another shuffle.
     """
     df = validate_schema(df, order)
     valid = integrity_filter(df)
-    gate = integrity_gate(df, key)
-    breakdown = (integrity_breakdown(df, key).groupBy(key)
-                 .agg(F.map_from_entries(F.collect_list(F.struct("rule", "n_rows"))).alias("invalid_row_breakdown")))
-    time_ok = time_contract(df, seq, key, order).select(key, F.col("passed").alias("time_passed"),
-                                                       "n_duplicates", "n_weekend")
-    miss = (missing_counts(valid, key).groupBy(key)
-            .agg(F.sum("n_missing").cast("bigint").alias("n_missing")))
-    stats = (bar_summary(valid, key, order)
-             .join(gate.select(key, "rows_before", "rows_removed", "removal_pct",
-                               F.col("passed").alias("integrity_passed")), key, "right")
-             .join(breakdown, key, "left")
-             .join(time_ok, key, "left")
-             .join(miss, key, "left")
-             .withColumn("total_rows", F.coalesce("total_rows", F.lit(0).cast("bigint")))
-             .withColumn("invalid_row_breakdown", F.coalesce(
-                 "invalid_row_breakdown", F.create_map().cast("map<string,bigint>")))
-             .withColumn("passed", F.col("time_passed") & F.col("integrity_passed")
-                         & (F.coalesce("n_missing", F.lit(0)) == 0)))
+    fv = F.col("first_violation")
+    ok = fv.isNull()
+    flagged = time_flags(df.withColumn("first_violation", first_violation()), seq, key, order)
+
+    def on_valid(c: str):
+        return F.when(ok, F.col(c))
+
+    missing_cells = sum((F.col(c).isNull().cast("bigint") for c in OHLCV), F.lit(0).cast("bigint"))
+    rule_counts = [F.struct(F.lit(r).alias("rule"), F.count_if(fv == r).alias("n_rows")) for r in INTEGRITY_RULES]
+    stats = (flagged.groupBy(key).agg(
+        F.count_if(ok).alias("total_rows"),
+        F.min(on_valid(order)).alias("start_date"),
+        F.max(on_valid(order)).alias("end_date"),
+        F.min(on_valid("Close")).alias("close_min"),
+        F.max(on_valid("Close")).alias("close_max"),
+        F.avg(on_valid("Close")).alias("close_mean"),
+        F.stddev_samp(on_valid("Close")).alias("close_std"),
+        F.avg(on_valid("Volume")).alias("volume_mean"),
+        F.min(on_valid("Volume")).alias("volume_min"),
+        F.max(on_valid("Volume")).alias("volume_max"),
+        F.count(F.lit(1)).alias("rows_before"),
+        F.count_if(~ok).alias("rows_removed"),
+        F.map_from_entries(F.filter(F.array(*rule_counts), lambda e: e["n_rows"] > 0)).alias("invalid_row_breakdown"),
+        F.count_if("_repeat").alias("n_duplicates"),
+        F.count_if("_unsorted").alias("_n_unsorted"),
+        F.count_if(F.weekday(order) >= 5).alias("n_weekend"),
+        F.sum(F.when(ok, missing_cells)).cast("bigint").alias("n_missing"))
+        .withColumn("removal_pct", F.col("rows_removed").cast("double") * 100.0 / F.col("rows_before"))
+        .withColumn("integrity_passed", F.col("removal_pct") <= F.lit(MAX_REMOVAL_PCT))
+        .withColumn("time_passed", (F.col("n_duplicates") == 0) & (F.col("_n_unsorted") == 0))
+        .withColumn("passed", F.col("time_passed") & F.col("integrity_passed")
+                    & (F.coalesce("n_missing", F.lit(0)) == 0))
+        .drop("_n_unsorted"))
     return valid, stats
 
 
