@@ -157,27 +157,46 @@ def lookahead_report(df: DataFrame, key: str = KEY, target: str = TARGET) -> Dat
 def feasibility_report(df: DataFrame, key: str = KEY, order: str = ORDER, label: str | None = TARGET) -> DataFrame:
     """One row per (ticker, check) for all six checks.
 
-    Per-ticker checks come from one aggregate each and are stacked with an
-    ``inline`` of a struct array, so no union of re-scans is needed beyond the
-    shared bars input.
+    C1-C4 come from ONE aggregate over rows flagged by one window family
+    (gap to the previous bar, daily return and its z-score against the
+    ticker's own mean / sample std); the label distribution is one small
+    aggregate of its own.  The checks are stacked with an ``inline`` of a
+    struct array.  Same values as the per-check operators above.
     """
     n_suspicious = len(lookahead_columns(df.schema, label)) if label else 0
-    parts = (min_samples(df, key)
-             .join(completeness(df, key).select(key, "completeness_pct", F.col("passed").alias("c2")), key)
-             .join(continuity(df, key, order).select(key, "max_gap_days", F.col("passed").alias("c3")), key)
-             .join(outliers(df, key, order).select(key, "outlier_pct", F.col("passed").alias("c4")), key))
+    whole = by_ticker(key, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    z = (add_returns(df.select(key, order, *OHLCV), key=key, order=order)
+         .withColumn("_mean", F.avg("returns").over(whole))
+         .withColumn("_std", F.stddev_samp("returns").over(whole))
+         .withColumn("z", F.abs(safe_div(F.col("returns") - F.col("_mean"), F.col("_std"))))
+         .withColumn("_gap", F.datediff(F.col(order), F.lag(order).over(by_ticker(key, order)))))
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in OHLCV), F.lit(0).cast("bigint"))
+    per = (z.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(nulls).cast("bigint").alias("_missing"),
+        F.max("_gap").alias("max_gap_days"),
+        F.count("returns").alias("_n_returns"),
+        F.count_if(null_safe_bool(F.col("z") > OUTLIER_Z)).alias("_n_outliers"),
+        F.max("_std").alias("_return_std")))
+    cells = F.col("n_rows") * len(OHLCV)
+    completeness = F.coalesce(safe_div((cells - F.col("_missing")).cast("double") * 100.0, cells.cast("double")),
+                              F.lit(0.0))
+    skipped = (F.col("_n_returns") == 0) | F.coalesce(F.col("_return_std") == 0, F.lit(True))
+    outlier_pct = F.when(skipped, F.lit(0.0)).otherwise(
+        F.col("_n_outliers").cast("double") * 100.0 / F.col("_n_returns"))
     rows = [
-        _row("min_samples", F.col("n_rows"), MIN_SAMPLES, F.col("passed")),
-        _row("completeness", F.col("completeness_pct"), MIN_COMPLETENESS_PCT, F.col("c2")),
-        _row("temporal_continuity", F.col("max_gap_days"), MAX_GAP_DAYS, F.col("c3")),
-        _row("outliers", F.col("outlier_pct"), MAX_OUTLIER_PCT, F.col("c4")),
+        _row("min_samples", F.col("n_rows"), MIN_SAMPLES, F.col("n_rows") >= MIN_SAMPLES),
+        _row("completeness", completeness, MIN_COMPLETENESS_PCT, completeness >= MIN_COMPLETENESS_PCT),
+        _row("temporal_continuity", F.col("max_gap_days"), MAX_GAP_DAYS,
+             F.coalesce(F.col("max_gap_days") <= MAX_GAP_DAYS, F.lit(True))),
+        _row("outliers", outlier_pct, MAX_OUTLIER_PCT, outlier_pct <= MAX_OUTLIER_PCT),
     ]
     if label and label in df.columns:
-        lb = label_balance(df, key, label).select(key, "minority_ratio", F.col("passed").alias("c5"))
-        parts = parts.join(lb, key)
-        rows.append(_row("label_balance", F.col("minority_ratio"), MIN_LABEL_BALANCE, F.col("c5")))
+        lb = label_balance(df, key, label).select(key, "minority_ratio", F.col("passed").alias("_c5"))
+        per = per.join(lb, key)
+        rows.append(_row("label_balance", F.col("minority_ratio"), MIN_LABEL_BALANCE, F.col("_c5")))
     rows.append(_row("lookahead_bias", F.lit(n_suspicious), 0, F.lit(n_suspicious == 0)))
-    return parts.select(key, F.inline(F.array(*rows)))
+    return per.select(key, F.inline(F.array(*rows)))
 
 
 def feasibility_verdict(report: DataFrame, key: str = KEY) -> DataFrame:
