@@ -160,3 +160,21 @@ def test_reproducibility_and_model_roundtrip(spark, tmp_path):
     a = md.predict_model(model, scaled, feature_names()).select("Date", "prediction").collect()
     b = md.predict_model(m, scaled, feature_names()).select("Date", "prediction").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_score_requests_paths(spark):
+    import json
+    feats = ["a", "b"]
+    stats = md.fit_scaler(spark.createDataFrame([("T", 1.0, 2.0), ("T", 3.0, 6.0)], "ticker string, a double, b double"),
+                          feats)
+    reqs = spark.createDataFrame([
+        ("T", dt.date(2021, 1, 1), json.dumps({"a": 3.0, "b": 6.0})),
+        ("T", dt.date(2021, 1, 2), json.dumps({"a": 3.0})),
+        ("U", dt.date(2021, 1, 3), json.dumps({"a": 1.0, "b": 1.0})),
+    ], "ticker string, Date date, body string")
+    out = {r["Date"].day: r for r in md.score_requests(reqs, stats, feats, {"a": 1.0, "b": 1.0}, 0.0).collect()}
+    assert out[1]["status"] == "success" and out[1]["probability"] == pytest.approx(1 / (1 + math.exp(-2.0)))
+    assert out[1]["prediction"] == 1 and out[1]["detail"] is None
+    assert out[2]["status"] == "error" and out[2]["detail"] == "Missing features: b" and out[2]["prediction"] is None
+    assert out[3]["status"] == "error" and out[3]["detail"] == "No model for ticker U"
+    assert len(out) == 3

@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerwise.schema import KEY, ORDER, SEED, TARGET, feature_names
 
@@ -174,3 +175,49 @@ def load_model(path: str, kind: str = "logistic", spark=None):
     spark = spark or SparkSession.getActiveSession()
     meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()[0])
     return model, meta
+
+
+# ------------------------------------------------------- request scoring (M4)
+def request_bodies(df: DataFrame, fields: list[str], key: str = KEY, order: str = ORDER,
+                   omit_every: int = 7) -> DataFrame:
+    """JSON request bodies from feature rows; on every ``omit_every``-th day the last field is left out."""
+    day = F.datediff(F.col(order), F.lit("1970-01-01").cast("date"))
+    body = (F.when(day % omit_every == 0, F.to_json(F.struct(*fields[:-1])))
+            .otherwise(F.to_json(F.struct(*fields))))
+    return df.select(key, order, body.alias("body"))
+
+
+def score_requests(requests: DataFrame, stats: DataFrame, features: list[str], weights: dict | None = None,
+                   intercept: float = LINEAR_INTERCEPT, key: str = KEY, order: str = ORDER,
+                   model_version: str = "linear-fixed") -> DataFrame:
+    """M4 / prediction request -> response, per row.
+
+    Bodies are parsed with ``from_json`` against the request schema (every
+    feature a required DOUBLE).  A request missing any feature gets
+    ``status = 'error'`` and names the missing ones; the others are scaled
+    with the model's train statistics (``stats`` from :func:`fit_scaler`),
+    scored, and answered with prediction, P(up) and the model version.
+    """
+    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
+    parsed = requests.withColumn("_in", F.from_json("body", schema))
+    missing = F.filter(F.array(*[F.when(F.col(f"_in.{f}").isNull(), F.lit(f)) for f in features]),
+                       lambda x: x.isNotNull())
+    flat = parsed.select(key, order, missing.alias("_missing"), *[F.col(f"_in.{f}").alias(f) for f in features])
+    # left join: a request for a ticker the model has no statistics for is answered, not dropped
+    j = flat.join(stats.withColumn("_known", F.lit(True)), key, "left")
+    scaled = j.withColumns({
+        f: (F.col(f) - F.col(f"{f}__mean")) / F.when(F.col(f"{f}__std").isNull() | (F.col(f"{f}__std") == 0),
+                                                     F.lit(1.0)).otherwise(F.col(f"{f}__std"))
+        for f in features})
+    scored = score_linear(scaled, features, weights, intercept)
+    known = F.coalesce(F.col("_known"), F.lit(False))
+    ok = known & (F.size("_missing") == 0)
+    detail = (F.when(~known, F.concat(F.lit("No model for ticker "), F.col(key)))
+              .when(F.size("_missing") > 0, F.concat(F.lit("Missing features: "), F.array_join("_missing", ", "))))
+    return scored.select(
+        key, order,
+        F.when(ok, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(ok, F.col("prediction")).alias("prediction"),
+        F.when(ok, F.col("probability")).alias("probability"),
+        F.when(ok, F.lit(model_version)).alias("model_version"),
+        detail.alias("detail"))

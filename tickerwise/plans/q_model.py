@@ -331,3 +331,19 @@ def q_label_metrics(spark, sf):
     """M5/M6 on real labels: labels.quality as truth, a document-length rule (n_chars >= 1000) as prediction."""
     return mt.round_metrics(mt.classification_metrics(
         label_predictions(spark, sf).withColumn("task", F.lit("quality")), ("task",)))
+
+
+@register("score_requests", f"""{BASE},
+rq AS (SELECT ticker, Date, date_diff('day', DATE '1970-01-01', Date) % 7 = 0 AS broken FROM sp WHERE split = 'test')
+SELECT r.ticker, r.Date, CASE WHEN r.broken THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN r.broken THEN NULL ELSE CAST(s.prediction AS INTEGER) END AS prediction,
+  CASE WHEN r.broken THEN NULL ELSE round(s.probability, 6) END AS probability,
+  CASE WHEN r.broken THEN NULL ELSE 'linear-fixed' END AS model_version,
+  CASE WHEN r.broken THEN 'Missing features: volatility_20' END AS detail
+FROM rq r JOIN scored s ON r.ticker = s.ticker AND r.Date = s.Date""")
+def q_score_requests(spark, sf):
+    """M4 request/response: JSON bodies of test rows (every 7th day omits a field) parsed, checked, scored."""
+    sp = split_features(spark, sf)
+    stats = md.fit_scaler(sp.filter(F.col("split") == "train"), FEATS)
+    bodies = md.request_bodies(sp.filter(F.col("split") == "test"), FEATS)
+    return md.score_requests(bodies, stats, FEATS)
