@@ -187,6 +187,33 @@ def request_bodies(df: DataFrame, fields: list[str], key: str = KEY, order: str
     return df.select(key, order, body.alias("body"))
 
 
+def respond(rows: DataFrame, stats: DataFrame, features: list[str], problem: Column, keep: list[str],
+            weights: dict | None = None, intercept: float = LINEAR_INTERCEPT, key: str = KEY,
+            model_version: str = "linear-fixed") -> DataFrame:
+    """Answer one prediction request per row: scale with the model's train statistics, score, set status.
+
+    ``problem`` is NULL for a servable row, else the error text.  The join to
+    ``stats`` is a left join: a request for a ticker without a model is
+    answered with an error, never dropped.
+    """
+    j = rows.withColumn("_problem", problem).join(stats.withColumn("_known", F.lit(True)), key, "left")
+    scaled = j.withColumns({
+        f: (F.col(f) - F.col(f"{f}__mean")) / F.when(F.col(f"{f}__std").isNull() | (F.col(f"{f}__std") == 0),
+                                                     F.lit(1.0)).otherwise(F.col(f"{f}__std"))
+        for f in features})
+    scored = score_linear(scaled, features, weights, intercept)
+    known = F.coalesce(F.col("_known"), F.lit(False))
+    ok = known & F.col("_problem").isNull()
+    detail = F.when(~known, F.concat(F.lit("No model for ticker "), F.col(key))).otherwise(F.col("_problem"))
+    return scored.select(
+        *keep,
+        F.when(ok, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(ok, F.col("prediction")).alias("prediction"),
+        F.when(ok, F.col("probability")).alias("probability"),
+        F.when(ok, F.lit(model_version)).alias("model_version"),
+        detail.alias("detail"))
+
+
 def score_requests(requests: DataFrame, stats: DataFrame, features: list[str], weights: dict | None = None,
                    intercept: float = LINEAR_INTERCEPT, key: str = KEY, order: str = ORDER,
                    model_version: str = "linear-fixed") -> DataFrame:
@@ -203,21 +230,13 @@ def score_requests(requests: DataFrame, stats: DataFrame, features: list[str], w
     missing = F.filter(F.array(*[F.when(F.col(f"_in.{f}").isNull(), F.lit(f)) for f in features]),
                        lambda x: x.isNotNull())
     flat = parsed.select(key, order, missing.alias("_missing"), *[F.col(f"_in.{f}").alias(f) for f in features])
-    # left join: a request for a ticker the model has no statistics for is answered, not dropped
-    j = flat.join(stats.withColumn("_known", F.lit(True)), key, "left")
-    scaled = j.withColumns({
-        f: (F.col(f) - F.col(f"{f}__mean")) / F.when(F.col(f"{f}__std").isNull() | (F.col(f"{f}__std") == 0),
-                                                     F.lit(1.0)).otherwise(F.col(f"{f}__std"))
-        for f in features})
-    scored = score_linear(scaled, features, weights, intercept)
-    known = F.coalesce(F.col("_known"), F.lit(False))
-    ok = known & (F.size("_missing") == 0)
-    detail = (F.when(~known, F.concat(F.lit("No model for ticker "), F.col(key)))
-              .when(F.size("_missing") > 0, F.concat(F.lit("Missing features: "), F.array_join("_missing", ", "))))
-    return scored.select(
-        key, order,
-        F.when(ok, F.lit("success")).otherwise(F.lit("error")).alias("status"),
-        F.when(ok, F.col("prediction")).alias("prediction"),
-        F.when(ok, F.col("probability")).alias("probability"),
-        F.when(ok, F.lit(model_version)).alias("model_version"),
-        detail.alias("detail"))
+    problem = F.when(F.size("_missing") > 0, F.concat(F.lit("Missing features: "), F.array_join("_missing", ", ")))
+    return respond(flat, stats, features, problem, [key, order], weights, intercept, key, model_version)
+
+
+def score_lookups(found_rows: DataFrame, stats: DataFrame, features: list[str], keep: list[str],
+                  found: str = "found", weights: dict | None = None, intercept: float = LINEAR_INTERCEPT,
+                  key: str = KEY, model_version: str = "linear-fixed") -> DataFrame:
+    """Ticker requests answered from point-in-time feature lookups (J1 + M4); a miss is an error."""
+    problem = F.when(~F.col(found), F.concat(F.lit("No features found for ticker "), F.col(key)))
+    return respond(found_rows, stats, features, problem, keep, weights, intercept, key, model_version)

@@ -124,3 +124,40 @@ SELECT request_id, ticker, event_timestamp,
 def q_asof_features(spark, sf):
     """Point-in-time features for each order-derived request, TTL 1 day."""
     return sv.asof_features(entity_requests(spark, sf), view(spark, sf), ttl_days=1)
+
+
+def _ticker_predictions_sql() -> str:
+    from tickerwise.plans.q_clean import FEAT_SPLIT
+    from tickerwise.plans.q_model import LOGIT, STATS_SQL
+    fields = FEATURE_VIEW_FIELDS
+    fv = ("fv AS (SELECT ticker, CAST(Date AS TIMESTAMP) AS event_timestamp, "
+          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in fields) + " FROM fe)")
+    z = ", ".join(f"(h.{c} - st.{c}__mean) / CASE WHEN st.{c}__std IS NULL OR st.{c}__std = 0 THEN 1.0 "
+                  f"ELSE st.{c}__std END AS {c}" for c in fields)
+    return f"""{FEAT_SPLIT}, {STATS_SQL}, {fv}, {REQ},
+j AS (SELECT r.request_id, r.ticker, r.event_timestamp, f.event_timestamp AS fts, {', '.join(f'f.{c}' for c in fields)}
+  FROM req r ASOF LEFT JOIN fv f ON r.ticker = f.ticker AND r.event_timestamp >= f.event_timestamp),
+hit AS (SELECT *, coalesce(fts > event_timestamp - INTERVAL 1 DAY, false) AS found FROM j),
+zs AS (SELECT h.request_id, h.ticker, h.event_timestamp, h.found, st.ticker IS NOT NULL AS known, {z}
+  FROM hit h LEFT JOIN st ON h.ticker = st.ticker),
+pr AS (SELECT *, 1.0 / (1.0 + exp(-({LOGIT}))) AS p FROM zs)
+SELECT request_id, ticker, event_timestamp,
+  CASE WHEN found AND known THEN 'success' ELSE 'error' END AS status,
+  CASE WHEN found AND known THEN CAST(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS INTEGER) END AS prediction,
+  CASE WHEN found AND known THEN round(p, 6) END AS probability,
+  CASE WHEN found AND known THEN 'linear-fixed' END AS model_version,
+  CASE WHEN NOT known THEN 'No model for ticker ' || ticker
+       WHEN NOT found THEN 'No features found for ticker ' || ticker END AS detail
+FROM pr"""
+
+
+@register("ticker_predictions", _ticker_predictions_sql())
+def q_ticker_predictions(spark, sf):
+    """J1 + M4: each order-derived ticker request gets its point-in-time features (TTL 1 day), then a score."""
+    from tickerwise.operators import models as md
+    from tickerwise.plans.q_clean import split_features
+    from tickerwise.plans.q_model import FEATS
+    sp = split_features(spark, sf)
+    stats = md.fit_scaler(sp.filter(F.col("split") == "train"), FEATS)
+    found = sv.asof_features(entity_requests(spark, sf), view(spark, sf), ttl_days=1)
+    return md.score_lookups(found, stats, FEATS, ["request_id", "ticker", "event_timestamp"])

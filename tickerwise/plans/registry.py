@@ -20,7 +20,7 @@ integrity_gate integrity_gate_heavy missing_counts validated_bars validation_sta
 freshness feasibility_report feasibility_verdict trading_calendar missing_days standardize score_linear
 confusion_matrix classification_metrics classification_report baseline_majority baseline_stratified
 baseline_comparison class_imbalance metric_compare retrain_gate prediction_diff lr_predictions gbt_predictions
-reproducibility model_report score_requests ks_drift dataset_drift psi_drift drift_autosplit drift_gate drift_report_json source_acceptance
+reproducibility model_report score_requests ticker_predictions ks_drift dataset_drift psi_drift drift_autosplit drift_gate drift_report_json source_acceptance
 source_fallback online_snapshot online_lookup online_misses linear_shap global_importance local_ranking perm_shap
 drift_alerts performance_alerts stream_scores stream_online_snapshot stream_dedup
 """.split())
