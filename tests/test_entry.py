@@ -13,7 +13,8 @@ from tools.oracle_check import TABLES, close, rows_of
 
 FAST = ["bars_daily", "features_full", "clean_bars", "validated_bars", "feasibility_report", "ks_drift",
         "target_drift", "asof_features", "score_linear", "classification_metrics", "linear_shap",
-        "latency_histogram", "lookahead_columns", "prediction_diff", "missing_days"]
+        "latency_histogram", "lookahead_columns", "prediction_diff", "missing_days", "score_requests",
+        "ticker_predictions", "label_metrics", "validation_stats"]
 
 
 def test_entry_runs(spark):
