@@ -62,3 +62,11 @@ def test_stream_online_snapshot_latest(spark, n):
     v = spark.createDataFrame(rows, "ticker string, event_timestamp timestamp_ntz, f double")
     got = {r["ticker"]: r["f"] for r in jobs.run_stream_online_snapshot(spark, v, max_files=n).collect()}
     assert got == {"A": 3.0, "B": 9.0}
+
+
+def test_stream_features_pad_and_zero_base_like_batch(spark):
+    rows = [("T", dt.date(2021, 1, d), c) for d, c in [(4, 10.0), (5, None), (6, 12.0), (7, 0.0), (8, 5.0), (11, 6.0)]]
+    bars = spark.createDataFrame(rows, "ticker string, Date date, Close double")
+    stream = jobs.run_stream_features(spark, bars)
+    batch = feat.add_rolling_volatility(feat.add_rolling_means(bars))
+    assert rounded(stream) == rounded(batch)

@@ -207,7 +207,9 @@ def _rolling_update(key, pdfs, state):
     new = new.drop_duplicates(ORDER, keep="last")
     if len(new):
         series = pd.Series(closes + new["Close"].astype(float).tolist())
-        ret = series / series.shift(1) - 1.0
+        padded = series.ffill()                      # as the batch operator: pad, then divide
+        prev = padded.shift(1)
+        ret = (padded / prev.where(prev != 0)) - 1.0  # zero or missing base -> NaN (NULL), not inf
         out = pd.DataFrame({KEY: key[0], ORDER: new[ORDER].to_numpy(), "Close": new["Close"].to_numpy(dtype=float)})
         tail = slice(len(closes), len(series))
         out["returns"] = ret.iloc[tail].to_numpy()
