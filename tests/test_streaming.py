@@ -70,3 +70,13 @@ def test_stream_features_pad_and_zero_base_like_batch(spark):
     stream = jobs.run_stream_features(spark, bars)
     batch = feat.add_rolling_volatility(feat.add_rolling_means(bars))
     assert rounded(stream) == rounded(batch)
+
+
+def test_stream_features_pad_across_long_gap(spark):
+    # 30 missing closes in a row, spread over several micro-batches: the pad value must survive the state buffer
+    closes = [10.0, 11.0] + [None] * 30 + [12.0, 13.0]
+    rows = [("T", dt.date(2021, 1, 1) + dt.timedelta(days=i), c) for i, c in enumerate(closes)]
+    bars = spark.createDataFrame(rows, "ticker string, Date date, Close double")
+    stream = jobs.run_stream_features(spark, bars, max_files=1)
+    batch = feat.add_rolling_volatility(feat.add_rolling_means(bars))
+    assert rounded(stream) == rounded(batch)

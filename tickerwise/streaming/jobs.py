@@ -184,18 +184,24 @@ FEATURE_OUT = T.StructType([
 ])
 FEATURE_STATE = T.StructType([T.StructField("last_date", T.DateType()),
                               T.StructField("closes", T.ArrayType(T.DoubleType())),
+                              T.StructField("padded", T.ArrayType(T.DoubleType())),
                               T.StructField("dropped_late", T.LongType())])
 
 
 def _rolling_update(key, pdfs, state):
-    """Per ticker: append this micro-batch's bars to the buffered last closes, emit new rows' features."""
+    """Per ticker: append this micro-batch's bars to the buffered last closes, emit new rows' features.
+
+    State keeps the last 21 raw closes (rolling means need the raw values,
+    NULLs included) and the last 21 forward-filled closes (returns pad a
+    missing close with the last known one, however far back it was).
+    """
     windows = ROLLING_WINDOWS
     keep = max(windows) + 1
     if state.exists:
-        last_date, closes, dropped = state.get
-        closes = list(closes)
+        last_date, closes, padded_hist, dropped = state.get
+        closes, padded_hist = list(closes), list(padded_hist)
     else:
-        last_date, closes, dropped = None, [], 0
+        last_date, closes, padded_hist, dropped = None, [], [], 0
     parts = [p for p in pdfs if len(p)]
     if not parts:
         return
@@ -206,8 +212,9 @@ def _rolling_update(key, pdfs, state):
         new = new[~late]
     new = new.drop_duplicates(ORDER, keep="last")
     if len(new):
-        series = pd.Series(closes + new["Close"].astype(float).tolist())
-        padded = series.ffill()                      # as the batch operator: pad, then divide
+        fresh = new["Close"].astype(float).tolist()
+        series = pd.Series(closes + fresh, dtype="float64")
+        padded = pd.Series(padded_hist + fresh, dtype="float64").ffill()   # as the batch operator: pad, then divide
         prev = padded.shift(1)
         ret = (padded / prev.where(prev != 0)) - 1.0  # zero or missing base -> NaN (NULL), not inf
         out = pd.DataFrame({KEY: key[0], ORDER: new[ORDER].to_numpy(), "Close": new["Close"].to_numpy(dtype=float)})
@@ -217,12 +224,12 @@ def _rolling_update(key, pdfs, state):
             out[f"ma_{n}"] = series.rolling(n).mean().iloc[tail].to_numpy()
         for n in windows:
             out[f"volatility_{n}"] = ret.rolling(n).std(ddof=1).iloc[tail].to_numpy()
-        closes = series.iloc[-keep:].tolist()
+        closes, padded_hist = series.iloc[-keep:].tolist(), padded.iloc[-keep:].tolist()
         last_date = new[ORDER].iloc[-1]
-        state.update((last_date, closes, dropped))
+        state.update((last_date, closes, padded_hist, dropped))
         yield out
     else:
-        state.update((last_date, closes, dropped))
+        state.update((last_date, closes, padded_hist, dropped))
 
 
 def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int = 4) -> DataFrame:
