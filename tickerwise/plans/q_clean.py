@@ -190,11 +190,8 @@ SELECT g.ticker, 'primary' AS data_source, s.total_rows, g.rows_before, g.rows_r
 FROM g JOIN s ON g.ticker = s.ticker""")
 def q_quality_report(spark, sf):
     """A5: validation summary + grade + source per ticker."""
-    cleaned = _cleaned(spark, sf)
-    valid = validate.integrity_filter(cleaned)
-    g = validate.integrity_gate(cleaned)
-    s = validate.bar_summary(valid)
-    return (g.join(s, "ticker").select(
+    _, stats = validate.validate_bars(_cleaned(spark, sf))
+    return (stats.select(
         "ticker", F.lit("primary").alias("data_source"), "total_rows", "rows_before", "rows_removed",
         validate.quality_grade(F.col("rows_removed"), F.col("rows_before")).alias("grade"),
         "start_date", "end_date", "close_min", "close_max", "close_mean", "close_std",
