@@ -59,3 +59,24 @@ def test_fanout_query_scans_lineitem_once(spark, name):
         R.materialize = orig
     assert calls.count("bars_daily") == 1
     assert lineitem_scans(executed(df)) == []  # every branch reads the written bar table
+
+
+def test_bucketed_inputs_join_without_exchange(spark, tmp_path):
+    from tickerwise.sources.bucketed import bars_daily_bucketed, write_bucketed_inputs
+    from tickerwise.sources.tables import derive_bars_daily
+    li, part = write_bucketed_inputs(spark, SF_SMALL, str(tmp_path / "tables"), buckets=8, prefix="t_bucket")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the large-table (sort-merge) plan
+    try:
+        df = bars_daily_bucketed(spark, li, part)
+        plan = executed(df)
+        join_part = plan[plan.index("SortMergeJoin"):]
+        below_join = join_part.split("\n", 1)[1]
+        assert "Exchange" not in below_join.split("FileScan")[0]        # left input: no shuffle before the scan
+        assert plan.count("Exchange hashpartitioning(l_partkey") == 0
+        assert plan.count("Exchange hashpartitioning(p_partkey") == 0
+        got = sorted(map(tuple, df.collect()))
+        want = sorted(map(tuple, derive_bars_daily(spark, SF_SMALL).collect()))
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
