@@ -73,6 +73,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               f"(shared file system or object store); master is {master!r}")
         path = tempfile.mkdtemp(prefix="tickerwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
