@@ -80,3 +80,15 @@ def test_stream_features_pad_across_long_gap(spark):
     stream = jobs.run_stream_features(spark, bars, max_files=1)
     batch = feat.add_rolling_volatility(feat.add_rolling_means(bars))
     assert rounded(stream) == rounded(batch)
+
+
+def test_stream_dedup_last_prefers_highest_seq_not_arrival(spark):
+    schema = "ticker string, Date date, Close double, seq long"
+    d1 = dt.date(2021, 1, 4)
+    path = jobs.run_dir(spark, "dedup-last-test")
+    # the correction (seq 3) arrives BEFORE the original (seq 2); a far later bar closes d1 via the watermark
+    for batch in ([("T", d1, 2.0, 3)], [("T", d1, 1.0, 2)], [("T", d1 + dt.timedelta(days=20), 5.0, 9)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    s = jobs.dedup_last_stream(jobs.dir_stream(spark, f"{path}/in", 1))
+    out = jobs._sink_append(s, path).collect()
+    assert [(r["Date"], r["Close"], r["seq"]) for r in out] == [(d1, 2.0, 3)]

@@ -9,6 +9,7 @@ SQL twins keep exactly the windows that end at or before max(ts) - 1 hour.
 from __future__ import annotations
 
 from tickerwise.plans import sql_blocks as S
+from tickerwise.plans.q_clean import DEDUP_SQL, DIRTY
 from tickerwise.plans.q_model import BASE, FEATS, scaled
 from tickerwise.plans.q_serving import FIELDS, FV, view
 from tickerwise.plans.registry import register
@@ -65,3 +66,12 @@ SELECT ticker, Date, Close, {S.r6(['returns', 'ma_5', 'ma_10', 'ma_20', 'volatil
 def q_stream_features(spark, sf):
     """ST6: incremental returns and rolling features per ticker from a bar stream (stateful)."""
     return jobs.run_stream_features(spark, bars_daily(spark, sf))
+
+
+@register("stream_dedup_last", f"""{DIRTY}, {DEDUP_SQL}
+SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dedup
+WHERE Date <= (SELECT max(Date) FROM dirty) - INTERVAL 7 DAY""")
+def q_stream_dedup_last(spark, sf):
+    """ST5 keep-last: streaming max_by(seq) per (ticker, Date); groups closed by the 7-day watermark."""
+    return jobs.run_stream_dedup_last(spark, dirty_bars(spark, sf)).select(
+        "ticker", "Date", "Open", "High", "Low", "Close", "Volume", "seq")

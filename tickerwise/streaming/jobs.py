@@ -26,6 +26,8 @@ LATE_POLICY = {
     "stream_request_counts": "same watermark; one row per closed (hour, endpoint, status)",
     "stream_online_snapshot": "no drop: the latest row per ticker by event time wins, whatever the arrival order",
     "stream_dedup": "duplicates within the 7-day watermark are dropped; the FIRST arrival is kept",
+    "stream_dedup_last": "the highest seq per (ticker, Date) wins among arrivals within the 7-day watermark; "
+                         "a (ticker, Date) is emitted once the watermark passes it, later arrivals are dropped",
     "stream_features": "a bar not newer than the ticker's last processed bar is dropped (counted in state)",
 }
 
@@ -245,3 +247,26 @@ def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int = 4
     out = s.groupBy(KEY).applyInPandasWithState(_rolling_update, FEATURE_OUT, FEATURE_STATE, "append",
                                                 GroupStateTimeout.NoTimeout)
     return _sink_append(out, path)
+
+
+# ------------------------------------------------------------------ ST5, keep-last
+def dedup_last_stream(rows: DataFrame, seq: str = "seq", delay: str = "7 days") -> DataFrame:
+    """ST5 keep-last: one row per (ticker, Date), the one with the highest ``seq`` among its arrivals.
+
+    A streaming aggregate keyed by (ticker, event time) keeps the best row
+    seen so far in state; ``max_by`` makes the arrival order inside the
+    watermark irrelevant.  In append mode a (ticker, Date) is emitted once
+    the watermark (max event time - ``delay``) has passed it, so a
+    correction may arrive up to ``delay`` late and still win.
+    """
+    fields = [c for c in rows.columns if c not in (KEY,)]
+    return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
+            .groupBy(KEY, "_ets").agg(F.max_by(F.struct(*fields), F.col(seq)).alias("_r"))
+            .select(KEY, "_r.*"))
+
+
+def run_stream_dedup_last(spark: SparkSession, bars: DataFrame, delay: str = "7 days") -> DataFrame:
+    """Stage first arrivals and re-sent rows together, span by span in time order, then keep the last."""
+    path = run_dir(spark, "dedup-last")
+    stage_in_order(bars, f"{path}/in")
+    return _sink_append(dedup_last_stream(dir_stream(spark, f"{path}/in", 4), "seq", delay), path)
