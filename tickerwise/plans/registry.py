@@ -22,7 +22,7 @@ confusion_matrix classification_metrics classification_report baseline_majority
 baseline_comparison class_imbalance metric_compare retrain_gate prediction_diff lr_predictions gbt_predictions
 reproducibility model_report score_requests ticker_predictions ks_drift dataset_drift psi_drift drift_autosplit drift_gate drift_report_json source_acceptance
 source_fallback online_snapshot online_lookup online_misses linear_shap global_importance local_ranking perm_shap
-drift_alerts performance_alerts stream_scores stream_online_snapshot stream_dedup stream_dedup_last
+drift_alerts performance_alerts stream_scores stream_online_snapshot stream_dedup stream_dedup_last stream_features
 """.split())
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
