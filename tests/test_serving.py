@@ -148,3 +148,17 @@ def test_load_and_compare_golden_pair(spark):
     assert (s["reference_size"], s["current_size"], s["feature_count"]) == (7, 3, 12)
     assert s["num_drifted_columns"] == 11
     assert s["target_drift_score"] == pytest.approx(0.10736446520661458, abs=1e-6)
+
+
+def test_checkpoint_dir_refuses_local_folder_on_cluster():
+    from types import SimpleNamespace
+    from tickerwise.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None)
+    fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://cluster:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)
+    shared = SimpleNamespace(get=lambda k, d=None: "/shared/ckpt", set=lambda k, v: None)
+    calls = []
+    ok = SimpleNamespace(conf=shared, sparkContext=SimpleNamespace(master="spark://cluster:7077",
+                                                                     setCheckpointDir=calls.append))
+    assert checkpoint_dir(ok) == "/shared/ckpt" and calls == ["/shared/ckpt"]
