@@ -9,6 +9,7 @@ from tickerwise.operators import drift as dr
 from tickerwise.operators import features as feat
 from tickerwise.plans import sql_blocks as S
 from tickerwise.plans.registry import register
+from tickerwise.sources.reuse import reuse
 from tickerwise.schema import feature_names
 from tickerwise.sources import bars_daily
 
@@ -49,7 +50,8 @@ DATA = """dd AS (SELECT ticker, CAST(count(*) AS BIGINT) AS n_features, CAST(cou
 
 
 def drift_input(spark, sf):
-    return dr.autosplit(feat.features_full(bars_daily(spark, sf)))
+    """Features with the 70/30 ref/cur split; written once per run inside ``shared_inputs`` (several legs read it)."""
+    return reuse(("drift_input", sf), lambda: dr.autosplit(feat.features_full(bars_daily(spark, sf))))
 
 
 @register("ks_drift", f"{KS} SELECT ticker, feature, round(ks_stat, 6) AS ks_stat, n_ref, n_cur, "
