@@ -16,6 +16,25 @@ from tickerwise.schema import KEY, LATENCY_BUCKETS
 FIELD = "struct<name:string,value:string,inline:boolean>"
 
 
+# ---- fixed values: alert texts and formats (drift, performance, training complete), as the alerts read ----
+DRIFT_TITLE = "DRIFT DETECTED - "
+NO_DRIFT_TITLE = "No Drift Detected - "
+DRIFT_HEADER = "**Drift Detection Results**\n\n"
+DATA_DRIFT_YES = "- Data Drift: YES (%.1f%% of features, %d columns)\n"
+DATA_DRIFT_NO = "- Data Drift: NO\n"
+TARGET_DRIFT_YES = "- Target Drift: YES (score: %.3f)\n"
+TARGET_DRIFT_NO = "- Target Drift: NO\n"
+DRIFT_ACTION = "Review drift report and consider model retraining"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+PERFORMANCE_TITLE = "PERFORMANCE DEGRADATION - "
+PERFORMANCE_MESSAGE = "**Model performance has degraded by %.1f%%**\n\nCurrent vs Baseline:\n"
+PERFORMANCE_FIELD = "%.3f (was %.3f)"
+PERFORMANCE_ACTION = "Model should be retrained with recent data"
+TRAINING_TITLE = "Training Complete - "
+TRAINING_MESSAGE = "**Model training finished successfully**\n\nDuration: "
+# ---- end of fixed values ----
+
+
 def request_counts(log: DataFrame) -> DataFrame:
     """Requests by endpoint and status."""
     return log.groupBy("endpoint", "status").agg(F.count(F.lit(1)).alias("requests"))
@@ -50,20 +69,20 @@ def drift_alerts(summary: DataFrame, as_of: Column, key: str = KEY) -> DataFrame
     data, tgt = F.col("dataset_drift_detected"), F.col("target_drift_detected")
     any_drift = data | tgt
     msg = F.concat(
-        F.lit("**Drift Detection Results**\n\n"),
-        F.when(data, F.format_string("- Data Drift: YES (%.1f%% of features, %d columns)\n",
+        F.lit(DRIFT_HEADER),
+        F.when(data, F.format_string(DATA_DRIFT_YES,
                                      F.col("drift_share") * 100, F.col("num_drifted_columns")))
-        .otherwise(F.lit("- Data Drift: NO\n")),
-        F.when(tgt, F.format_string("- Target Drift: YES (score: %.3f)\n", F.col("target_drift_score")))
-        .otherwise(F.lit("- Target Drift: NO\n")))
+        .otherwise(F.lit(DATA_DRIFT_NO)),
+        F.when(tgt, F.format_string(TARGET_DRIFT_YES, F.col("target_drift_score")))
+        .otherwise(F.lit(TARGET_DRIFT_NO)))
     fields = F.array(_field("Ticker", F.col(key), True),
-                     _field("Timestamp", F.date_format(as_of, "yyyy-MM-dd HH:mm:ss"), True))
-    action = F.array(_field("Action Required", F.lit("Review drift report and consider model retraining"), False))
+                     _field("Timestamp", F.date_format(as_of, TIMESTAMP_FORMAT), True))
+    action = F.array(_field("Action Required", F.lit(DRIFT_ACTION), False))
     return summary.select(
         key,
         F.when(any_drift, F.lit("warning")).otherwise(F.lit("success")).alias("color"),
-        F.when(any_drift, F.concat(F.lit("DRIFT DETECTED - "), F.col(key)))
-        .otherwise(F.concat(F.lit("No Drift Detected - "), F.col(key))).alias("title"),
+        F.when(any_drift, F.concat(F.lit(DRIFT_TITLE), F.col(key)))
+        .otherwise(F.concat(F.lit(NO_DRIFT_TITLE), F.col(key))).alias("title"),
         msg.alias("message"),
         F.when(any_drift, F.concat(fields, action)).otherwise(fields).alias("fields"))
 
@@ -78,14 +97,14 @@ def performance_alerts(compare: DataFrame, key: str = KEY) -> DataFrame:
             .agg(F.first(F.struct("current", "baseline"))))
     acc_deg = F.when(F.col("accuracy.baseline") != 0, (F.col("accuracy.baseline") - F.col("accuracy.current"))
                      * 100.0 / F.col("accuracy.baseline"))
-    fields = F.array(*[_field(m.capitalize(), F.format_string("%.3f (was %.3f)", F.col(f"{m}.current"),
+    fields = F.array(*[_field(m.capitalize(), F.format_string(PERFORMANCE_FIELD, F.col(f"{m}.current"),
                                                               F.col(f"{m}.baseline")), True)
                        for m in ["accuracy", "precision", "recall", "f1"]],
-                     _field("Action Required", F.lit("Model should be retrained with recent data"), False))
+                     _field("Action Required", F.lit(PERFORMANCE_ACTION), False))
     return (wide.withColumn("degradation_pct", acc_deg).filter(F.col("degradation_pct") > 0)
             .select(key, F.lit("error").alias("color"),
-                    F.concat(F.lit("PERFORMANCE DEGRADATION - "), F.col(key)).alias("title"),
-                    F.format_string("**Model performance has degraded by %.1f%%**\n\nCurrent vs Baseline:\n",
+                    F.concat(F.lit(PERFORMANCE_TITLE), F.col(key)).alias("title"),
+                    F.format_string(PERFORMANCE_MESSAGE,
                                     F.col("degradation_pct")).alias("message"),
                     "degradation_pct", fields.alias("fields")))
 
@@ -96,7 +115,7 @@ def training_complete_alerts(metrics: DataFrame, training_time: Column, key: str
                      _field("F1-Score", F.format_string("%.3f", F.col("f1")), True),
                      _field("Ticker", F.col(key), True))
     return metrics.select(key, F.lit("success").alias("color"),
-                          F.concat(F.lit("Training Complete - "), F.col(key)).alias("title"),
-                          F.concat(F.lit("**Model training finished successfully**\n\nDuration: "),
+                          F.concat(F.lit(TRAINING_TITLE), F.col(key)).alias("title"),
+                          F.concat(F.lit(TRAINING_MESSAGE),
                                    F.format_string("%.1f", training_time), F.lit("s")).alias("message"),
                           fields.alias("fields"))
