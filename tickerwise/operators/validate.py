@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tickerwise.functions.exprs import null_safe_bool
 from tickerwise.schema import (
     EXAMPLES_SHOWN, FRESHNESS_MAX_DAYS, INTEGRITY_RULES, KEY, MAX_REMOVAL_PCT, OHLCV, ORDER,
-    QUALITY_ACCEPTABLE_PCT, REQUIRED_COLUMNS,
+    QUALITY_ACCEPTABLE_PCT, QUALITY_GRADES, REQUIRED_COLUMNS,
 )
 
 
@@ -235,9 +235,10 @@ def validate_bars_strict(df: DataFrame, seq: str | None = "seq", key: str = KEY,
 # ----------------------------------------------------------- V9, V10
 def quality_grade(rows_removed: Column, rows_before: Column) -> Column:
     """V9: EXCELLENT (nothing removed) / ACCEPTABLE (< 5 % removed) / NEEDS REVIEW."""
-    return (F.when(rows_removed == 0, F.lit("EXCELLENT"))
-            .when(rows_removed < rows_before * F.lit(QUALITY_ACCEPTABLE_PCT / 100.0), F.lit("ACCEPTABLE"))
-            .otherwise(F.lit("NEEDS REVIEW")))
+    excellent, acceptable, review = QUALITY_GRADES
+    return (F.when(rows_removed == 0, F.lit(excellent))
+            .when(rows_removed < rows_before * F.lit(QUALITY_ACCEPTABLE_PCT / 100.0), F.lit(acceptable))
+            .otherwise(F.lit(review)))
 
 
 def freshness(df: DataFrame, as_of: Column, key: str = KEY, order: str = ORDER,

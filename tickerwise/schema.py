@@ -39,6 +39,7 @@ INTEGRITY_RULES = [
     "low_greater_than_close",
 ]
 QUALITY_ACCEPTABLE_PCT = 5.0
+QUALITY_GRADES = ["EXCELLENT", "ACCEPTABLE", "NEEDS REVIEW"]
 FRESHNESS_MAX_DAYS = 7
 
 # feasibility thresholds
