@@ -285,7 +285,27 @@ def q_reproducibility(spark, sf):
     return md.reproducibility(scaled(spark, sf), FEATS, "logistic", n_runs=3, max_iter=100)
 
 
-@register("model_report")
+M4 = "accuracy, precision, recall, f1"
+MODEL_REPORT_SQL = f"""{BASE}, {MAJ_SQL}, {STRAT_SQL},
+mcm AS (SELECT ticker, split, {CM_COLS} FROM pred GROUP BY ticker, split),
+mm AS (SELECT ticker, split, {METRIC_COLS} FROM mcm),
+rcm AS (SELECT ticker, {CM_COLS} FROM strp GROUP BY ticker),
+rm AS (SELECT ticker, {METRIC_COLS} FROM rcm),
+jcm AS (SELECT ticker, {CM_COLS} FROM majp GROUP BY ticker),
+jm AS (SELECT ticker, {METRIC_COLS} FROM jcm)
+SELECT ticker, 'model_' || split AS section, metric, value
+  FROM (SELECT ticker, split, {M4} FROM mm) UNPIVOT (value FOR metric IN ({M4}))
+UNION ALL SELECT ticker, 'baseline_random' AS section, metric, value
+  FROM (SELECT ticker, {M4} FROM rm) UNPIVOT (value FOR metric IN ({M4}))
+UNION ALL SELECT ticker, 'baseline_majority' AS section, metric, value
+  FROM (SELECT ticker, {M4} FROM jm) UNPIVOT (value FOR metric IN ({M4}))
+UNION ALL SELECT ticker, 'dataset_info' AS section, metric, value FROM (
+  SELECT ticker, CAST(sum(n) FILTER (WHERE split = 'train') AS DOUBLE) AS train_size,
+    CAST(sum(n) FILTER (WHERE split = 'test') AS DOUBLE) AS test_size FROM mm GROUP BY ticker)
+  UNPIVOT (value FOR metric IN (train_size, test_size))"""
+
+
+@register("model_report", MODEL_REPORT_SQL)
 def q_model_report(spark, sf):
     """Long (ticker, section, metric, value) table of metrics, baselines, comparison, sizes."""
     p = predictions(spark, sf)
