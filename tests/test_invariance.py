@@ -8,7 +8,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 NAMES = ["dedup_keep_last", "validation_stats", "feasibility_report", "ks_drift", "asof_features",
-         "seeded_sample", "baseline_stratified", "time_contract", "local_ranking", "stream_dedup_last"]
+         "seeded_sample", "baseline_stratified", "time_contract", "local_ranking", "stream_dedup_last",
+         "score_requests", "ticker_predictions", "model_report"]
 
 
 def rows(df):
