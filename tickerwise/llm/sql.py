@@ -25,8 +25,8 @@ sh AS (
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT p.a, p.b FROM pairs p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.c >= 90 * (x.n + y.n - p.c)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT DISTINCT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON both.a = reach.r),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT DISTINCT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.r),
 comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
