@@ -31,3 +31,90 @@ comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+LINES = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, r, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
+common AS (SELECT key, max(doc_id) AS m FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+stay AS (SELECT k.r, string_agg(k.line, chr(10) ORDER BY k.p) AS t, count(*) AS n FROM k LEFT JOIN common c ON c.key = k.key
+         WHERE c.m IS NULL OR k.doc_id >= c.m GROUP BY k.r)
+SELECT d.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN stay USING (r)
+"""
+
+CONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS k
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0)),
+s AS (SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS k
+      FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n)),
+m AS (SELECT s.r, s.i, s.n, w.item_id FROM s JOIN w ON s.n = w.n AND s.k = w.k),
+h AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM m) GROUP BY r),
+t AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+CHAT = r"""
+WITH src AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+esc AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(text, '~', '~0'), '[INST]', '~1'), '[/INST]', '~2'),
+                '<s>', '~3'), '</s>', '~4'), '<<SYS>>', '~5'), '<</SYS>>', '~6'), '[TURN ', '~7'), '[/TURN]', '~8') AS safe,
+            replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(role, '~', '~0'), '[INST]', '~1'), '[/INST]', '~2'),
+                '<s>', '~3'), '</s>', '~4'), '<<SYS>>', '~5'), '<</SYS>>', '~6'), '[TURN ', '~7'), '[/TURN]', '~8'), ']', '~9') AS safe_role FROM src),
+one AS (
+  SELECT *, CASE role WHEN 'user' THEN '[INST] ' || text || ' [/INST]' WHEN 'assistant' THEN '<s> ' || text || ' </s>'
+                      WHEN 'system' THEN '<<SYS>> ' || text || ' <</SYS>>' ELSE '[TURN ' || role || '] ' || text || ' [/TURN]' END AS plain,
+            CASE role WHEN 'user' THEN '[INST] ' || safe || ' [/INST]' WHEN 'assistant' THEN '<s> ' || safe || ' </s>'
+                      WHEN 'system' THEN '<<SYS>> ' || safe || ' <</SYS>>' ELSE '[TURN ' || safe_role || '] ' || safe || ' [/TURN]' END AS careful FROM esc),
+conv AS (
+  SELECT conv_id, count(*) AS n_turns, list(plain ORDER BY turn, role, text) AS turns, string_agg(plain, '' ORDER BY turn, role, text) AS plain,
+         string_agg(careful, '' ORDER BY turn, role, text) AS careful,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss
+  FROM one GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(2 + CASE WHEN regexp_extract_all(plain, '(?s)<<SYS>> .*? <</SYS>>|\[INST\] .*? \[/INST\]|<s> .*? </s>|\[TURN [^\]]*\] .*? \[/TURN\]') = turns
+                     THEN length(plain) ELSE length(careful) END AS BIGINT) AS formatted_chars, true AS round_trip
+FROM conv
+"""
+
+_TEXT = r"""coalesce(html, '')"""
+for _p, _t in [(r"(?s)<!--.*?-->", "''"), (r"(?is)<script\b.*?</script\s*>", "''"), (r"(?is)<style\b.*?</style\s*>", "''"),
+               (r"(?i)</?(?:address|article|aside|blockquote|body|br|div|dl|dt|dd|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section"
+                r"|table|title|td|th|tr|ul)\b[^>]*>", "chr(10)"), (r"<[^>]*>", "''")]:
+    _TEXT = f"regexp_replace({_TEXT}, '{_p}', {_t}, 'g')"
+for _a, _b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
+    _TEXT = f"replace({_TEXT}, '{_a}', '{_b}')"
+for _p, _t in [(r"[ \t\r\f]+", "' '"), (r" ?\n[ \n]*", "chr(10)"), (r"^[ \n]+", "''"), (r"[ \n]+$", "''")]:
+    _TEXT = f"regexp_replace({_TEXT}, '{_p}', {_t}, 'g')"
+
+
+def _uuid(text: str) -> str:
+    h = f"md5({text})"
+    return f"'<urn:uuid:' || concat_ws('-', {', '.join(f'substr({h}, {a}, {n})' for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))}) || '>'"
+
+
+WARC = rf"""
+WITH src AS (
+  SELECT page_id, coalesce(html, '') AS payload, {_TEXT} AS plain,
+         replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS target_uri,
+         {_uuid("concat_ws(chr(31), 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(url, ''))")} AS refers_to FROM pages),
+rec AS (
+  SELECT page_id, refers_to, target_uri, payload, 'conversion' AS kind, 'metadata' AS other, 'text/plain; charset=UTF-8' AS content_type, plain AS block FROM src
+  UNION ALL
+  SELECT page_id, refers_to, target_uri, payload, 'metadata', 'conversion', 'application/warc-fields',
+         'source-header: Content-Type: text/html; charset=UTF-8' || chr(13) || chr(10) || 'source-length: ' || CAST(strlen(payload) AS VARCHAR) || chr(13) || chr(10)
+         || 'source-digest: sha256:' || sha256(payload) || chr(13) || chr(10) FROM src)
+SELECT page_id, kind, {_uuid("concat_ws(chr(31), kind, refers_to)")} AS record_id, refers_to, {_uuid("concat_ws(chr(31), other, refers_to)")} AS concurrent_to,
+       target_uri, content_type, 'sha256:' || sha256(block) AS block_digest, 'sha256:' || sha256(payload) AS payload_digest,
+       CAST(strlen(block) AS BIGINT) AS content_length, block
+FROM rec
+"""
