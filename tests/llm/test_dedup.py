@@ -73,6 +73,16 @@ def test_jaccard_in_many_small_cells_and_stars(spark, monkeypatch):
     assert len({r[2] for r in want}) < 60
 
 
+@pytest.mark.parametrize("tiers", [[(0, None), (5, 1.1)], [(0, None), (5, 1.6), (60, 1.2)], [(0, None), (20, 3.0), (100, 2.0)]])
+def test_jaccard_with_sets_that_have_too_few_indexed_shingles(spark, monkeypatch, tiers):
+    """A tiny indexed share leaves many sets short; they and the sizes beside them are indexed in full."""
+    from tickerwise.llm import jaccard
+    monkeypatch.setattr(jaccard, "TIERS", tiers)
+    rows = cases.edge_docs()
+    got = ngram_jaccard(cases.doc_frame(spark), 3, 90, 100)
+    assert cases.multiset(got.collect()) == cases.jaccard_answer(rows, 3, 90, 100)
+
+
 def test_jaccard_at_the_threshold(spark):
     """19 shared of 21 is 0.9048, 18 of 22 is 0.818: words as shingles, so that sizes are exact."""
     a = [f"t{i}" for i in range(20)]

@@ -1,18 +1,23 @@
 """Exact n-gram Jaccard join with adaptive multi-match prefixes.
 
-A document's set holds its distinct word shingles, ordered by rarity (a global order).  Two sets of similarity t share
-at least l shingles among the first ``|x| - ceil(t|x|) + l`` of each, for every l.  Each document estimates from the
-counts of its prefix shingles how many candidates it would meet; where that is many, it takes a longer prefix (larger
-l) and a partner must share correspondingly more of it, the smaller l of the two, before the pair is verified.
-
-Shape of the job (nothing here is quadratic in a class, and no text travels more than twice):
-1. one pass counts words in a sketch of fixed size; a shingle's rarity is the sum of its words' log counts;
-2. one pass writes size, 128-bit digest and prefix of every document; equal sets become one class;
-3. prefix shingles are counted; those of two or more classes make candidate links: pairs with enough matches where a
-   shingle has few holders, a star around the smallest holder where it has many (no pairs within a hot group);
-4. connected candidates form clumps, cut into cells of bounded size by set size and hash; texts go to pairs of cells,
-   where the multi-match test and then the exact similarity decide, and only a spanning forest of links comes out;
-5. connected components over classes give every document the smallest doc_id it reaches.
+A document's set holds its distinct word shingles.  In a set x with similarity threshold t at most
+``slack = |x| - ceil(t|x|)`` shingles are missing from a partner.  So, with one global order of shingles, two similar sets
+share at least l shingles among the first ``slack + l`` of each, for every l, and the same holds inside any part of the
+shingle space of which a set has that many.  The order is by exact rarity.  Each document estimates from the counts of
+its prefix shingles how many candidates it would meet; where that is many, it takes a longer prefix (larger l), and a
+pair must share the smaller l of the two before it is verified.
+
+Shape of the job (no step is quadratic in a class of copies, and only texts of likely partners travel):
+1. One pass writes size, 128-bit digest and the shingles that are indexed: everything for small sets, for larger ones a fixed
+   share of the hash space (``TIERS``, in slacks).  Sets just above a tier's limit are in both tiers.  Should a set have
+   too few shingles in its share, all sets of its size and the sizes beside it are indexed in full as well.
+2. Shingles held by one class of equal sets only are found in one exchange (``repeats``).  A set with more of them than
+   its slack has no partner and is done.
+3. The rest orders its shared shingles by count.  Prefix shingles of two or more classes make candidate links: pairs with
+   enough matches where a shingle has few holders, a star around the smallest holder where it has many.
+4. Connected candidates form clumps, cut into cells of bounded size by set size and hash; texts go to pairs of cells,
+   where the multi-match test and then the exact similarity decide, and only a spanning forest of links comes out.
+5. Connected components over classes give every document the smallest doc_id it reaches.
 """
 
 from __future__ import annotations
@@ -21,58 +26,31 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerwise.llm.common import COUNTER_BITS, COUNTER_ROWS, Workspace, connected_components, partitions, sum_counters
+from tickerwise.llm.common import Workspace, connected_components
+from tickerwise.llm.repeats import Sender, repeated, schema
 from tickerwise.llm.words import Chunk, chunks, mix
 
 MAX_MATCH = 4       # longest prefix extension: up to 4 shared shingles are asked for
 FEW = 16            # a shingle held by at most so many classes makes pairs, by more a star
 CELL = 400          # documents of a clump that are compared in one task
 CANDIDATES = 8      # estimated candidates per required match above which a prefix is lengthened
-SLICE = 1 << 14
+#: (smallest set size, indexed share of the shingles in slacks; None: all of them)
+TIERS = [(0, None), (200, 2.5), (800, 1.7)]
 _SALT = np.uint64(0xA0761D6478BD642F)
+_PARTS = [np.uint64(k * 0x5851F42D4C957F2D % 2**64) for k in range(4)]  # the tiers, then sizes with a short set in full
 
 
-def _buckets(word_hash: np.ndarray) -> list[np.ndarray]:
-    shift = np.uint64(64 - COUNTER_BITS)
-    return [(h >> shift).astype(np.int64) for h in (word_hash, mix(word_hash ^ _SALT))][:COUNTER_ROWS]
-
-
-def word_weights(docs: DataFrame, lower: bool = True) -> np.ndarray:
-    """Sketch of word counts over all documents as 16 * log2(1 + count); shape (COUNTER_ROWS, 2**COUNTER_BITS)."""
-    def count(batches):
-        total = np.zeros((COUNTER_ROWS, 1 << COUNTER_BITS), np.int64)
-        for b in batches:
-            for c in chunks(b.column(0), "space", lower):
-                for r, at in enumerate(_buckets(c.hashes())):
-                    total[r] += np.bincount(at, minlength=1 << COUNTER_BITS)
-        flat = total.reshape(-1, SLICE)
-        some = np.flatnonzero(flat.any(axis=1))
-        yield pa.record_batch({"slice": pa.array(some, pa.int32()), "counts": pa.array([flat[s].tobytes() for s in some], pa.binary())})
-
-    got = sum_counters(docs.select("text").mapInArrow(count, "slice int, counts binary"))
-    flat = np.zeros((COUNTER_ROWS << COUNTER_BITS) // SLICE * SLICE, np.int64).reshape(-1, SLICE)
-    for s, c in got.items():
-        flat[s] = c
-    return (16 * np.log2(1 + flat.reshape(COUNTER_ROWS, -1))).astype(np.uint16)
-
-
-def _rows(c: Chunk, n: int, weights: np.ndarray):
-    """Per row of a chunk: distinct shingle hashes ordered by rarity (weight, then hash)."""
+def _rows(c: Chunk, n: int):
+    """Per row of a chunk: distinct shingle hashes, sorted."""
     wh = c.hashes()
-    sh, fits = c.shingles(wh, n)
-    w = np.minimum.reduce([weights[r][at] for r, at in enumerate(_buckets(wh))]).astype(np.uint64) if len(wh) else np.zeros(0, np.uint64)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(w, dtype=np.uint64)])
-    weight = np.zeros(len(wh), np.uint64)
-    if len(wh) >= n:
-        weight[:len(wh) - n + 1] = sums[n:] - sums[:-n]
+    sh, _ = c.shingles(wh, n)
     for r in range(c.hi - c.lo):
         a, b = c.bound[r], c.bound[r + 1]
         if b - a >= n:
-            h, at = np.unique(sh[a:b - n + 1], return_index=True)
-            yield h[np.argsort(weight[a:b - n + 1][at], kind="stable")]
+            yield np.unique(sh[a:b - n + 1])
         elif b > a:  # fewer words than a shingle: the whole sequence is the only member
             acc = np.uint64(b - a)
             with np.errstate(over="ignore"):
@@ -87,22 +65,69 @@ def _need(n, num: int, den: int):
     return -(-num * n // den)
 
 
-def _profile(shingle: int, num: int, den: int, lower: bool, weights: np.ndarray):
+def _step(n: int, num: int, den: int) -> int:
+    """Size step of a set: similar sets lie in the same step or in neighbouring ones."""
+    return math.floor(math.log(n) / (1.01 * math.log(den / num)))
+
+
+def _profile(shingle: int, num: int, den: int, lower: bool, full: frozenset | None = None):
+    """(doc_id, text) -> size, digest, and per part the indexed shingles; ``full``: only sets of these size steps, in full."""
+    tiers = [(lo, TIERS[k + 1][0] if k + 1 < len(TIERS) else None,
+              None if share is None else np.uint64(min(2**64 - 1, int(min(1.0, share * (den - num) / den) * 2**64))))
+             for k, (lo, share) in enumerate(TIERS)]
+
     def run(batches):
         for b in batches:
-            d1, d2, size, prefix = [], [], [], []
+            d1, d2, size, short, parts = [], [], [], [], ([], [], [], [])
             for c in chunks(b.column(1), "space", lower):
-                for h in _rows(c, shingle, weights):
+                for h in _rows(c, shingle):
                     n = len(h)
                     d1.append(int(mix(h).sum(dtype=np.uint64).view(np.int64)))
                     d2.append(int(mix(h ^ _SALT).sum(dtype=np.uint64).view(np.int64)))
                     size.append(n)
-                    prefix.append(h[:n - _need(n, num, den) + min(MAX_MATCH, _need(n, num, den))].view(np.int64))
-            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array(size, pa.int64()), "d1": pa.array(d1, pa.int64()),
-                                   "d2": pa.array(d2, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
+                    few, mine = False, [None] * 4
+                    if full is None:
+                        for k, (lo, above, limit) in enumerate(tiers):
+                            if n and lo <= n and (above is None or n * num < above * den):
+                                some = h if limit is None else h[:np.searchsorted(h, limit, side="right")]
+                                few |= len(some) < n and len(some) < n - _need(n, num, den) + MAX_MATCH
+                                mine[k] = some.view(np.int64)
+                    elif n and _step(n, num, den) in full:
+                        mine[3] = h.view(np.int64)
+                    short.append(few)
+                    for part, tokens in zip(parts, mine):
+                        part.append(tokens)
+            arrays = [pa.array(p, pa.list_(pa.int64())) for p in parts]
+            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(short, pa.bool_()), *arrays],
+                                  names=["doc_id", "n", "d1", "d2", "short", "t0", "t1", "t2", "t3"])
     return run
 
 
+PROFILE = "doc_id long, n long, d1 long, d2 long, short boolean, t0 array<long>, t1 array<long>, t2 array<long>, t3 array<long>"
+
+
+def _node(d1, part: int):
+    """A class of equal sets in one part: the digest with the part in its last two bits."""
+    return (d1 & ~np.int64(3)) | np.int64(part)
+
+
+def _index(batches):
+    """(d1, t0..t3) -> rows (shingle of a part, class in that part) for the exchange."""
+    sender = Sender(smaller=False, wide=False)
+    for b in batches:
+        d1 = b.column(0).to_numpy()
+        for part in range(4):
+            lists = b.column(1 + part)
+            held = lists.flatten().to_numpy().view(np.uint64)
+            counts = np.diff(lists.offsets.to_numpy())
+            counts[~lists.is_valid().to_numpy(zero_copy_only=False)] = 0
+            node = _node(np.repeat(d1, counts), part).astype(np.int64)
+            key = mix(held ^ _PARTS[part])
+            for lo in range(0, len(key), 250_000):
+                yield from sender.add(key[lo:lo + 250_000], np.zeros(len(key[lo:lo + 250_000]), np.int64), node[lo:lo + 250_000])
+    yield from sender.flush()
+
+
 def _postings(sets: list[np.ndarray]):
     """Inverted index of a few sets: for set i, how many members each other set shares with it."""
     sizes = np.array([len(s) for s in sets])
@@ -120,15 +145,14 @@ def _postings(sets: list[np.ndarray]):
     return shared
 
 
-def _verify(shingle: int, num: int, den: int, lower: bool, weights: np.ndarray):
+def _verify(shingle: int, num: int, den: int, lower: bool):
     """One pair of cells: multi-match test on the prefixes, exact similarity, spanning forest of the links."""
     def run(table: pa.Table) -> pa.Table:
         ids, side = table["rep"].to_numpy(), table["side"].to_numpy()
         match, home = table["match"].to_numpy(), table["home"].to_numpy()
-        sets = [h for c in chunks(table["text"], "space", lower) for h in _rows(c, shingle, weights)]
+        sets = [h for c in chunks(table["text"], "space", lower) for h in _rows(c, shingle)]
+        prefixes = [np.unique(np.array(p, np.int64)) for p in table["prefix"].to_pylist()]
         n = np.array([len(s) for s in sets])
-        need = _need(n, num, den)
-        prefixes = [s[:k] for s, k in zip(sets, n - need + match)]
         parent = list(range(len(sets)))
 
         def root(i):
@@ -138,8 +162,9 @@ def _verify(shingle: int, num: int, den: int, lower: bool, weights: np.ndarray):
         a, b = [], []
         if len(sets) > 1:
             near, all_of = _postings(prefixes), _postings(sets)
+            later = np.arange(len(sets))
             for i in range(len(sets)):
-                other = (home | (side != side[i])) & (np.arange(len(sets)) > i) & (np.minimum(n, n[i]) * den >= np.maximum(n, n[i]) * num)
+                other = (home | (side != side[i])) & (later > i) & (np.minimum(n, n[i]) * den >= np.maximum(n, n[i]) * num)
                 if not other.any():
                     continue
                 other &= near(i) >= np.minimum(match, match[i])
@@ -155,30 +180,55 @@ def _verify(shingle: int, num: int, den: int, lower: bool, weights: np.ndarray):
     return run
 
 
-def _candidate_links(reps: DataFrame, num: int, den: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """(links between classes that may be similar, classes with their number of required matches)."""
-    base = f"n - (({num} * n + {den - 1}) div {den})"
-    tokens = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
-    held = tokens.groupBy("token").agg(F.count("*").alias("holders"), F.min("rep").alias("pivot")).where("holders > 1")
-    shared = work.table(tokens.join(held, "token"), "shared")
-    cost = [F.sum(F.when(F.expr(f"pos < {base} + {k}"), F.col("holders") - 1).otherwise(0)) for k in range(1, MAX_MATCH + 1)]
+def _prefixes(profile: DataFrame, num: int, den: int, work: Workspace) -> DataFrame:
+    """Prefix shingles of classes that can have a partner: (node, rep, n, token, holders, pivot, pos)."""
+    sizes = F.array(*[F.struct(F.lit(p).alias("part"), F.size(f"t{p}").alias("held")) for p in range(4)])
+    nodes = (profile.select("doc_id", "n", "d1", F.explode(sizes).alias("p")).where("p.held >= 0")
+             .select("doc_id", "n", F.expr("(d1 & ~3L) | p.part").alias("node"), "p.held")
+             .groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("held").alias("held")))
+    rows = profile.select("d1", "t0", "t1", "t2", "t3").mapInArrow(_index, schema(wide=False))
+    found = repeated(rows, smaller=False, wide=False).select(F.col("doc").alias("node"), F.col("key").alias("token")).distinct()
+    found = work.table(found, "repeated")
+    seen = found.groupBy("node").agg(F.count("*").alias("seen"))
+    slack = f"(n - (({num} * n + {den - 1}) div {den}))"
+    alive = work.table(nodes.join(seen, "node").where(f"held - seen <= {slack}").select("node", "rep", "n", "held"), "alive")
+    tokens = work.table(found.join(alive, "node"), "tokens")
+    holders = tokens.groupBy("token").agg(F.count("*").alias("holders"), F.min("rep").alias("pivot")).where("holders > 1")
+    holders = work.table(holders, "holders")  # both sides of the join are then dealt anew, so a hot shingle's rows can be split
+    shared = tokens.join(holders, "token")
+    # shingles nobody else holds come first in the order; they match nothing and only use up prefix places
+    order = Window.partitionBy("node").orderBy("holders", "token")
+    place = (F.row_number().over(order) - 1 + F.col("held") - F.count("*").over(Window.partitionBy("node"))).alias("pos")
+    placed = shared.select("node", "rep", "n", "token", "holders", "pivot", place)
+    out = work.table(placed.where(f"pos < {slack} + {MAX_MATCH}"), "prefix")
+    for name in ("repeated", "tokens", "holders"):
+        work.drop(name)
+    return out
+
+
+def _candidate_links(prefix: DataFrame, num: int, den: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(links between classes that may be similar, classes with required matches and prefix)."""
+    need = f"(({num} * n + {den - 1}) div {den})"
+    cost = [F.sum(F.when(F.expr(f"pos < n - {need} + {k}"), F.col("holders") - 1).otherwise(0)) for k in range(1, MAX_MATCH + 1)]
     match = F.when(cost[0] <= CANDIDATES, 1)
     for k in range(2, MAX_MATCH):
         match = match.when(cost[k - 1] <= CANDIDATES * k, k)
-    match = F.least(match.otherwise(MAX_MATCH), F.expr(f"max(({num} * n + {den - 1}) div {den})")).cast("int")
-    ell = work.table(shared.groupBy("rep").agg(match.alias("match"), F.max("n").alias("n")), "match")
-    used = shared.join(ell.select("rep", "match"), "rep").where(F.expr(f"pos < {base} + match"))
-    few = (used.where(F.col("holders") <= FEW).groupBy("token").agg(F.collect_list(F.struct("rep", "match")).alias("m"))
+    match = F.least(match.otherwise(MAX_MATCH), F.expr(f"max({need})")).cast("int")
+    ell = prefix.groupBy("node").agg(match.alias("match"))
+    used = work.table(prefix.join(ell, "node").where(f"pos < n - {need} + match"), "used")
+    few = (used.where(F.col("holders") <= FEW).groupBy("token").agg(F.collect_list(F.struct("node", "rep", "n", "match")).alias("m"))
            .where("size(m) > 1").select("m", F.explode("m").alias("a"))
-           .select("a", F.explode(F.expr("filter(m, x -> x.rep > a.rep)")).alias("b"))
-           .groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
-           .agg(F.count("*").alias("got"), F.min(F.least("a.match", "b.match")).alias("asked")).where("got >= asked").select("a", "b"))
+           .select("a", F.explode(F.expr(f"filter(m, x -> x.rep > a.rep and least(x.n, a.n) * {den} >= greatest(x.n, a.n) * {num})")).alias("b"))
+           .groupBy(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
+           .agg(F.count("*").alias("got"), F.min(F.least("a.match", "b.match")).alias("asked"), F.min("a.rep").alias("a"), F.min("b.rep").alias("b"))
+           .where("got >= asked").select("a", "b"))
     many = used.where((F.col("holders") > FEW) & (F.col("rep") != F.col("pivot"))).select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    return few.union(many), ell
+    reps = used.groupBy("rep").agg(F.max("n").alias("n"), F.min("match").alias("match"), F.collect_set("token").alias("prefix"))
+    return few.union(many), reps
 
 
 def _cells(clumps: DataFrame, num: int, den: int) -> DataFrame:
-    """Deal each clump's classes to pairs of cells so that every pair of similar size meets in exactly one task or more.
+    """Deal each clump's classes to pairs of cells so that every pair of similar size meets in a task.
 
     Sizes that differ by more than the threshold allows lie two or more steps apart, so a cell meets only its own and
     the neighbouring steps; a step of many classes is cut by hash.
@@ -197,7 +247,7 @@ def _cells(clumps: DataFrame, num: int, den: int) -> DataFrame:
     up = "transform(sequence(0, above - 1), k -> " + task.format(s="step", i="cell", t="step + 1", j="k", side="0", home="false") + ")"
     down = "transform(sequence(0, below - 1), k -> " + task.format(s="step - 1", i="k", t="step", j="cell", side="1", home="false") + ")"
     tasks = F.expr(f"concat({same}, if(above is null, array(), {up}), if(below is null, array(), {down}))")
-    return y.select("clump", "rep", "match", F.explode(tasks).alias("task")).select("clump", "rep", "match", "task.*")
+    return y.select("clump", "rep", "match", "prefix", F.explode(tasks).alias("task")).select("clump", "rep", "match", "prefix", "task.*")
 
 
 def ngram_jaccard(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100, lower: bool = True) -> DataFrame:
@@ -210,22 +260,27 @@ def ngram_jaccard(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 1
     without doc_id is linked with nothing and has no component.  Empty table: empty result.
     Shingles are compared by 64-bit hashes within a pair, whole sets by 128-bit digests.
     """
-    spark = docs.sparkSession
-    work = Workspace(spark)
+    if not 0 < num < den:
+        raise ValueError(f"threshold {num}/{den} must lie between 0 and 1")
+    work = Workspace(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    weights = word_weights(base, lower)
-    profile = work.table(base.mapInArrow(_profile(shingle, num, den, lower, weights),
-                                         "doc_id long, n long, d1 long, d2 long, prefix array<long>"), "profile")
+    profile = work.table(base.mapInArrow(_profile(shingle, num, den, lower), PROFILE), "profile")
     some = profile.where("doc_id is not null and n > 0")
-    reps = work.table(some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix")), "reps")
-    links, ell = _candidate_links(reps, num, den, work)
+    indexed = some
+    short = {_step(r["n"], num, den) for r in some.where("short").select("n").distinct().collect()}  # sizes only: as many as the longest text allows
+    if short:
+        steps = frozenset(s + d for s in short for d in (-1, 0, 1))
+        indexed = some.union(work.table(base.where("doc_id is not null").mapInArrow(_profile(shingle, num, den, lower, steps), PROFILE), "full").where("t3 is not null"))
+    reps = some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
+    links, classes = _candidate_links(_prefixes(indexed, num, den, work), num, den, work)
     clumps = connected_components(links, work, "clump").select(F.col("node").alias("rep"), F.col("component").alias("clump"))
-    tasks = _cells(clumps.join(ell, "rep"), num, den)
+    tasks = work.table(_cells(clumps.join(classes, "rep"), num, den), "tasks")
     work.release()
-    texts = work.table(tasks.select("rep").distinct().join(base, F.col("rep") == F.col("doc_id")).select("rep", "text"), "texts")
-    dealt = tasks.join(texts, "rep")
-    verified = dealt.groupBy("clump", "s", "i", "t", "j").applyInArrow(_verify(shingle, num, den, lower, weights), "a long, b long")
-    same_id = some.groupBy("doc_id").agg(F.count_distinct("d1", "d2").alias("sets"), F.min("d1").alias("x")).where("sets > 1").select("doc_id")
+    wanted = tasks.select(F.col("rep").alias("wanted")).distinct()
+    texts = base.join(wanted, F.col("doc_id") == F.col("wanted")).select(F.col("doc_id").alias("rep"), "text")
+    verified = (tasks.join(texts, "rep").groupBy("clump", "s", "i", "t", "j")
+                .applyInArrow(_verify(shingle, num, den, lower), "a long, b long"))
+    same_id = some.groupBy("doc_id").agg(F.count_distinct("d1", "d2").alias("sets")).where("sets > 1").select("doc_id")
     own = (some.join(same_id, "doc_id").join(reps, ["d1", "d2", "n"]).where("rep <> doc_id")
            .select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct())
     found = connected_components(verified.union(own), work, "links")
