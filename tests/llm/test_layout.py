@@ -28,6 +28,8 @@ def ids_of(texts):
 def test_encoder_equals_the_tokenizer():
     texts = ["", "Hello, World! it's  we'll 12 345\t\n x", "ÀÉ ́a é \U0001f600‍\U0001f600 İ ΣΑΣ ΟΔΟΣ.", "a b c\u0085d\x1ce", "<|endoftext|> x<|startoftext|>y",
              "̧́ q", "don't'll's", "x" * 3000, "한국어 テスト 中文。", "ﬁ ½ ²", "a\x00b", "क्ष क्षि"] + [t for _, t in cases.edge_docs()[:60] if t]
+    texts += ["it's ''s 's's &&&'s 'LL 'Re", "a1b22²½ªº µß Ÿ ÿ Ǆ ǅ Ⱥ Ɱ", "x\u00a0y\u00ady\x1cz\x7f\u0085", "ŉ ſ ẞ ß", "".join(map(chr, range(0x21, 0x250))),
+              " ".join(map(chr, range(0x21, 0x250))), "\u0130x", "_a_ __ a_b-c", "<|endoftext", "w" * 70 + " " + "&" * 70 + "9" * 70]
     encode = encoder(tokenizer_path())
     for _ in range(2):  # the second time from the cache
         assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == ids_of(texts)

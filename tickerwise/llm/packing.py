@@ -11,6 +11,8 @@ two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -19,38 +21,86 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD_CACHE = 400_000  # words whose ids a worker remembers; then it starts anew
+PIECE_CACHE = 1_000_000  # pieces whose ids a worker remembers; then it starts anew
 LONGEST_CACHED = 64
-_cache: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+JOINED = 2_000           # new pieces encoded in one call
+_cache: dict[str, tuple] = {}
+
+# fixed values: the tokenizer's rule for pieces, its special tokens, and the contractions it keeps whole
+CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
+SPECIAL = ["<|startoftext|>", "<|endoftext|>"]
+
+
+def _plain() -> tuple[re.Pattern, re.Pattern]:
+    """(texts whose pieces Python finds exactly as the tokenizer does, the pieces of such a lower-cased text).
+
+    Those are texts of printable ASCII, ASCII white space and the Latin letters and signs up to U+024F: there normal form C changes
+    nothing and lower-casing is one to one (the capital dotted i is left out).
+    """
+    chars = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250)) if c != 0x130]
+    group = lambda kind: "".join(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind)
+    letters, numbers = group("L"), group("N")
+    blank = " \t\n\x0b\x0c\r"
+    return (re.compile(f"[{re.escape(''.join(chars))}{blank}]*"),
+            re.compile("|".join(CONTRACTIONS) + f"|[{letters}]+|[{numbers}]|[^{blank}{letters}{numbers}]+"))
 
 
 def encoder(path: str):
-    """texts -> their ids as little-endian 32-bit bytes.
+    """texts -> their ids as little-endian 32-bit bytes, equal to the tokenizer's.
 
-    The tokenizer never joins characters across ASCII white space (its pre-tokenizer drops white space, and none of its
-    steps looks past it), so a text's ids are those of its white-space-free runs, one after the other, and a run's ids
-    can be remembered.
+    The tokenizer cuts a text into pieces (letters, single digits, runs of signs) and encodes each on its own, so a text's
+    ids are those of its pieces, one after the other, and a piece's ids can be remembered.  Texts with other characters or special
+    tokens are cut at ASCII white space only, across which no step of the tokenizer looks, and these runs are
+    encoded whole.
     """
     if path not in _cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _cache[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _cache[path]
+        t = Tokenizer.from_file(path)
+        ends = np.zeros(t.get_vocab_size(), bool)
+        ends[[i for w, i in t.get_vocab().items() if w.endswith("</w>")]] = True
+        _cache[path] = (t, ends, {}, {}, *_plain())
+    tokenizer, ends, pieces, runs, plain, cut = _cache[path]
+
+    def each(words: list[str], known: dict, key) -> dict:
+        late = {}
+        for w, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            (known if len(w) <= LONGEST_CACHED else late)[key(w)] = np.array(e.ids, "<u4").tobytes()
+        return late
+
+    def learn(fresh: list[str]) -> dict:
+        """Ids of new pieces; a piece ends with the only id of its kind, so many are encoded in one call."""
+        late = {}
+        for lo in range(0, len(fresh), JOINED):
+            part = fresh[lo:lo + JOINED]
+            ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            stop = np.flatnonzero(ends[ids]) + 1
+            if len(stop) != len(part) or stop[-1] != len(ids):
+                late |= each(part, pieces, lambda w: w)
+                continue
+            data, a = ids.tobytes(), 0
+            for w, z in zip(part, stop.tolist()):
+                (pieces if len(w) <= LONGEST_CACHED else late)[w] = data[4 * a:4 * z]
+                a = z
+        return late
+
+    def join(words: list[list], known: dict, more) -> list[bytes]:
+        fresh = set().union(*words).difference(known)
+        if len(known) + len(fresh) > PIECE_CACHE:
+            known.clear()
+            fresh = set().union(*words)
+        late = more(sorted(fresh))
+        if late:
+            return [b"".join([known[x] if x in known else late[x] for x in w]) for w in words]
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
     def encode(texts: list[str]) -> list[bytes]:
-        runs = [t.encode().split() for t in texts]
-        fresh = list(set().union(*runs).difference(known)) if runs else []
-        if len(known) + len(fresh) > WORD_CACHE:
-            known.clear()
-            fresh = list(set().union(*runs))
-        long = {}
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i:i + 10_000]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                (known if len(w) <= LONGEST_CACHED else long)[w] = np.array(e.ids, "<u4").tobytes()
-        if long:
-            return [b"".join([known[w] if w in known else long[w] for w in r]) for r in runs]
-        return [b"".join(map(known.__getitem__, r)) for r in runs]
+        easy = [plain.fullmatch(t) is not None and not any(x in t for x in SPECIAL) for t in texts]
+        found = join([cut.findall(t.lower()) for t, e in zip(texts, easy) if e], pieces, learn)
+        rest = join([t.encode().split() for t, e in zip(texts, easy) if not e], runs,
+                    lambda fresh: each([w.decode() for w in fresh], runs, str.encode))
+        found, rest = iter(found), iter(rest)
+        return [next(found if e else rest) for e in easy]
     return encode
 
 
