@@ -70,6 +70,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, carry: l
                        .mapInArrow(_keys(min_chars), "doc_id long, mark long, pos int, k1 long, k2 long"), "lines")
     common = (lines.groupBy("k1", "k2").agg(F.count_distinct("doc_id").alias("held"), F.max("doc_id").alias("keeper"))
               .where(F.col("held") >= min_docs).select("k1", "k2", "keeper"))
+    common = work.table(common, "common")  # both sides of the join are then dealt anew, so a hot line's rows can be split
     gone = (lines.join(common, ["k1", "k2"]).where("doc_id < keeper")
             .groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone"))
             .select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "gone"))
