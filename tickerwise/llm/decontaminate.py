@@ -133,7 +133,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     prefix = (asked.groupBy("words").agg(F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "offset", "token")).alias("p"))
               .where("p.held > 0").select("words", "p.offset", "p.token"))
     owners = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
-    prefix = prefix.join(owners, "words")
+    prefix = work.table(prefix.join(owners, "words"), "prefix")  # both sides of the join are dealt anew: a hot token's rows can be split
     start = F.col("pos") - F.col("offset")
     met = hits.join(prefix, "token").withColumn("start", start).where((F.col("start") >= 0) & (F.col("start") + F.size("words") <= F.col("n_words")))
     met = met.where((F.col("start") >= F.col("first")) & (F.slice("around", (F.col("start") - F.col("first") + 1).cast("int"), F.size("words")) == F.col("words")))
