@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import time
 import uuid
 
 import numpy as np
@@ -37,8 +39,14 @@ class Workspace:
         self._remove(f"{self.path}/{name}")
 
     def release(self) -> None:
-        """Ask the driver's collector to run, so Spark's cleaner removes shuffle files that no table needs any more."""
-        self.spark.sparkContext._jvm.System.gc()
+        """Let Spark's cleaner remove shuffle files that no table needs any more.
+
+        It acts on what the driver's collector finds unreachable, asynchronously: hence the calls and pauses.
+        """
+        gc.collect()
+        for _ in range(3):
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.7)
 
     def _remove(self, path: str) -> None:
         if self.spark.sparkContext._jsc is None:

@@ -7,9 +7,7 @@ smallest hash, which is the same wherever the window stands, so a repeated windo
 to twice the length, until none are left or the full length decides: a full window that also starts in a document with
 a smaller doc_id has its words removed.
 
-Hot passages: each task resolves what it can see in its own batch and sends one row per key for the rest, so a passage
-held by a third of all documents costs one row per batch.  A key's rows are streamed in sorted order with one carried
-row, so no group is ever held in memory.
+The exchange of keys is that of ``repeats``: safe for passages that a third of all documents hold.
 """
 
 from __future__ import annotations
@@ -21,14 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerwise.llm.common import Workspace, partitions
+from tickerwise.llm.common import Workspace
+from tickerwise.llm.repeats import Sender, repeated, schema
 from tickerwise.llm.words import chunks, slide_min
 
-FLUSH = 1_000_000  # keys pre-aggregated together in a task before they are sent
-KEYS = "route long, key long, key2 long, doc long, state int"
-OPEN, REPEATED, DONE = 0, 1, 2  # state of a row: to be compared, known to be repeated, already decided
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-SPAN = np.uint64(2**64 - 1)
 
 
 def lengths(window: int, start: int) -> list[int]:
@@ -49,53 +44,15 @@ def _anchors(c, window: int, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
         part, _ = c.shingles(wh, length)
         key[:n - window + 1] = slide_min(part[:n - length + 1], window - length + 1)
         if length == window:
-            key2, _ = c.shingles(c.hashes(1), length, 1)
+            key2 = c.shingles(c.hashes(1), length, 1)[0] >> np.uint64(32)
     return key, key2, fits
 
 
-def _distinct(key, key2, doc):
-    order = np.lexsort((doc, key2, key))
-    key, key2, doc = key[order], key2[order], doc[order]
-    if len(key):
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (key2[1:] != key2[:-1]) | (doc[1:] != doc[:-1])
-        key, key2, doc = key[new], key2[new], doc[new]
-    return key, key2, doc
-
-
-def _groups(key, key2):
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (key2[1:] != key2[:-1])
-    first = np.flatnonzero(new)
-    return new, first, np.cumsum(new) - 1
-
-
-def _batch(key, key2, doc, state, route=None):
-    i64 = lambda a: pa.array(a.view(np.int64) if a.dtype == np.uint64 else a.astype(np.int64))
-    return pa.record_batch({"route": i64(key if route is None else route), "key": i64(key), "key2": i64(key2), "doc": i64(doc),
-                            "state": pa.array(state.astype(np.int32))})
-
-
-def _send(parts, last: bool):
-    """Pre-aggregate one task's keys: decide within the batch, send one open row per key."""
-    key, key2, doc = _distinct(*(np.concatenate(x) for x in zip(*parts)))
-    if not len(key):
-        return
-    new, first, group = _groups(key, key2)
-    several = np.diff(np.append(first, len(key))) > 1
-    state = np.where(several[group] & (not last), REPEATED, OPEN)
-    yield _batch(key[new], key2[new], doc[new], state[new])
-    decided = ~new if last else several[group]  # the batch itself holds another (a smaller) document with the key
-    if decided.any():
-        k, d = key[decided], doc[decided]
-        yield _batch(k, key2[decided], d, np.full(len(k), DONE), k ^ (d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-
-
 def _emit(window: int, length: int, with_keys: bool):
     last = length == window
 
     def run(batches):
-        parts, held = [], 0
+        sender = Sender(smaller=last, wide=last)
         for b in batches:
             docs = b.column(0)
             ids, there = docs.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), docs.is_valid().to_numpy(zero_copy_only=False)
@@ -104,18 +61,12 @@ def _emit(window: int, length: int, with_keys: bool):
                 fits &= there[c.lo:c.hi][c.row]
                 if with_keys:
                     fits &= _candidates(c, window, b.column(3), int(b.column(2)[0].as_py()))
-                    keep = fits
-                else:  # neighbours mostly share their sub-window
-                    keep = fits.copy()
-                    if len(keep):
-                        keep[1:] &= ~((key[1:] == key[:-1]) & fits[:-1] & (c.row[1:] == c.row[:-1]))
-                parts.append((key[keep], key2[keep], ids[c.lo:c.hi][c.row[keep]]))
-                held += int(keep.sum())
-                if held >= FLUSH:
-                    yield from _send(parts, last)
-                    parts, held = [], 0
-        if parts:
-            yield from _send(parts, last)
+                if not last and len(fits):  # neighbours mostly share their sub-window
+                    first = fits.copy()
+                    first[1:] &= ~((key[1:] == key[:-1]) & fits[:-1] & (c.row[1:] == c.row[:-1]))
+                    fits = first
+                yield from sender.add(key[fits], key2[fits], ids[c.lo:c.hi][c.row[fits]])
+        yield from sender.flush()
     return run
 
 
@@ -131,38 +82,6 @@ def _candidates(c, window: int, keys: pa.Array, length: int) -> np.ndarray:
     return out & fits
 
 
-def _detect(last: bool):
-    """Stream rows sorted by (key, key2, doc); emit (doc, key) of windows that are repeated (last: in a smaller doc)."""
-    def run(batches):
-        held = None  # the open key: (key, key2, first doc, repeated, first already sent)
-        for b in batches:
-            key, key2, doc, state = (b.column(i).to_numpy() for i in (1, 2, 3, 4))
-            done = state == DONE
-            out = [(doc[done], key[done])]
-            key, key2, doc, state = key[~done], key2[~done], doc[~done], state[~done]
-            if len(key):
-                new, first, group = _groups(key, key2)
-                joins = held is not None and held[0] == key[0] and held[1] == key2[0]
-                start = doc[first].copy()
-                if joins:
-                    start[0] = held[2]
-                other = doc != start[group]
-                if last:
-                    out.append((doc[other], key[other]))
-                    held = (key[-1], key2[-1], start[-1], False, True)
-                else:
-                    many = np.bincount(group, other | (state == REPEATED), len(first)) > 0
-                    if joins:
-                        many[0] |= held[3]
-                        if many[0] and not held[4]:
-                            out.append((np.array([held[2]]), np.array([held[0]])))
-                    sent = many[group]
-                    out.append((doc[sent], key[sent]))
-                    held = (key[-1], key2[-1], start[-1], bool(many[-1]), bool(many[-1]))
-            yield pa.record_batch({"doc": pa.array(np.concatenate([o[0] for o in out])), "key": pa.array(np.concatenate([o[1] for o in out]))})
-    return run
-
-
 def _finish(c, r: int, gone: np.ndarray | None) -> tuple[int, int, str]:
     words = c.word_bytes(r)
     kept = words if gone is None else [w for w, g in zip(words, gone) if not g]
@@ -221,12 +140,17 @@ def _remove(window: int, with_text: bool):
 
 def _survivors(df: DataFrame, window: int, length: int, with_keys: bool) -> DataFrame:
     last = length == window
-    rows = df.mapInArrow(_emit(window, length, with_keys), KEYS)
-    dealt = rows.repartition(partitions(df.sparkSession), "route").sortWithinPartitions("key", "key2", "doc")
-    found = dealt.mapInArrow(_detect(last), "doc long, key long")
+    found = repeated(df.mapInArrow(_emit(window, length, with_keys), schema(wide=last)), smaller=last, wide=last)
     return found.groupBy("doc").agg(F.collect_list("key").alias("found"))
 
 
+def _level(source: DataFrame, window: int, length: int, with_keys: bool, work: Workspace) -> DataFrame:
+    """One level written as a table: finished documents with their result, the others with text and surviving keys."""
+    found = _survivors(source, window, length, with_keys)
+    joined = source.join(found, source["doc_id"] == found["doc"], "left").drop("doc")
+    return work.table(joined.mapInArrow(_split(window, length, with_keys), RESULT + ", text string, length int, keys array<long>"), f"level-{length}")
+
+
 def substring_dedup(docs: DataFrame, window: int = 13, start: int = 7) -> DataFrame:
     """Remove words covered by a window that also starts in a document with a smaller ``doc_id``.
 
@@ -234,7 +158,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, start: int = 7) -> DataFr
     n_words, n_removed, kept_sha256 (hash of the kept words joined by one space).  Null or empty text: no words.  A
     text shorter than the window loses nothing.  Rows with the same doc_id are one document: they never count against
     each other.  Rows without a doc_id pass unchanged and count for nobody.  Empty table: empty result.
-    Windows are matched by two independent 64-bit hashes of their words.
+    Windows are matched by two independent hashes of their words, of 64 and 32 bits.
     """
     spark = docs.sparkSession
     work = Workspace(spark)
@@ -242,12 +166,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, start: int = 7) -> DataFr
     levels = lengths(window, start)
     state, results = None, []
     for length in levels[:-1]:
-        source = base if state is None else state
-        found = _survivors(source, window, length, state is not None)
-        joined = source.join(found, source["doc_id"] == found["doc"], "left").drop("doc")
-        split = joined.mapInArrow(_split(window, length, state is not None),
-                                  RESULT + ", text string, length int, keys array<long>")
-        table = work.table(split, f"level-{length}")
+        table = _level(base if state is None else state, window, length, state is not None, work)
         work.release()
         results.append(table.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256"))
         state = table.where("text is not null").select("doc_id", "text", "length", "keys")
