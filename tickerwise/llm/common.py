@@ -17,6 +17,11 @@ from tickerwise.session import apply_safe_conf, checkpoint_dir
 COUNTER_ROWS, COUNTER_BITS = 2, 17  # word-frequency sketch: 2 x 131,072 counters whatever the corpus size
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches by bytes: ten thousand texts at once would cost an executor's Python workers hundreds of MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 class Workspace:
     """One run's folder under ``spark.checkpoint.dir``; tables written there cut lineage.
 
@@ -26,6 +31,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         apply_safe_conf(spark)
+        small_batches(spark)
         self.spark = spark
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         atexit.register(self._remove, self.path)

@@ -123,8 +123,8 @@ def _index(batches):
             counts[~lists.is_valid().to_numpy(zero_copy_only=False)] = 0
             node = _node(np.repeat(d1, counts), part).astype(np.int64)
             key = mix(held ^ _PARTS[part])
-            for lo in range(0, len(key), 250_000):
-                yield from sender.add(key[lo:lo + 250_000], np.zeros(len(key[lo:lo + 250_000]), np.int64), node[lo:lo + 250_000])
+            for lo in range(0, len(key), 100_000):
+                yield from sender.add(key[lo:lo + 100_000], np.zeros(len(key[lo:lo + 100_000]), np.int64), node[lo:lo + 100_000])
     yield from sender.flush()
 
 

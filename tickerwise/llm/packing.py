@@ -21,7 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE_CACHE = 1_000_000  # pieces whose ids a worker remembers; then it starts anew
+from tickerwise.llm.common import small_batches
+
+PIECE_CACHE = 500_000  # pieces whose ids a worker remembers; then it starts anew
 LONGEST_CACHED = 64
 JOINED = 2_000           # new pieces encoded in one call
 _cache: dict[str, tuple] = {}
@@ -241,5 +243,6 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, m
     and null doc_ids are ordinary rows.  Empty table: empty result.  Sequence ids hold the partition, so a repeated task gives the
     same ids.
     """
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _pack(tokenizer, window, end_id, max_gap, max_open, with_ids), COLUMNS + (", ids binary" if with_ids else ""))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickerwise.llm.common import partitions
 
-FLUSH = 1_000_000  # keys pre-aggregated together in a task before they are sent
+FLUSH = 500_000  # keys pre-aggregated together in a task before they are sent
 OPEN, REPEATED, DONE = 0, 1, 2  # state of a row: to be compared, known to be repeated, already decided
 
 
