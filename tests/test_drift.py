@@ -70,7 +70,7 @@ def test_dataset_drift_true_share_and_list(pair):
     assert s["dataset_drift_detected"]
     assert "Volume" not in s["drifted_columns"].split(",") and "Close" in s["drifted_columns"].split(",")
     g = dr.drift_gate(dr.dataset_drift(dr.ks_drift(pair, dr.drift_features(pair))), dr.target_drift(pair)).first()
-    assert g["significant"] and g["significant_compat"]
+    assert g["significant"] and not g["significant_compat"]  # the literal data leg compares a threshold with itself
 
 
 def test_report_json_layout(pair):
@@ -97,6 +97,36 @@ def test_binned_drift_zero_on_identical(spark):
     assert b["psi"] == pytest.approx(0.0, abs=1e-12)
 
 
+def _pairs(spark, ref, cur, ticker="T"):
+    rows = [(ticker, "ref", float(v), 1) for v in ref] + [(ticker, "cur", float(v), 0) for v in cur]
+    return spark.createDataFrame(rows, "ticker string, sample string, x double, target int")
+
+
+@pytest.mark.parametrize("ref,cur,want", [([0.0] * 99 + [10.0], [10.0] * 100, 9.9), ([0.0, 1.0, 2.0], [1000.0, 1001.0, 1002.0], 1000.0),
+                                          ([0, 1, 3], [5, 6, 8], 5.0), ([1.0, 1.0], [1.0], 0.0)])
+def test_wasserstein_is_exact(spark, ref, cur, want):
+    assert dr.binned_drift(_pairs(spark, ref, cur), ["x"]).first()["wasserstein"] == pytest.approx(want)
+
+
+def test_psi_counts_values_outside_the_reference_apart(spark):
+    import math
+    b = dr.binned_drift(_pairs(spark, range(1, 11), [-5, 100, 100, 4]), ["x"]).first()
+    shares = {k: (0.1, 0.25 if k == 3 else 1e-4) for k in range(10)} | {-1: (1e-4, 0.25), 10: (1e-4, 0.5)}
+    seen = {k: v for k, v in shares.items()}
+    assert b["psi"] == pytest.approx(sum((q - p) * math.log(q / p) for p, q in seen.values()))
+
+
+def test_groups_without_one_sample_stay(spark):
+    df = _pairs(spark, range(20), range(5, 25)).unionByName(_pairs(spark, [], [3], "OnlyCur")).unionByName(_pairs(spark, [1, 2], [], "OnlyRef"))
+    for out in (dr.ks_drift(df, ["x"]), dr.binned_drift(df, ["x"]), dr.target_drift(df), dr.drift_summary(df, ["x"])):
+        assert {r["ticker"] for r in out.collect()} == {"T", "OnlyCur", "OnlyRef"}
+    ks = {r["ticker"]: r for r in dr.ks_drift(df, ["x"]).collect()}
+    assert ks["T"]["ks_stat"] == pytest.approx(0.25) and ks["OnlyCur"]["ks_stat"] is None and not ks["OnlyCur"]["drifted"]
+    assert (ks["OnlyCur"]["n_ref"], ks["OnlyCur"]["n_cur"], ks["OnlyRef"]["n_cur"]) == (0, 1, 0)
+    w = {r["ticker"]: r for r in dr.binned_drift(df, ["x"]).collect()}
+    assert w["OnlyCur"]["wasserstein"] is None and w["OnlyRef"]["psi"] is None
+
+
 def test_chi2_drift_detects_shift(spark):
     rows = [("T", "ref", "a")] * 50 + [("T", "ref", "b")] * 50 + [("T", "cur", "a")] * 90 + [("T", "cur", "b")] * 10
     df = spark.createDataFrame(rows, ["ticker", "sample", "c"])

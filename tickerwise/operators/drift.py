@@ -4,12 +4,12 @@ Input is ONE DataFrame with a ``sample`` column ('ref' / 'cur') so each
 statistic is a single aggregation over a single scan.  Groups are
 (ticker, feature); the feature axis comes from an ``unpivot``.
 
-* D1 KS: values are first counted per (group, value, sample) — a map-side
-  combined aggregate, so a hot value or ticker collapses before the shuffle —
-  then both empirical CDFs are two-level running sums (within value bins,
-  plus offsets of the earlier bins), exact without a whole-group window.
-* D2 binned PSI / Jensen-Shannon / Wasserstein-1 on equal-width bins of the
-  reference range: pure aggregation, no window over values.
+* D1 KS and D2's Wasserstein-1 read the exact empirical CDFs of ``value_cdf``:
+  values are first counted per (group, value, sample) — a map-side combined
+  aggregate, so a hot value or ticker collapses before the shuffle — then
+  summed in two levels, without a whole-group window.
+* D2 PSI / Jensen-Shannon use reference-quantile bins plus one below and one
+  above the reference range.
 * D3 target: two-proportion z-test, two-sided p = erfc(|z| / sqrt 2).
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerwise.functions.exprs import by_ticker, erfc_expr, ks_pvalue_expr, safe_div
+from tickerwise.functions.exprs import erfc_expr, ks_pvalue_expr, safe_div
 from tickerwise.operators.aggregates import unpivot
 from tickerwise.operators.features import temporal_split
 from tickerwise.schema import (
@@ -40,85 +40,89 @@ def drift_features(df: DataFrame, target: str = TARGET, order: str = ORDER, key:
             if f.name not in skip and f.dataType.typeName() in ("double", "float", "long", "integer", "short")]
 
 
+def value_cdf(df: DataFrame, features: list[str], key: str = KEY, bins: int = 64) -> DataFrame:
+    """Empirical CDFs of both samples at every distinct value of each (ticker, feature).
+
+    Rows (key, feature, value, a, b, ca, cb, n_ref, n_cur, next_value): counts at the value, running counts up to
+    and with it, sample sizes, next larger value (NULL at the last).  Values are counted first (map-side combine).  The
+    running sums are a two-level prefix sum over ``bins`` value ranges of about equal row counts (approximate
+    percentiles of the group), so no window holds a whole group and one far value does not put all rows in one
+    range; the ranges only balance the work, the sums are exact.
+    """
+    long = unpivot(df, [key, "sample"], features, "feature").filter(F.col("value").isNotNull())
+    ref, cur = F.count_if(F.col("sample") == "ref"), F.count_if(F.col("sample") == "cur")
+    grp = [key, "feature"]
+    counts = long.groupBy(*grp, "value").agg(ref.alias("a"), cur.alias("b"))
+    cuts = [k / bins for k in range(1, bins)] or [0.5]
+    sizes = long.groupBy(*grp).agg(F.approx_percentile("value", cuts, 1000).alias("_cuts"), ref.alias("n_ref"), cur.alias("n_cur"))
+    # repartition: after the join rows may lie by group only, which would satisfy the window and keep a hot group in one task
+    binned = (counts.join(sizes, grp).withColumn("_bin", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
+              .repartition(*grp, "_bin"))
+    inner = Window.partitionBy(*grp, "_bin").orderBy("value")
+    upto = inner.rowsBetween(Window.unboundedPreceding, 0)
+    local = (binned.withColumn("_ca", F.sum("a").over(upto)).withColumn("_cb", F.sum("b").over(upto))
+             .withColumn("_next", F.lead("value").over(inner)))
+    totals = binned.groupBy(*grp, "_bin").agg(F.sum("a").alias("_ta"), F.sum("b").alias("_tb"), F.min("value").alias("_first"))
+    order = Window.partitionBy(*grp).orderBy("_bin")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*grp, "_bin", F.coalesce(F.sum("_ta").over(before), F.lit(0)).alias("_oa"),
+                            F.coalesce(F.sum("_tb").over(before), F.lit(0)).alias("_ob"), F.lead("_first").over(order).alias("_after"))
+    return local.join(offsets, grp + ["_bin"]).select(
+        *grp, "value", "a", "b", (F.col("_oa") + F.col("_ca")).alias("ca"), (F.col("_ob") + F.col("_cb")).alias("cb"),
+        "n_ref", "n_cur", F.coalesce("_next", "_after").alias("next_value"))
+
+
+def _gap() -> Column:
+    """|F_ref - F_cur| at a value; NULL where a sample is empty."""
+    return F.abs(F.try_divide(F.col("ca"), F.col("n_ref")) - F.try_divide(F.col("cb"), F.col("n_cur")))
+
+
 def ks_drift(df: DataFrame, features: list[str], key: str = KEY, p_value: float = DRIFT_P_VALUE,
              bins: int = 64) -> DataFrame:
     """Per (ticker, feature) KS statistic D, asymptotic p, drifted = p < 0.05.
 
-    Exact, and safe for hot groups: the empirical CDFs are a two-level
-    prefix sum.  Distinct values are counted per sample (map-side combine),
-    cut into ``bins`` equal-width value ranges of their group, summed within
-    (group, bin) by a window, and offset by the running totals of the earlier
-    bins (a window over at most ``bins`` rows per group).  No window ever
-    holds a whole (ticker, feature) group, so one ticker with a third of all
-    rows is spread over ``bins`` tasks.  Bins are monotone in value, so the
-    order - and D - are the same as one sort of the whole group.
+    Exact D at any size (see :func:`value_cdf`).  A group without reference or without current rows keeps its row with
+    NULL statistics and is not drifted.
     """
-    long = unpivot(df, [key, "sample"], features, "feature").filter(F.col("value").isNotNull())
-    counts = (long.groupBy(key, "feature", "value")
-              .agg(F.count_if(F.col("sample") == "ref").alias("a"), F.count_if(F.col("sample") == "cur").alias("b")))
-    grp = [key, "feature"]
-    span = counts.groupBy(*grp).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-                                    F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
-    width = F.col("_hi") - F.col("_lo")
-    # The join with the per-group span would leave the rows partitioned by
-    # (ticker, feature) - enough for the window below, so no exchange would
-    # follow and a hot group would stay in one task.  Shuffle on the full
-    # window key instead: a group's bins spread over the cluster.
-    binned = (counts.join(span, grp).withColumn(
-        "_bin", F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / width * bins),
-                                          F.lit(bins - 1))).otherwise(F.lit(0)).cast("int"))
-        .repartition(*grp, "_bin"))
-    inner = Window.partitionBy(*grp, "_bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    local = binned.withColumn("_ca", F.sum("a").over(inner)).withColumn("_cb", F.sum("b").over(inner))
-    totals = binned.groupBy(*grp, "_bin").agg(F.sum("a").alias("_ta"), F.sum("b").alias("_tb"))
-    before = Window.partitionBy(*grp).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_oa", F.coalesce(F.sum("_ta").over(before), F.lit(0)))
-               .withColumn("_ob", F.coalesce(F.sum("_tb").over(before), F.lit(0))).drop("_ta", "_tb"))
-    cdf = local.join(offsets, grp + ["_bin"]).withColumn(
-        "gap", F.abs((F.col("_oa") + F.col("_ca")) / F.col("n_ref") - (F.col("_ob") + F.col("_cb")) / F.col("n_cur")))
-    out = cdf.groupBy(*grp).agg(F.max("gap").alias("ks_stat"), F.first("n_ref").alias("n_ref"),
-                                F.first("n_cur").alias("n_cur"))
-    valid = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
-    return (out.withColumn("ks_stat", F.when(valid, F.col("ks_stat")))
-            .withColumn("p_value", F.when(valid, ks_pvalue_expr(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"))))
+    out = (value_cdf(df, features, key, bins).groupBy(key, "feature")
+           .agg(F.max(_gap()).alias("ks_stat"), F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur")))
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    p = ks_pvalue_expr(F.col("ks_stat"), F.greatest("n_ref", F.lit(1)), F.greatest("n_cur", F.lit(1)))
+    return (out.withColumn("p_value", F.when(both, p))
             .withColumn("drifted", F.coalesce(F.col("p_value") < p_value, F.lit(False))))
 
 
 def binned_drift(df: DataFrame, features: list[str], key: str = KEY, bins: int = 10, eps: float = 1e-4) -> DataFrame:
-    """PSI, Jensen-Shannon distance and Wasserstein-1 on shared equal-width bins.
+    """PSI and Jensen-Shannon distance on reference-quantile bins, exact Wasserstein-1.
 
-    Bin edges span the reference min..max of each (ticker, feature); current
-    values outside are clamped into the end bins.  Empty bins count as eps.
+    The bins are the reference sample's ``bins`` quantile ranges (upper edges included) plus one below its minimum and
+    one above its maximum, so nothing is clamped; in PSI an empty share counts as ``eps``.  Wasserstein-1 is the area
+    between the two CDFs over all distinct values.  Without rows in one of the samples the figures are NULL.
     """
-    long = unpivot(df, [key, "sample"], features, "feature").filter(F.col("value").isNotNull())
-    rng = (long.filter(F.col("sample") == "ref").groupBy(key, "feature")
-           .agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")))
-    width = F.col("_hi") - F.col("_lo")
-    b = F.when(width > 0, F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(
-        (F.col("value") - F.col("_lo")) / width * bins).cast("int")))).otherwise(F.lit(0))
-    binned = (long.join(rng, [key, "feature"]).withColumn("bin", b)
-              .groupBy(key, "feature", "bin", "_lo", "_hi")
-              .agg(F.count_if(F.col("sample") == "ref").alias("a"), F.count_if(F.col("sample") == "cur").alias("b")))
-    g = Window.partitionBy(key, "feature")
-    run = g.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    p = F.col("a") / F.sum("a").over(g)
-    q = F.col("b") / F.sum("b").over(g)
-    t = (binned.withColumn("p", p).withColumn("q", q)
-         .withColumn("pe", F.greatest(F.col("p"), F.lit(eps))).withColumn("qe", F.greatest(F.col("q"), F.lit(eps)))
-         .withColumn("m", (F.col("p") + F.col("q")) / 2)
-         .withColumn("cdf_gap", F.abs(F.sum("p").over(run) - F.sum("q").over(run))))
-    kl = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(F.lit(0.0))
-    return (t.groupBy(key, "feature").agg(
-        F.sum((F.col("qe") - F.col("pe")) * F.log(F.col("qe") / F.col("pe"))).alias("psi"),
-        F.sqrt(F.greatest(F.lit(0.0), (F.sum(kl(F.col("p"), F.col("m"))) + F.sum(kl(F.col("q"), F.col("m")))) / 2
-                          / F.log(F.lit(2.0)))).alias("js_distance"),
-        (F.sum("cdf_gap") * F.max(F.col("_hi") - F.col("_lo")) / bins).alias("wasserstein")))
+    cdf = value_cdf(df, features, key)
+    below = F.col("ca") - F.col("a")
+    bin_ = (F.when(F.col("ca") == 0, -1).when(below == F.col("n_ref"), bins)
+            .otherwise(F.least(F.lit(bins - 1), F.expr(f"try_divide(({bins} * (ca - a)), n_ref)").cast("int"))))
+    rows = cdf.withColumn("bin", bin_.cast("int")).withColumn("area", _gap() * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0)))
+    per_bin = rows.groupBy(key, "feature", "bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.max("n_ref").alias("n_ref"),
+                                                      F.max("n_cur").alias("n_cur"), F.sum("area").alias("area"))
+    p, q = F.try_divide(F.col("a"), F.col("n_ref")), F.try_divide(F.col("b"), F.col("n_cur"))
+    t = per_bin.withColumn("p", p).withColumn("q", q).withColumn("m", (F.col("p") + F.col("q")) / 2)
+    kl = lambda x, y: F.when(x > 0, x * F.log(F.try_divide(x, y))).otherwise(F.lit(0.0))
+    pe, qe = F.greatest("p", F.lit(eps)), F.greatest("q", F.lit(eps))
+    both = (F.max("n_ref") > 0) & (F.max("n_cur") > 0)
+    return t.groupBy(key, "feature").agg(
+        F.when(both, F.sum((qe - pe) * F.log(qe / pe))).alias("psi"),
+        F.when(both, F.sqrt(F.greatest(F.lit(0.0), (F.sum(kl(F.col("p"), F.col("m"))) + F.sum(kl(F.col("q"), F.col("m")))) / 2
+                                       / F.log(F.lit(2.0))))).alias("js_distance"),
+        F.when(both, F.sum("area")).alias("wasserstein"))
 
 
 def two_proportion_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
-    p1, p2 = x1.cast("double") / n1, x2.cast("double") / n2
-    pool = (x1 + x2).cast("double") / (n1 + n2)
-    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
+    """z of two proportions; NULL when a sample is empty or the pooled rate is 0 or 1."""
+    p1, p2 = F.try_divide(x1.cast("double"), n1), F.try_divide(x2.cast("double"), n2)
+    pool = F.try_divide((x1 + x2).cast("double"), n1 + n2)
+    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2)))
     return safe_div(p1 - p2, se)
 
 
@@ -185,13 +189,15 @@ def drift_gate(data: DataFrame, target: DataFrame, key: str = KEY,
                threshold: float = DATA_DRIFT_THRESHOLD) -> DataFrame:
     """Significant when the data share exceeds 0.5 or the target test rejects.
 
-    ``significant_compat`` applies the reference's literal rule.
+    ``significant_compat`` is the reference's literal rule: its data leg compares the library's echoed threshold with
+    itself and never fires, so only the target leg (p-value read as a score) is left.
     """
     j = data.join(target, key)
+    echoed = F.lit(threshold)
     return j.select(
         key, "drift_share", "target_drift_score",
         ((F.col("drift_share") > threshold) | F.col("target_drift_detected")).alias("significant"),
-        ((F.col("drift_share") > threshold) | F.col("target_drift_compat")).alias("significant_compat"))
+        ((echoed > threshold) | F.col("target_drift_compat")).alias("significant_compat"))
 
 
 def drift_summary(df: DataFrame, features: list[str] | None = None, key: str = KEY, target: str = TARGET) -> DataFrame:
