@@ -41,12 +41,42 @@ def test_stream_features_drops_late_bars(spark):
     assert sorted(r["Close"] for r in res.collect()) == [4.0, 5.0, 6.0, 7.0]
 
 
-def test_stream_bars_equal_closed_batch_bars(spark):
+def test_stream_bars_equal_batch_bars(spark):
     from tickerwise.sources import bars_hourly
     stream = jobs.run_stream_bars(spark, SF_SMALL)
-    max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
-    closed = bars_hourly(spark, SF_SMALL).filter(F.col("Date") + F.expr("INTERVAL 2 HOURS") <= F.lit(max_ts))
-    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, closed.collect()))
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, bars_hourly(spark, SF_SMALL).collect()))
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+
+
+def event_files(spark, path, *files):
+    for rows in files:
+        spark.createDataFrame([(i, dt.datetime(2021, 1, 4, h, m), 1, "view", v) for i, h, m, v in rows], EVENTS).coalesce(1) \
+            .write.mode("append").parquet(f"{path}/in")
+    return jobs.dir_stream(spark, f"{path}/in", 1)
+
+
+def test_windowed_streams_take_rows_within_the_watermark_and_drop_later_ones(spark):
+    path = jobs.run_dir(spark, "late-events")
+    # second file: one row 30 minutes late (taken), then time moves on to 15:00, which holds from the batch after next;
+    # fourth: one row 4 hours late (dropped)
+    ev = event_files(spark, path, [(1, 9, 50, 10.0), (2, 10, 20, 20.0)], [(3, 9, 55, 30.0), (4, 15, 0, 40.0)], [(6, 15, 10, 50.0)], [(5, 10, 30, 99.0), (7, 15, 20, 60.0)])
+    got = {r["Date"].hour: tuple(r)[2:] for r in jobs._sink_upsert(jobs.hourly_bars_stream(ev), path + "/a", ["ticker", "Date"]).collect()}
+    assert got == {9: (10.0, 30.0, 10.0, 30.0, 2), 10: (20.0, 20.0, 20.0, 20.0, 1), 15: (40.0, 60.0, 40.0, 60.0, 3)}
+    ev = jobs.dir_stream(spark, f"{path}/in", 1)
+    counts = {r["hour"].hour: r["requests"] for r in jobs._sink_upsert(jobs.request_counts_stream(ev), path + "/b", ["hour", "endpoint", "status"]).collect()}
+    assert counts == {9: 2, 10: 1, 15: 3}
+    hist = jobs._sink_upsert(jobs.latency_histogram_stream(jobs.dir_stream(spark, f"{path}/in", 1)), path + "/c", ["hour", "endpoint", "le"]).collect()
+    assert {(r["hour"].hour, r["le"]): r["count"] for r in hist if r["le"] in ("0.1", "0.25", "+Inf")} == {
+        (9, "0.1"): 1, (9, "0.25"): 1, (9, "+Inf"): 2, (10, "0.1"): 0, (10, "0.25"): 1, (10, "+Inf"): 1, (15, "0.1"): 0, (15, "0.25"): 0, (15, "+Inf"): 3}
+
+
+def test_stream_dedup_last_holds_every_bar(spark):
+    dirty = dirty_bars(spark, SF_SMALL)
+    out = jobs.run_stream_dedup_last(spark, dirty)
+    want = dirty.groupBy("ticker", "Date").agg(F.max("seq").alias("seq"))
+    assert sorted(map(tuple, out.select("ticker", "Date", "seq").collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_stream_dedup_keeps_first_arrival(spark):
@@ -86,9 +116,10 @@ def test_stream_dedup_last_prefers_highest_seq_not_arrival(spark):
     schema = "ticker string, Date date, Close double, seq long"
     d1 = dt.date(2021, 1, 4)
     path = jobs.run_dir(spark, "dedup-last-test")
-    # the correction (seq 3) arrives BEFORE the original (seq 2); a far later bar closes d1 via the watermark
-    for batch in ([("T", d1, 2.0, 3)], [("T", d1, 1.0, 2)], [("T", d1 + dt.timedelta(days=20), 5.0, 9)]):
+    # the correction (seq 3) arrives BEFORE the original (seq 2); a far later bar closes d1, then a row for d1 is too late
+    d2 = d1 + dt.timedelta(days=20)
+    for batch in ([("T", d1, 2.0, 3)], [("T", d1, 1.0, 2)], [("T", d2, 5.0, 9)], [("T", d2, 6.0, 10)], [("T", d1, 7.0, 11)]):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
     s = jobs.dedup_last_stream(jobs.dir_stream(spark, f"{path}/in", 1))
-    out = jobs._sink_append(s, path).collect()
-    assert [(r["Date"], r["Close"], r["seq"]) for r in out] == [(d1, 2.0, 3)]
+    out = jobs._sink_upsert(s, path, ["ticker", "Date"]).collect()
+    assert sorted((r["Date"], r["Close"], r["seq"]) for r in out) == [(d1, 2.0, 3), (d2, 6.0, 10)]

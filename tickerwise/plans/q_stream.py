@@ -1,9 +1,7 @@
 """Structured Streaming twins (ST1-ST6), each checked against a batch SQL statement.
 
 Every stream runs with ``trigger(availableNow=True)`` over a file source and
-is read back from its sink.  Append-mode windowed streams emit a window only
-once the watermark (max event time - 1 hour) has passed its end, so their
-SQL twins keep exactly the windows that end at or before max(ts) - 1 hour.
+is read back from its sink.  Windowed streams publish updates, so their result holds every window of the input.
 """
 
 from __future__ import annotations
@@ -13,16 +11,14 @@ from tickerwise.plans.q_clean import DEDUP_SQL, DIRTY
 from tickerwise.plans.q_model import BASE, FEATS, scaled
 from tickerwise.plans.q_serving import FIELDS, FV, view
 from tickerwise.plans.registry import register
-from tickerwise.schema import FEATURE_VIEW_FIELDS
+from tickerwise.schema import FEATURE_VIEW_FIELDS, LATENCY_BUCKETS
 from tickerwise.sources import bars_daily, dirty_bars
 from tickerwise.streaming import jobs
 
-CLOSED = "Date + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)"
 
-
-@register("stream_bars", f"WITH bars AS ({S.BARS_HOURLY}) SELECT * FROM bars WHERE {CLOSED}")
+@register("stream_bars", f"WITH bars AS ({S.BARS_HOURLY}) SELECT * FROM bars")
 def q_stream_bars(spark, sf):
-    """ST1: hourly OHLCV bars from the events stream, 1-hour watermark, append mode."""
+    """ST1: hourly OHLCV bars from the events stream, 1-hour watermark, all hours."""
     return jobs.run_stream_bars(spark, sf)
 
 
@@ -30,12 +26,23 @@ def q_stream_bars(spark, sf):
   CASE WHEN coalesce(value > 0, false) THEN 'success' ELSE 'error' END AS status FROM events)
 SELECT date_trunc('hour', ts) AS hour, endpoint, status, CAST(count(*) AS BIGINT) AS requests,
   round(sum(latency), 6) AS latency_sum
-FROM log GROUP BY 1, 2, 3 HAVING date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""")
+FROM log GROUP BY 1, 2, 3""")
 def q_stream_request_counts(spark, sf):
-    """ST3: request counter per closed hour, endpoint and status."""
+    """ST3: request counter per hour, endpoint and status."""
     return jobs.run_stream_request_counts(spark, sf)
 
 
+@register("stream_latency_histogram", f"""WITH le AS (SELECT unnest([{', '.join(map(str, LATENCY_BUCKETS))}, 1e300]) AS le),
+log AS (SELECT date_trunc('hour', ts) AS hour, event_type AS endpoint, value / 100.0 AS latency FROM events),
+s AS (SELECT hour, endpoint, round(sum(latency), 6) AS latency_sum, count(*) AS latency_count FROM log GROUP BY hour, endpoint)
+SELECT s.hour, s.endpoint, s.latency_sum, s.latency_count, CASE WHEN le = 1e300 THEN '+Inf' ELSE CAST(le AS VARCHAR) END AS le,
+  CASE WHEN le = 1e300 THEN s.latency_count ELSE count(l.latency) FILTER (WHERE l.latency <= le) END AS count
+FROM s JOIN log l ON l.hour = s.hour AND l.endpoint = s.endpoint CROSS JOIN le GROUP BY s.hour, s.endpoint, s.latency_sum, s.latency_count, le""")
+def q_stream_latency_histogram(spark, sf):
+    """ST3: cumulative latency buckets per hour and endpoint."""
+    return jobs.run_stream_latency_histogram(spark, sf)
+
+
 @register("stream_scores", f"{BASE} SELECT ticker, Date, round(probability, 6) AS probability, "
           "CAST(prediction AS INTEGER) AS prediction, round(confidence, 6) AS confidence FROM scored")
 def q_stream_scores(spark, sf):
@@ -69,9 +76,8 @@ def q_stream_features(spark, sf):
 
 
 @register("stream_dedup_last", f"""{DIRTY}, {DEDUP_SQL}
-SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dedup
-WHERE Date <= (SELECT max(Date) FROM dirty) - INTERVAL 7 DAY""")
+SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dedup""")
 def q_stream_dedup_last(spark, sf):
-    """ST5 keep-last: streaming max_by(seq) per (ticker, Date); groups closed by the 7-day watermark."""
+    """ST5 keep-last: streaming max_by(seq) per (ticker, Date), 7-day watermark."""
     return jobs.run_stream_dedup_last(spark, dirty_bars(spark, sf)).select(
         "ticker", "Date", "Open", "High", "Low", "Close", "Volume", "seq")

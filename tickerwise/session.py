@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -74,7 +75,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not master.startswith("local") or master.startswith("local-cluster"):
             # a machine-local folder is not shared by executors on other hosts
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
                                f"(shared file system or object store); master is {master!r}")
@@ -82,3 +83,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table when the driver program ends (lazy results may read it until then)."""
+    atexit.register(_remove, spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session is gone, and with it the access to the file system
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -26,7 +26,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tickerwise.session import checkpoint_dir
+from tickerwise.session import checkpoint_dir, remove_at_exit
 
 _memo: contextvars.ContextVar[dict | None] = contextvars.ContextVar("tickerwise_shared", default=None)
 
@@ -44,6 +44,7 @@ def shared_inputs():
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read it back."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tickerwise-tables/{name}-{uuid.uuid4().hex[:12]}"
+    remove_at_exit(df.sparkSession, path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -18,22 +18,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tickerwise.operators.models import score_linear
-from tickerwise.schema import KEY, ORDER, ROLLING_WINDOWS
-from tickerwise.session import checkpoint_dir
+from tickerwise.schema import KEY, LATENCY_BUCKETS, ORDER, ROLLING_WINDOWS
+from tickerwise.session import checkpoint_dir, remove_at_exit
 
 LATE_POLICY = {
-    "stream_bars": "events older than max(ts) - 1 hour are dropped by the watermark; an hour is emitted once closed",
-    "stream_request_counts": "same watermark; one row per closed (hour, endpoint, status)",
+    "stream_bars": "every hour is in the result, updated until the watermark (max(ts) - 1 hour) closes it; events later than that are dropped",
+    "stream_request_counts": "same watermark; one row per (hour, endpoint, status)",
+    "stream_latency_histogram": "same watermark; one row per (hour, endpoint, le)",
     "stream_online_snapshot": "no drop: the latest row per ticker by event time wins, whatever the arrival order",
     "stream_dedup": "duplicates within the 7-day watermark are dropped; the FIRST arrival is kept",
-    "stream_dedup_last": "the highest seq per (ticker, Date) wins among arrivals within the 7-day watermark; "
-                         "a (ticker, Date) is emitted once the watermark passes it, later arrivals are dropped",
+    "stream_dedup_last": "the highest seq per (ticker, Date) wins among arrivals within the 7-day watermark; later arrivals are dropped",
     "stream_features": "a bar not newer than the ticker's last processed bar is dropped (counted in state)",
 }
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/tickerwise-stream/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tickerwise-stream/{name}-{uuid.uuid4().hex[:12]}"
+    remove_at_exit(spark, path)
+    return path
 
 
 def stage(df: DataFrame, path: str, files: int | None = None) -> str:
@@ -42,23 +44,29 @@ def stage(df: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
-def stage_in_order(df: DataFrame, path: str, order: str = ORDER, chunks: int = 8, files: int = 4,
+def stage_in_order(df: DataFrame, path: str, order: str = ORDER, chunks: int = 8, files: int | None = None,
                    key: str = KEY) -> str:
     """Write ``df`` as ``chunks`` consecutive appends covering equal spans of ``order``.
 
     The file source replays files oldest first, so a stream reading ``path``
     sees the data in time order chunk by chunk.  Inside a chunk the rows are
-    hash-partitioned by ``key``: all rows of one ticker in one chunk sit in
-    one file, hence in one micro-batch, and never arrive after a later chunk.
+    hash-partitioned by ``key`` over ``files`` files (the session's shuffle partitions unless given):
+    all rows of one ticker in one chunk sit in one file, hence in one
+    micro-batch, and never arrive after a later chunk.  The input is computed once, into a
+    table partitioned by chunk that the appends read a partition of each.
     Only the two span bounds reach the driver.
     """
-    lo, hi = df.agg(F.min(order).cast("date"), F.max(order).cast("date")).first()
+    spark = df.sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("overwrite").parquet(f"{path}-raw")
+    raw = spark.read.schema(df.schema).parquet(f"{path}-raw")
+    lo, hi = raw.agg(F.min(order).cast("date"), F.max(order).cast("date")).first()
     span = max((hi - lo).days + 1, 1) if lo is not None else 1
     bucket = F.floor(F.datediff(F.col(order).cast("date"), F.lit(lo)) * F.lit(chunks) / F.lit(span))
-    tagged = df.withColumn("_chunk", bucket)
+    raw.withColumn("_chunk", F.coalesce(bucket, F.lit(0)).cast("int")).write.mode("overwrite").partitionBy("_chunk").parquet(f"{path}-chunks")
+    parts = spark.read.parquet(f"{path}-chunks")
     for k in range(chunks):
-        (tagged.filter(F.col("_chunk") == k).drop("_chunk").repartition(files, key)
-         .write.mode("append").parquet(path))
+        parts.filter(F.col("_chunk") == k).select(df.columns).repartition(files, key).write.mode("append").parquet(path)
     return path
 
 
@@ -86,9 +94,32 @@ def _sink_append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{path}/out")
 
 
+def _sink_upsert(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Run a stream whose rows replace earlier rows of the same ``keys``; returns the table as it is at the end.
+
+    Update mode: a micro-batch holds the changed keys only.  It is written to a folder of its own epoch, which a retry
+    of that epoch writes again (idempotent); nothing already published is touched, so a reader always finds a
+    whole table.  A read takes the newest epoch of each key, an aggregate with map-side combine.
+    """
+    spark, out = df.sparkSession, f"{path}/out"
+    fields = [c for c in df.columns if c not in keys]
+
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/epoch=-1")  # a table even without input
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = (df.writeStream.outputMode("update").foreachBatch(publish)
+         .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("epoch", T.LongType())])).parquet(out)
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), "epoch").alias("_r"))
+    return newest.select(*keys, "_r.*").select(df.columns)
+
+
 # ------------------------------------------------------------------ ST1
 def hourly_bars_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """ST1: tumbling 1-hour OHLCV bars per event type with a watermark (append mode)."""
+    """ST1: tumbling 1-hour OHLCV bars per event type with a watermark."""
     ev = events.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", delay)
     order = F.struct("_ts", "event_id")
     return (ev.groupBy(F.window("_ts", "1 hour"), F.col("event_type").alias(KEY))
@@ -100,12 +131,12 @@ def hourly_bars_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def run_stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sink_append(hourly_bars_stream(table_stream(spark, sf_dir, "events")), run_dir(spark, "bars"))
+    return _sink_upsert(hourly_bars_stream(table_stream(spark, sf_dir, "events")), run_dir(spark, "bars"), [KEY, ORDER])
 
 
 # ------------------------------------------------------------------ ST3
 def request_counts_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """ST3: requests per (hour, endpoint, status) with latency sum, closed windows only."""
+    """ST3: requests per (hour, endpoint, status) with latency sum."""
     ev = (events.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", delay)
           .withColumn("status", F.when(F.coalesce(F.col("value") > 0, F.lit(False)), F.lit("success"))
                       .otherwise(F.lit("error"))))
@@ -116,7 +147,26 @@ def request_counts_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame
 
 
 def run_stream_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sink_append(request_counts_stream(table_stream(spark, sf_dir, "events")), run_dir(spark, "requests"))
+    return _sink_upsert(request_counts_stream(table_stream(spark, sf_dir, "events")), run_dir(spark, "requests"),
+                        ["hour", "endpoint", "status"])
+
+
+def latency_histogram_stream(events: DataFrame, buckets=LATENCY_BUCKETS, delay: str = "1 hour") -> DataFrame:
+    """ST3: cumulative latency buckets per (hour, endpoint), as N5 over time."""
+    ev = events.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", delay)
+    latency = F.col("value") / 100.0
+    counts = [F.count_if(latency <= b).alias(f"b{i}") for i, b in enumerate(buckets)]
+    wide = (ev.groupBy(F.window("_ts", "1 hour"), F.col("event_type").alias("endpoint"))
+            .agg(*counts, F.count(F.lit(1)).alias("latency_count"), F.sum(latency).alias("latency_sum")))
+    rows = [F.struct(F.lit(str(b)).alias("le"), F.col(f"b{i}").alias("count")) for i, b in enumerate(buckets)]
+    rows.append(F.struct(F.lit("+Inf").alias("le"), F.col("latency_count").alias("count")))
+    return wide.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "endpoint", "latency_sum", "latency_count",
+                       F.inline(F.array(*rows)))
+
+
+def run_stream_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sink_upsert(latency_histogram_stream(table_stream(spark, sf_dir, "events")), run_dir(spark, "latency"),
+                        ["hour", "endpoint", "le"])
 
 
 # ------------------------------------------------------------------ ST2
@@ -133,24 +183,16 @@ def run_stream_online_snapshot(spark: SparkSession, view: DataFrame, ts: str = "
                                max_files: int = 2) -> DataFrame:
     """ST4: continuously materialized latest row per ticker.
 
-    A streaming ``max_by`` aggregation keeps one state row per ticker; every
-    micro-batch's complete result (bounded by the ticker count) overwrites
-    the online table through ``foreachBatch`` — idempotent on retry.
+    A streaming ``max_by`` aggregation keeps one state row per ticker; each micro-batch publishes the
+    tickers it changed (see :func:`_sink_upsert`).
     """
     path = run_dir(spark, "snapshot")
-    stage(view, f"{path}/in", files=8)
+    stage(view, f"{path}/in", files=int(spark.conf.get("spark.sql.shuffle.partitions")))
     fields = [c for c in view.columns if c not in (KEY, ts)]
     latest = (dir_stream(spark, f"{path}/in", max_files)
               .groupBy(KEY).agg(F.max_by(F.struct(ts, *fields), F.col(ts)).alias("_r"))
               .select(KEY, "_r.*"))
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/online")
-
-    q = (latest.writeStream.outputMode("complete").foreachBatch(upsert)
-         .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{path}/online")
+    return _sink_upsert(latest, path, [KEY])
 
 
 # ------------------------------------------------------------------ ST5
@@ -173,7 +215,7 @@ def stage_arrivals(bars: DataFrame, path: str, seq: str = "seq") -> str:
     first arrival is what the sink holds.
     """
     stage_in_order(bars.filter(F.col(seq) % 2 == 0), path)
-    bars.filter(F.col(seq) % 2 == 1).repartition(4, KEY).write.mode("append").parquet(path)
+    bars.filter(F.col(seq) % 2 == 1).repartition(KEY).write.mode("append").parquet(path)
     return path
 
 
@@ -255,9 +297,7 @@ def dedup_last_stream(rows: DataFrame, seq: str = "seq", delay: str = "7 days")
 
     A streaming aggregate keyed by (ticker, event time) keeps the best row
     seen so far in state; ``max_by`` makes the arrival order inside the
-    watermark irrelevant.  In append mode a (ticker, Date) is emitted once
-    the watermark (max event time - ``delay``) has passed it, so a
-    correction may arrive up to ``delay`` late and still win.
+    watermark irrelevant.  A correction may arrive up to ``delay`` late and still win.
     """
     fields = [c for c in rows.columns if c not in (KEY,)]
     return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
@@ -269,4 +309,4 @@ def run_stream_dedup_last(spark: SparkSession, bars: DataFrame, delay: str = "7
     """Stage first arrivals and re-sent rows together, span by span in time order, then keep the last."""
     path = run_dir(spark, "dedup-last")
     stage_in_order(bars, f"{path}/in")
-    return _sink_append(dedup_last_stream(dir_stream(spark, f"{path}/in", 4), "seq", delay), path)
+    return _sink_upsert(dedup_last_stream(dir_stream(spark, f"{path}/in", 4), "seq", delay), path, [KEY, ORDER])
