@@ -4,17 +4,14 @@
 * The online snapshot is the latest row per ticker inside a window.
 * As-of lookup (J1): each request joins the feature rows of its own ticker
   whose timestamp lies in (ts - ttl, ts], keeping the latest.  The range is
-  turned into equi-keys by exploding each request into the ttl + 1 calendar
-  days it can match, so the join is an equi-join on (ticker, day) plus a
-  bound check — no ticker-wide many-to-many, and a hot ticker spreads over
-  its days.
+  turned into equi-keys by cutting time into buckets of one TTL, so the join
+  is an equi-join on (ticker, bucket) plus a bound check — no ticker-wide
+  many-to-many, and a hot ticker spreads over its buckets.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerwise.schema import FEATURE_VIEW_FIELDS, FEATURE_VIEW_TTL_DAYS, KEY, OHLCV, ORDER, REQUIRED_COLUMNS
@@ -101,23 +98,33 @@ def online_misses(requests: DataFrame, snapshot: DataFrame, key: str = KEY) -> D
     return requests.join(snapshot.select(key), key, "left_anti")
 
 
-def asof_features(requests: DataFrame, view: DataFrame, ttl_days: int = FEATURE_VIEW_TTL_DAYS,
+def asof_features(requests: DataFrame, view: DataFrame, ttl_days: float = FEATURE_VIEW_TTL_DAYS,
                   key: str = KEY, req_ts: str = "event_timestamp", view_ts: str = "event_timestamp",
-                  request_id: str = "request_id", fields=None) -> DataFrame:
+                  request_id: str = "request_id", fields=None, as_of: Column | None = None) -> DataFrame:
     """Point-in-time lookup: latest view row with ts - ttl < view_ts <= ts.
 
-    Misses keep the request with NULL fields and ``found`` = false.
+    One row out per row in: a request without a timestamp is asked ``as_of`` (default: now), a
+    miss keeps the request with NULL fields and ``found`` = false, a repeated request is answered as often.  ``ttl_days``
+    may be fractional.  The time axis is cut into buckets of one TTL, so the wanted row lies in the request's bucket or
+    the one before: an equi join on (ticker, bucket) with two candidates per request whatever the TTL, and a hot
+    ticker spreads over its buckets.
     """
     fields = fields or [c for c in view.columns if c not in (key, view_ts)]
-    span = int(math.ceil(ttl_days))
-    r = (requests.select(request_id, key, F.col(req_ts).alias("_rts"))
-         .withColumn("_day", F.explode(F.sequence(F.date_sub(F.to_date("_rts"), span), F.to_date("_rts")))))
-    v = view.select(key, F.col(view_ts).alias("_vts"), *fields).withColumn("_day", F.to_date("_vts"))
-    lo = F.col("_rts") - F.make_dt_interval(F.lit(ttl_days))
-    cond = ((r[key] == v[key]) & (r["_day"] == v["_day"]) & (v["_vts"] <= r["_rts"]) & (v["_vts"] > lo))
-    j = r.join(v, cond, "left").select(r[request_id], r[key], r["_rts"], v["_vts"], *[v[c] for c in fields])
-    best = (j.groupBy(request_id, key, "_rts")
-            .agg(F.max_by(F.struct("_vts", *fields), F.col("_vts")).alias("_b")))
-    return best.select(request_id, key, F.col("_rts").alias(req_ts), F.col("_b._vts").alias("feature_timestamp"),
-                       *[F.col(f"_b.{c}").alias(c) for c in fields],
-                       F.col("_b._vts").isNotNull().alias("found"))
+    ttl = max(1, round(ttl_days * 86_400_000_000))
+    now = F.current_timestamp() if as_of is None else as_of
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    kind = requests.schema[req_ts].dataType
+    asked = (requests.select(request_id, key, F.coalesce(F.col(req_ts), now.cast(kind)).alias("_rts"))
+             .groupBy(request_id, key, "_rts").agg(F.count(F.lit(1)).alias("_times")))
+    bucket = F.floor(F.try_divide(micros(F.col("_rts")), F.lit(ttl)))
+    r = asked.withColumn("_rus", micros(F.col("_rts"))).withColumn("_bucket", F.explode(F.array(bucket, bucket - 1)))
+    v = (view.where(F.col(view_ts).isNotNull())
+         .select(F.col(key).alias("_vkey"), F.col(view_ts).alias("_vts"), *[F.col(c).alias(f"_v_{c}") for c in fields])
+         .withColumn("_vus", micros(F.col("_vts"))).withColumn("_vbucket", F.floor(F.try_divide(F.col("_vus"), F.lit(ttl)))))
+    hit = ((F.col(key) == F.col("_vkey")) & (F.col("_bucket") == F.col("_vbucket"))
+           & (F.col("_vus") <= F.col("_rus")) & (F.col("_vus") > F.col("_rus") - ttl))
+    row = F.struct("_vts", *[f"_v_{c}" for c in fields])
+    best = r.join(v, hit, "left").groupBy(request_id, key, "_rts", "_times").agg(F.max_by(row, F.col("_vus")).alias("_b"))
+    out = best.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return out.select(request_id, key, F.col("_rts").alias(req_ts), F.col("_b._vts").alias("feature_timestamp"),
+                      *[F.col(f"_b._v_{c}").alias(c) for c in fields], F.col("_b._vts").isNotNull().alias("found"))

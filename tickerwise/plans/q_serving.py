@@ -126,6 +126,37 @@ def q_asof_features(spark, sf):
     return sv.asof_features(entity_requests(spark, sf), view(spark, sf), ttl_days=1)
 
 
+TTLS = [0.5, 1.0, 90.0]
+
+
+def request_forms(spark, sf):
+    """Requests as they come: every 5th without a timestamp, every 7th sent twice."""
+    r = entity_requests(spark, sf)
+    odd = r.withColumn("event_timestamp", F.when(F.col("request_id") % 5 != 0, F.col("event_timestamp")))
+    return odd.unionByName(odd.where("request_id % 7 = 0"))
+
+
+@register("asof_request_forms", f"""{FV}, {REQ},
+nowt AS (SELECT max(event_timestamp) AS t FROM fv),
+r1 AS (SELECT request_id, ticker, CASE WHEN request_id % 5 <> 0 THEN event_timestamp ELSE (SELECT t FROM nowt) END AS event_timestamp FROM req),
+r2 AS (SELECT * FROM r1 UNION ALL SELECT * FROM r1 WHERE request_id % 7 = 0),
+j AS (SELECT r.request_id, r.ticker, r.event_timestamp, f.event_timestamp AS fts, f.Close AS c
+  FROM r2 r ASOF LEFT JOIN fv f ON r.ticker = f.ticker AND r.event_timestamp >= f.event_timestamp),
+t AS (SELECT unnest({TTLS}) AS ttl_days),
+h AS (SELECT *, coalesce(fts > event_timestamp - to_hours(CAST(ttl_days * 24 AS BIGINT)), false) AS found FROM j CROSS JOIN t)
+SELECT CAST(ttl_days AS DOUBLE) AS ttl_days, request_id, ticker, event_timestamp, CASE WHEN found THEN fts END AS feature_timestamp,
+  CASE WHEN found THEN round(c, 6) END AS Close, found FROM h""", shared=True)
+def q_asof_request_forms(spark, sf):
+    """Requests without a timestamp are asked as of the newest feature row, repeated ones answered as often, at three TTLs."""
+    v = view(spark, sf)
+    now = v.select(F.max("event_timestamp")).scalar()
+    out = None
+    for ttl in TTLS:
+        part = sv.asof_features(request_forms(spark, sf), v, ttl_days=ttl, fields=["Close"], as_of=now).withColumn("ttl_days", F.lit(ttl))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _ticker_predictions_sql() -> str:
     from tickerwise.plans.q_clean import FEAT_SPLIT
     from tickerwise.plans.q_model import LOGIT, STATS_SQL

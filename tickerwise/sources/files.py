@@ -3,7 +3,7 @@
 CSV bar files are read with every column as text and cast BY NAME, so a
 file whose columns come in another order (``Date,Open,Close,High,Low,Volume``)
 lands in the bar contract unchanged.  Casts are ``try_cast``: a bad cell
-becomes NULL and the contract checks (V1, V6) report it instead of the read
+(a text ``NaN`` too) becomes NULL and the contract checks (V1, V6) report it instead of the read
 failing half way through a large scan.  Many files are read in one scan; the
 ticker comes from each file's name.
 """
@@ -36,11 +36,12 @@ def read_bars_csv(spark: SparkSession, path: str, ticker: str | None = None) ->
         if c == ORDER:
             cols.append(F.try_to_date(F.col(c)).alias(ORDER))
         elif c == "Volume":
-            cols.append(F.col(c).try_cast("double").try_cast("bigint").alias(c))
+            cols.append(F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")).try_cast("bigint").alias(c))
         elif c == "target":
-            cols.append(F.col(c).try_cast("double").try_cast("int").alias(c))
+            cols.append(F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")).try_cast("int").alias(c))
         else:
-            cols.append(F.col(c).try_cast("double").alias(c))
+            value = F.col(c).try_cast("double")
+            cols.append(F.nanvl(value, F.lit(None).cast("double")).alias(c))  # a text NaN is a missing cell
     df = raw.select(*cols)
     lead = [KEY, ORDER] + [c for c in OHLCV if c in df.columns]
     return df.select(*lead, *[c for c in df.columns if c not in lead])
