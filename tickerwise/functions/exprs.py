@@ -117,3 +117,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def file_safe(name: Column) -> Column:
+    """A ticker as part of a file name: dots become underscores."""
+    return F.replace(name, F.lit("."), F.lit("_"))
+
+
+def title_case(name: Column) -> Column:
+    """``high_less_than_low`` -> ``High Less Than Low``."""
+    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))

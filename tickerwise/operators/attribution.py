@@ -82,7 +82,7 @@ def _sigmoid_linear(x: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
 
 def perm_shap(scaled: DataFrame, background: DataFrame, features: list[str], weights: dict | None = None,
               intercept: float = LINEAR_INTERCEPT, n_perm: int = 4, seed: int = SEED, row_key=(KEY, ORDER),
-              chunk: int = 256) -> DataFrame:
+              chunk: int = 256, max_background: int = MAX_BACKGROUND) -> DataFrame:
     """E2(b): permutation-sampling Shapley of P(up) against the background.
 
     For each row x, each background row z and each of ``n_perm`` feature
@@ -92,7 +92,9 @@ def perm_shap(scaled: DataFrame, background: DataFrame, features: list[str], wei
     """
     weights = weights or LINEAR_WEIGHTS
     spark = scaled.sparkSession
-    bg_rows = background.select(*features).limit(MAX_BACKGROUND).toPandas().to_numpy(dtype=float)
+    bg_rows = background.select(*features).limit(max_background + 1).toPandas().to_numpy(dtype=float)
+    if len(bg_rows) > max_background:  # every row is compared with every background row; a cut here would be arbitrary
+        raise ValueError(f"background has more than {max_background} rows; sample it or raise max_background")
     bc = spark.sparkContext.broadcast(bg_rows)
     w = np.array([weights[f] for f in features], dtype=float)
     rng = np.random.default_rng(seed)

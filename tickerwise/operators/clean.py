@@ -1,8 +1,7 @@
 """Cleaning (P2-P6): keep-last dedup, forward/backward fill, zero-volume drop.
 
-Everything runs over one ``partitionBy(ticker)`` window family: the dedup
-window orders by (Date, seq), which also satisfies the later Date ordering,
-so the whole cleaning step is one Exchange + one Sort.
+Dedup is an aggregate by (ticker, Date); the fill is one running window per
+ticker plus one small per-ticker aggregate.
 """
 
 from __future__ import annotations
@@ -22,29 +21,29 @@ def nan_to_null(df: DataFrame, cols=None) -> DataFrame:
 def dedup_keep_last(df: DataFrame, seq: str = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
     """One row per (ticker, Date), the one that arrived last (highest ``seq``).
 
-    A row is kept when the next row in (Date, seq) order has another Date;
-    ``dropDuplicates`` would keep an arbitrary row.
+    An aggregate by (ticker, Date) with map-side combine: raw arrivals of a hot
+    ticker collapse before they move.  Rows without a ``seq`` count as the
+    earliest; of equal ``seq`` the larger row wins.
     """
-    w = Window.partitionBy(key).orderBy(order, seq)
-    nxt = F.lead(order).over(w)
-    return (df.withColumn("_next_date", nxt)
-            .filter(F.col("_next_date").isNull() | (F.col("_next_date") != F.col(order)))
-            .drop("_next_date"))
+    rest = [c for c in df.columns if c not in (key, order)]
+    row = F.struct(seq, *[c for c in rest if c != seq])
+    return df.groupBy(key, order).agg(F.max(row).alias("_r")).select(*[F.col(c) if c in (key, order) else F.col(f"_r.{c}") for c in df.columns])
 
 
 def fill_ffill_bfill(df: DataFrame, cols=OHLCV, key: str = KEY, order: str = ORDER) -> DataFrame:
     """Forward fill, then backward fill, per ticker in Date order.
 
-    After the forward fill only leading NULLs remain, and their backward-fill
-    value is the first non-null of the whole ticker, so the second frame is
-    the whole partition (computed once per partition, not per row).
+    After the forward fill only leading NULLs remain; their value is the
+    ticker's first non-null one, a per-ticker aggregate joined back (no frame
+    spans the whole ticker).
     """
-    w = Window.partitionBy(key).orderBy(order)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(run), F.first(c, ignorenulls=True).over(whole))
-        for c in cols if c in df.columns})
+    cols = [c for c in cols if c in df.columns]
+    run = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    first = df.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in cols])
+    first = first.withColumnRenamed(key, "_key")
+    filled = df.join(first, df[key].eqNullSafe(first["_key"]), "left").withColumns(
+        {c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(run), F.col(f"_first_{c}")) for c in cols})
+    return filled.select(df.columns)
 
 
 def drop_zero_volume(df: DataFrame) -> DataFrame:

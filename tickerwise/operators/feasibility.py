@@ -7,7 +7,7 @@ Check rows share one shape: (ticker, check, value, threshold, passed).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,14 +67,17 @@ def gap_list(df: DataFrame, key: str = KEY, order: str = ORDER, max_gap: int = M
             .select(key, "rank", "gap_start", F.col(order).alias("gap_end"), "gap_days"))
 
 
+def _with_return_stats(r: DataFrame, key: str = KEY) -> DataFrame:
+    """Rows with ``returns`` and their ticker's mean, sample std and |z|: a per-ticker aggregate joined back."""
+    stats = r.groupBy(key).agg(F.avg("returns").alias("_mean"), F.stddev_samp("returns").alias("_std"),
+                               F.count("returns").alias("_n")).withColumnRenamed(key, "_key")
+    return (r.join(stats, r[key].eqNullSafe(stats["_key"]), "left").drop("_key")
+            .withColumn("z", F.abs(safe_div(F.col("returns") - F.col("_mean"), F.col("_std")))))
+
+
 def return_z(df: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
     """Daily return and its z-score against the ticker's own mean / sample std."""
-    r = add_returns(df.select(key, order, "Close"), key=key, order=order)
-    whole = by_ticker(key, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (r.withColumn("_mean", F.avg("returns").over(whole))
-            .withColumn("_std", F.stddev_samp("returns").over(whole))
-            .withColumn("_n", F.count("returns").over(whole))
-            .withColumn("z", F.abs(safe_div(F.col("returns") - F.col("_mean"), F.col("_std")))))
+    return _with_return_stats(add_returns(df.select(key, order, "Close"), key=key, order=order), key)
 
 
 def outliers(df: DataFrame, key: str = KEY, order: str = ORDER, z_max: float = OUTLIER_Z,
@@ -157,19 +160,16 @@ def lookahead_report(df: DataFrame, key: str = KEY, target: str = TARGET) -> Dat
 def feasibility_report(df: DataFrame, key: str = KEY, order: str = ORDER, label: str | None = TARGET) -> DataFrame:
     """One row per (ticker, check) for all six checks.
 
-    C1-C4 come from ONE aggregate over rows flagged by one window family
-    (gap to the previous bar, daily return and its z-score against the
-    ticker's own mean / sample std); the label distribution is one small
+    C1-C4 come from one aggregate over rows flagged by one window family
+    (gap to the previous bar, daily return) and the ticker's own mean / sample
+    std of the return; the label distribution is one small
     aggregate of its own.  The checks are stacked with an ``inline`` of a
     struct array.  Same values as the per-check operators above.
     """
     n_suspicious = len(lookahead_columns(df.schema, label)) if label else 0
-    whole = by_ticker(key, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    z = (add_returns(df.select(key, order, *OHLCV), key=key, order=order)
-         .withColumn("_mean", F.avg("returns").over(whole))
-         .withColumn("_std", F.stddev_samp("returns").over(whole))
-         .withColumn("z", F.abs(safe_div(F.col("returns") - F.col("_mean"), F.col("_std"))))
-         .withColumn("_gap", F.datediff(F.col(order), F.lag(order).over(by_ticker(key, order)))))
+    gaps = add_returns(df.select(key, order, *OHLCV), key=key, order=order).withColumn(
+        "_gap", F.datediff(F.col(order), F.lag(order).over(by_ticker(key, order))))
+    z = _with_return_stats(gaps, key)
     nulls = sum((F.col(c).isNull().cast("bigint") for c in OHLCV), F.lit(0).cast("bigint"))
     per = (z.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),

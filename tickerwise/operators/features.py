@@ -110,14 +110,14 @@ def temporal_split(df: DataFrame, train_ratio: float = 0.8, key: str = KEY,
                    order: str = ORDER, names=("train", "test")) -> DataFrame:
     """First floor(n * r) rows of each ticker are train, the rest test.
 
-    ``floor(double(n) * double(r))`` reproduces Python's ``int(n * r)``; no
-    global window — the count is a per-ticker window aggregate.
+    ``floor(double(n) * double(r))`` reproduces Python's ``int(n * r)``; n is
+    a per-ticker aggregate joined back, so no frame spans a whole ticker.
     """
-    w = by_ticker(key, order)
-    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    cut = F.floor(n.cast("double") * F.lit(float(train_ratio)))
-    return df.withColumn(
-        "split", F.when(F.row_number().over(w) <= cut, F.lit(names[0])).otherwise(F.lit(names[1])))
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed(key, "_key")
+    cut = F.floor(F.col("_n").cast("double") * F.lit(float(train_ratio)))
+    out = df.join(sizes, df[key].eqNullSafe(sizes["_key"]), "left").withColumn(
+        "split", F.when(F.row_number().over(by_ticker(key, order)) <= cut, F.lit(names[0])).otherwise(F.lit(names[1])))
+    return out.select(*[c for c in df.columns if c != "split"], "split")
 
 
 def head_tail(df: DataFrame, n: int = 5, key: str = KEY, order: str = ORDER) -> DataFrame:

@@ -81,18 +81,18 @@ def majority_labels(train: DataFrame, by=(KEY,), y: str = "y_true") -> DataFrame
 
 
 def baseline_majority(train: DataFrame, test: DataFrame, by=(KEY,), y: str = "y_true") -> DataFrame:
-    """M8: predict the train majority label for every test row."""
-    return test.join(majority_labels(train, by, y), list(by)).withColumn("y_pred", F.col("majority_label")).drop(
+    """M8: predict the train majority label for every test row (NULL for a group without train rows)."""
+    return test.join(majority_labels(train, by, y), list(by), "left").withColumn("y_pred", F.col("majority_label")).drop(
         "majority_label")
 
 
 def baseline_stratified(train: DataFrame, test: DataFrame, row_key: list[str], by=(KEY,), y: str = "y_true",
                         seed: int = 42) -> DataFrame:
-    """M9: predict 1 with the train positive rate, from a deterministic hash of the row key."""
+    """M9: predict 1 with the train positive rate, from a deterministic hash of the row key (NULL without train rows)."""
     rate = train.groupBy(*by).agg(F.avg(F.col(y).cast("double")).alias("_rate"))
     u = unit_uniform(*row_key, seed=seed)
-    return (test.join(rate, list(by))
-            .withColumn("y_pred", F.when(u < F.col("_rate"), 1).otherwise(0).cast("int")).drop("_rate"))
+    return (test.join(rate, list(by), "left")
+            .withColumn("y_pred", F.when(u < F.col("_rate"), 1).when(F.col("_rate").isNotNull(), 0).cast("int")).drop("_rate"))
 
 
 def baseline_comparison(model: DataFrame, random: DataFrame, majority: DataFrame, by=(KEY,)) -> DataFrame:

@@ -38,14 +38,17 @@ def fit_scaler(train: DataFrame, features: list[str], by=(KEY,)) -> DataFrame:
 def apply_scaler(df: DataFrame, stats: DataFrame, features: list[str], by=(KEY,), suffix: str = "") -> DataFrame:
     """M1 transform: (x - mean) / std, a zero or missing std divides by 1.
 
-    ``stats`` has one row per group; the planner broadcasts it while it is
-    under the broadcast threshold and shuffles otherwise.
+    A group without statistics (no train rows) keeps its rows, unshifted and unscaled, and ``scaler_known`` is false
+    for them.  ``stats`` has one row per group; the planner broadcasts it while it is under the broadcast threshold
+    and shuffles otherwise.
     """
-    j = df.join(stats, list(by))
+    j = df.join(stats.withColumn("scaler_known", F.lit(True)), list(by), "left")
     cols = {}
     for f in features:
         sd = F.col(f"{f}__std")
-        cols[f + suffix] = (F.col(f) - F.col(f"{f}__mean")) / F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
+        cols[f + suffix] = ((F.col(f) - F.coalesce(F.col(f"{f}__mean"), F.lit(0.0)))
+                            / F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd))
+    cols["scaler_known"] = F.coalesce("scaler_known", F.lit(False))
     return j.withColumns(cols).drop(*[c for c in stats.columns if c not in by])
 
 

@@ -30,6 +30,7 @@ PERFORMANCE_TITLE = "PERFORMANCE DEGRADATION - "
 PERFORMANCE_MESSAGE = "**Model performance has degraded by %.1f%%**\n\nCurrent vs Baseline:\n"
 PERFORMANCE_FIELD = "%.3f (was %.3f)"
 PERFORMANCE_ACTION = "Model should be retrained with recent data"
+REPORT_FIELD = "Check `%s` for details"
 TRAINING_TITLE = "Training Complete - "
 TRAINING_MESSAGE = "**Model training finished successfully**\n\nDuration: "
 # ---- end of fixed values ----
@@ -60,11 +61,11 @@ def _field(name: str, value: Column, inline: bool) -> Column:
     return F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), F.lit(inline).alias("inline"))
 
 
-def drift_alerts(summary: DataFrame, as_of: Column, key: str = KEY) -> DataFrame:
+def drift_alerts(summary: DataFrame, as_of: Column, key: str = KEY, report: Column | None = None) -> DataFrame:
     """One alert row per ticker: colour, title, message and fields.
 
     ``as_of`` stands in for the wall-clock timestamp so results are
-    reproducible.
+    reproducible.  ``report`` names the report file; where it is not NULL the alert has a report field.
     """
     data, tgt = F.col("dataset_drift_detected"), F.col("target_drift_detected")
     any_drift = data | tgt
@@ -84,7 +85,17 @@ def drift_alerts(summary: DataFrame, as_of: Column, key: str = KEY) -> DataFrame
         F.when(any_drift, F.concat(F.lit(DRIFT_TITLE), F.col(key)))
         .otherwise(F.concat(F.lit(NO_DRIFT_TITLE), F.col(key))).alias("title"),
         msg.alias("message"),
-        F.when(any_drift, F.concat(fields, action)).otherwise(fields).alias("fields"))
+        F.concat(F.when(any_drift, F.concat(fields, action)).otherwise(fields), _report_field(report)).alias("fields"))
+
+
+def _report_field(report: Column | None) -> Column:
+    name = F.lit(None).cast("string") if report is None else report
+    return F.filter(F.array(_field("Report", F.format_string(REPORT_FIELD, name), False)), lambda f: name.isNotNull())
+
+
+def alerts_to_send(alerts: DataFrame, gate: DataFrame, key: str = KEY) -> DataFrame:
+    """An alert leaves only when the significance gate (D7) fires for its ticker."""
+    return alerts.join(gate.filter("significant").select(key), key, "left_semi")
 
 
 def performance_alerts(compare: DataFrame, key: str = KEY) -> DataFrame:

@@ -55,38 +55,51 @@ def validate_schema(df: DataFrame, order: str = ORDER) -> DataFrame:
 
 
 # ------------------------------------------------------------- V2 time rules
-def time_flags(df: DataFrame, seq: str | None = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
-    """Row flags of V2: ``_repeat`` (same date as the previous row by date) and
-    ``_unsorted`` (earlier date than the previous arrival).  Both windows
-    partition by ticker, so an aggregate by ticker can follow without a shuffle."""
-    has_seq = bool(seq) and seq in df.columns
-    by_date = Window.partitionBy(key).orderBy(order, *([seq] if has_seq else []))
-    arrival = Window.partitionBy(key).orderBy(seq if has_seq else order)
-    return (df.withColumn("_repeat", null_safe_bool(F.lag(order).over(by_date) == F.col(order)))
-            .withColumn("_unsorted", null_safe_bool(F.lag(order).over(arrival) > F.col(order))))
+ARRIVALS_PER_RUN = 100_000  # arrivals of a ticker compared with their predecessor by one task
+
+
+def _out_of_order(df: DataFrame, seq: str, key: str, order: str) -> DataFrame:
+    """Per ticker: arrivals with an earlier date than the arrival before them.
+
+    Raw arrivals of a ticker have no bound, so they are cut into runs of consecutive ``seq``; a run is ordered by one
+    task, and the step from run to run is taken between the runs' last and first dates.
+    """
+    runs = df.withColumn("_run", F.floor(F.col(seq) / ARRIVALS_PER_RUN))
+    inside = Window.partitionBy(key, "_run").orderBy(seq)
+    down = null_safe_bool(F.lag(order).over(inside) > F.col(order))
+    per_run = (runs.withColumn("_down", down).groupBy(key, "_run")
+               .agg(F.count_if("_down").alias("_n"), F.min_by(order, seq).alias("_first"), F.max_by(order, seq).alias("_last")))
+    step = null_safe_bool(F.lag("_last").over(Window.partitionBy(key).orderBy("_run")) > F.col("_first"))
+    return (per_run.withColumn("_step", step).groupBy(key)
+            .agg((F.sum("_n") + F.count_if("_step")).cast("bigint").alias("n_out_of_order")))
 
 
 def time_contract(df: DataFrame, seq: str | None = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
     """V2: per ticker duplicates (fail), arrival order not ascending (fail), weekend rows (flag).
 
-    Duplicate dates are listed for the first EXAMPLES_SHOWN repeated rows in
-    arrival order; the list is built from a row_number filter, so at most 5
-    values per ticker ever reach the aggregate.
+    Duplicates are counted by (ticker, Date) with map-side combine; the dates of the first EXAMPLES_SHOWN repeated rows
+    in arrival order are listed.  Without a ``seq`` column the arrival order is unknown and taken as ascending.
     """
     has_seq = bool(seq) and seq in df.columns
-    arrival = Window.partitionBy(key).orderBy(seq if has_seq else order)
-    t = (time_flags(df.select(key, order, *([seq] if has_seq else [])), seq, key, order)
-         .withColumn("_dup_rank", F.sum(F.col("_repeat").cast("int")).over(
-             arrival.rowsBetween(Window.unboundedPreceding, 0))))
-    agg = t.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("_repeat")).alias("n_duplicates"),
-        F.array_sort(F.collect_list(F.when(F.col("_repeat") & (F.col("_dup_rank") <= EXAMPLES_SHOWN),
-                                           F.col(order)))).alias("duplicate_examples"),
-        F.count_if(F.col("_unsorted")).alias("n_out_of_order"),
-        F.count_if(F.weekday(order) >= 5).alias("n_weekend"),
-    )
-    return agg.withColumns({
+    rows = df.select(key, order, *([seq] if has_seq else []))
+    per_date = rows.groupBy(key, order).agg(F.count(F.lit(1)).alias("_n"))
+    repeats = F.when(F.col(order).isNotNull(), F.col("_n") - 1).otherwise(0)
+    agg = per_date.groupBy(key).agg(F.sum("_n").cast("bigint").alias("n_rows"), F.sum(repeats).cast("bigint").alias("n_duplicates"),
+                                    F.sum(F.when(F.weekday(order) >= 5, F.col("_n")).otherwise(0)).cast("bigint").alias("n_weekend"))
+    arrival = seq if has_seq else order
+    nth = F.row_number().over(Window.partitionBy(key, order).orderBy(arrival))
+    again = rows.where(F.col(order).isNotNull()).withColumn("_nth", nth).where("_nth > 1")
+    first = (again.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(arrival))).where(F.col("_rank") <= EXAMPLES_SHOWN)
+             .groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("duplicate_examples")).withColumnRenamed(key, "_k1"))
+    out = agg.join(first, agg[key].eqNullSafe(first["_k1"]), "left")
+    if has_seq:
+        unsorted = _out_of_order(rows, seq, key, order).withColumnRenamed(key, "_k2")
+        out = out.join(unsorted, agg[key].eqNullSafe(unsorted["_k2"]), "left")
+    else:
+        out = out.withColumn("n_out_of_order", F.lit(0).cast("bigint"))
+    out = out.select(key, "n_rows", "n_duplicates", F.coalesce("duplicate_examples", F.expr("array()").cast(out.schema["duplicate_examples"].dataType)).alias("duplicate_examples"),
+                     "n_out_of_order", "n_weekend")
+    return out.withColumns({
         "is_sorted": F.col("n_out_of_order") == 0,
         "passed": (F.col("n_duplicates") == 0) & (F.col("n_out_of_order") == 0),
     })
@@ -174,15 +187,15 @@ def validate_bars(df: DataFrame, seq: str | None = "seq", key: str = KEY, order:
     MAP and a ``passed`` verdict over every check (all evaluated, not only up
     to the first failure).
 
-    The statistics are ONE aggregate over rows flagged once (first broken
-    rule, time flags): no per-check aggregates joined back, and the time
-    windows' ticker partitioning feeds the aggregate without another shuffle.
+    The row statistics are one aggregate over rows flagged once (first broken
+    rule), with map-side combine; the time contract's per-ticker row is joined to it.
     """
     df = validate_schema(df, order)
     valid = integrity_filter(df)
     fv = F.col("first_violation")
     ok = fv.isNull()
-    flagged = time_flags(df.withColumn("first_violation", first_violation()), seq, key, order)
+    flagged = df.withColumn("first_violation", first_violation())
+    times = time_contract(df, seq, key, order).select(F.col(key).alias("_key"), "n_duplicates", "n_out_of_order", "n_weekend")
 
     def on_valid(c: str):
         return F.when(ok, F.col(c))
@@ -203,16 +216,14 @@ def validate_bars(df: DataFrame, seq: str | None = "seq", key: str = KEY, order:
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(~ok).alias("rows_removed"),
         F.map_from_entries(F.filter(F.array(*rule_counts), lambda e: e["n_rows"] > 0)).alias("invalid_row_breakdown"),
-        F.count_if("_repeat").alias("n_duplicates"),
-        F.count_if("_unsorted").alias("_n_unsorted"),
-        F.count_if(F.weekday(order) >= 5).alias("n_weekend"),
         F.sum(F.when(ok, missing_cells)).cast("bigint").alias("n_missing"))
         .withColumn("removal_pct", F.col("rows_removed").cast("double") * 100.0 / F.col("rows_before"))
         .withColumn("integrity_passed", F.col("removal_pct") <= F.lit(MAX_REMOVAL_PCT))
-        .withColumn("time_passed", (F.col("n_duplicates") == 0) & (F.col("_n_unsorted") == 0))
+        .join(times, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+        .withColumn("time_passed", (F.col("n_duplicates") == 0) & (F.col("n_out_of_order") == 0))
         .withColumn("passed", F.col("time_passed") & F.col("integrity_passed")
                     & (F.coalesce("n_missing", F.lit(0)) == 0))
-        .drop("_n_unsorted"))
+        .drop("n_out_of_order"))
     return valid, stats
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickerwise.operators import metrics as mt
@@ -10,8 +11,9 @@ from tickerwise.operators import validate
 from tickerwise.plans.q_clean import FEAT_SPLIT, RULE_SQL, split_features
 from tickerwise.plans.registry import register
 from tickerwise.schema import feature_names
-from tickerwise.functions.exprs import int_mix_sql, unit_uniform
-from tickerwise.sources import bars_daily, label_predictions
+from tickerwise.functions.exprs import int_mix_sql
+from tickerwise.plans import sql_blocks as S
+from tickerwise.sources import bars_daily, dirty_bars, label_predictions
 
 FEATS = feature_names()
 
@@ -19,8 +21,8 @@ STATS_SQL = "st AS (SELECT ticker, " + ", ".join(
     f"avg({f}) AS {f}__mean, stddev_pop({f}) AS {f}__std" for f in FEATS) + \
     " FROM sp WHERE split = 'train' GROUP BY ticker)"
 SCALED_SQL = "sc AS (SELECT sp.ticker, sp.Date, sp.split, sp.target, " + ", ".join(
-    f"(sp.{f} - st.{f}__mean) / CASE WHEN st.{f}__std IS NULL OR st.{f}__std = 0 THEN 1.0 ELSE st.{f}__std END AS {f}"
-    for f in FEATS) + " FROM sp JOIN st ON sp.ticker = st.ticker)"
+    f"(sp.{f} - coalesce(st.{f}__mean, 0.0)) / CASE WHEN st.{f}__std IS NULL OR st.{f}__std = 0 THEN 1.0 ELSE st.{f}__std END AS {f}"
+    for f in FEATS) + ", st.ticker IS NOT NULL AS scaler_known FROM sp LEFT JOIN st ON sp.ticker = st.ticker)"
 LOGIT = f"CAST({md.LINEAR_INTERCEPT} AS DOUBLE)" + "".join(
     f" + CAST({md.LINEAR_WEIGHTS[f]} AS DOUBLE) * {f}" for f in FEATS)
 SCORED_SQL = f"""scored AS (SELECT *, CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction,
@@ -54,11 +56,22 @@ def predictions(spark, sf):
     return s.select("ticker", "Date", "split", F.col("target").alias("y_true"), F.col("prediction").alias("y_pred"))
 
 
-@register("standardize", f"{FEAT_SPLIT}, {STATS_SQL}, {SCALED_SQL} SELECT ticker, Date, split, "
+THIN_SQL = ("sp AS (SELECT * FROM sp0 UNION ALL SELECT * REPLACE ('Thin' AS ticker, 'test' AS split) FROM sp0 "
+            "WHERE ticker = 'Brand#11' QUALIFY row_number() OVER (ORDER BY Date) = 1)")
+
+
+def with_thin(sp):
+    """Plus a ticker of one row, which has no train rows and hence no scaler."""
+    first = F.row_number().over(Window.partitionBy("ticker").orderBy("Date"))
+    thin = sp.where("ticker = 'Brand#11'").withColumn("_r", first).where("_r = 1").drop("_r")
+    return sp.unionByName(thin.withColumn("ticker", F.lit("Thin")).withColumn("split", F.lit("test")))
+
+
+@register("standardize", f"{FEAT_SPLIT.replace('sp AS (', 'sp0 AS (')}, {THIN_SQL}, {STATS_SQL}, {SCALED_SQL} SELECT ticker, Date, split, scaler_known, "
           + ", ".join(f"round({f}, 6) AS {f}" for f in FEATS) + " FROM sc")
 def q_standardize(spark, sf):
-    """M1: features scaled with train-only mean and population std per ticker."""
-    return scaled(spark, sf).select("ticker", "Date", "split", *FEATS)
+    """M1: features scaled with train-only mean and population std per ticker; one ticker has no train rows."""
+    return md.standardize(with_thin(split_features(spark, sf)), FEATS).select("ticker", "Date", "split", "scaler_known", *FEATS)
 
 
 @register("score_linear", f"{BASE} SELECT ticker, Date, split, target, round(probability, 6) AS probability, "
@@ -124,10 +137,7 @@ def stratified_metrics(spark, sf):
     train, test = _test_train(spark, sf)
     vol = split_features(spark, sf).select("ticker", "Date", "Volume")
     test = test.join(vol, ["ticker", "Date"]).withColumn("_day", F.datediff("Date", F.lit("1970-01-01").cast("date")))
-    rate = train.groupBy("ticker").agg(F.avg(F.col("y_true").cast("double")).alias("_rate"))
-    u = unit_uniform("_day", "Volume")
-    strat = test.join(rate, "ticker").withColumn("y_pred", F.when(u < F.col("_rate"), 1).otherwise(0).cast("int"))
-    return mt.classification_metrics(strat, ("ticker",))
+    return mt.classification_metrics(mt.baseline_stratified(train, test, ["_day", "Volume"]), ("ticker",))
 
 
 @register("baseline_majority", f"""{BASE}, {MAJ_SQL}, cm AS (SELECT ticker, {CM_COLS} FROM majp GROUP BY ticker)
@@ -166,15 +176,17 @@ def q_baseline_comparison(spark, sf):
     return mt.baseline_comparison(model, stratified_metrics(spark, sf), majority_metrics(spark, sf))
 
 
-@register("class_imbalance", f"""{BASE},
-ci AS (SELECT ticker,
+CI_SQL = f"""ci AS (SELECT ticker,
   {_z("count(*) FILTER (WHERE split = 'train' AND y_true = 0)", "count(*) FILTER (WHERE split = 'train')")} AS train_class_0_pct,
   {_z("count(*) FILTER (WHERE split = 'train' AND y_true = 1)", "count(*) FILTER (WHERE split = 'train')")} AS train_class_1_pct,
   {_z("count(*) FILTER (WHERE split = 'test' AND y_true = 0)", "count(*) FILTER (WHERE split = 'test')")} AS test_class_0_pct,
   {_z("count(*) FILTER (WHERE split = 'test' AND y_true = 1)", "count(*) FILTER (WHERE split = 'test')")} AS test_class_1_pct,
   {_z("count(*) FILTER (WHERE split = 'test' AND y_pred = 0)", "count(*) FILTER (WHERE split = 'test')")} AS pred_class_0_pct,
   {_z("count(*) FILTER (WHERE split = 'test' AND y_pred = 1)", "count(*) FILTER (WHERE split = 'test')")} AS pred_class_1_pct
-  FROM pred GROUP BY ticker)
+  FROM pred GROUP BY ticker)"""
+
+
+@register("class_imbalance", f"""{BASE}, {CI_SQL}
 SELECT ticker, round(train_class_0_pct, 6) AS train_class_0_pct, round(train_class_1_pct, 6) AS train_class_1_pct,
   round(test_class_0_pct, 6) AS test_class_0_pct, round(test_class_1_pct, 6) AS test_class_1_pct,
   round(pred_class_0_pct, 6) AS pred_class_0_pct, round(pred_class_1_pct, 6) AS pred_class_1_pct,
@@ -235,33 +247,64 @@ def q_metric_compare(spark, sf):
     return mt.metric_compare(cur, base)
 
 
-@register("retrain_gate", f"""{COMPARE_SQL},
-vg AS (SELECT ticker, CAST(count(*) FILTER (WHERE v IS NOT NULL) AS DOUBLE) * 100.0 / count(*) <= 10.0 AS validation_passed
-  FROM (SELECT ticker, {RULE_SQL} AS v FROM bars) GROUP BY ticker),
+GATE_CLEAN = "right(ticker, 1) IN ('1', '3', '5')"  # these tickers arrive clean, the others as dirty bars
+
+
+def gate_bars(spark, sf):
+    """What the validator sees before a retraining: clean and broken tickers, and one with a single bar."""
+    dirty, bars = dirty_bars(spark, sf), bars_daily(spark, sf)
+    nth = F.row_number().over(Window.partitionBy("ticker").orderBy("Date"))
+    clean = bars.where(GATE_CLEAN).withColumn("seq", nth.cast("bigint") * 2)
+    thin = clean.where("ticker = 'Brand#11' and seq = 2").withColumn("ticker", F.lit("Thin"))
+    return dirty.where(f"not ({GATE_CLEAN})").unionByName(clean).unionByName(thin)
+
+
+def leak_features(spark, sf):
+    """Model features and ``probe``: a look-ahead column in tickers ending in 4, the return elsewhere."""
+    ahead = F.coalesce(F.lead("Close").over(Window.partitionBy("ticker").orderBy("Date")) > F.col("Close"), F.lit(False)).cast("double")
+    return split_features(spark, sf).withColumn("probe", F.when(F.col("ticker").endswith("4"), ahead).otherwise(F.col("returns")))
+
+
+@register("retrain_gate", f"""{COMPARE_SQL}, {S.dirty()},
+gb AS (SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dirty WHERE NOT ({GATE_CLEAN})
+  UNION ALL SELECT ticker, Date, Open, High, Low, Close, Volume, r * 2 FROM numbered WHERE {GATE_CLEAN}
+  UNION ALL SELECT 'Thin', Date, Open, High, Low, Close, Volume, 2 FROM numbered WHERE ticker = 'Brand#11' AND r = 1),
+fl AS (SELECT *, {RULE_SQL} AS v, lag(Date) OVER (PARTITION BY ticker ORDER BY seq) > Date AS down FROM gb),
+vg AS (SELECT ticker, count(*) = count(DISTINCT Date) AND count(*) FILTER (WHERE down) = 0
+    AND CAST(count(*) FILTER (WHERE v IS NOT NULL) AS DOUBLE) * 100.0 / count(*) <= 10.0
+    AND count(*) FILTER (WHERE v IS NULL AND (Open IS NULL OR High IS NULL OR Low IS NULL OR Close IS NULL OR Volume IS NULL)) = 0 AS validation_passed
+  FROM fl GROUP BY ticker),
+sp1 AS (SELECT ticker, Date, split FROM sp UNION ALL SELECT 'Thin', min(Date), 'test' FROM sp WHERE ticker = 'Brand#11'),
 sv AS (SELECT ticker, coalesce(max(Date) FILTER (WHERE split = 'train') < min(Date) FILTER (WHERE split = 'test'), false) AS split_valid
-  FROM sp GROUP BY ticker),
+  FROM sp1 GROUP BY ticker),
+pb AS (SELECT *, CASE WHEN right(ticker, 1) = '4' THEN CAST(coalesce(lead(Close) OVER (PARTITION BY ticker ORDER BY Date) > Close, false) AS DOUBLE) ELSE returns END AS probe FROM sp),
 lg AS (SELECT ticker, CAST(target AS DOUBLE) AS _y, feature, value FROM
-  (SELECT ticker, target, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in FEATS)} FROM sp)
-  UNPIVOT (value FOR feature IN ({', '.join(FEATS)}))),
-lc0 AS (SELECT ticker, feature, CASE WHEN stddev_pop(value) * stddev_pop(_y) > 0
-  THEN covar_pop(value, _y) / (stddev_pop(value) * stddev_pop(_y)) END AS corr FROM lg GROUP BY ticker, feature),
-lc AS (SELECT ticker, NOT bool_or(coalesce(abs(corr) > 0.99, false)) AS no_leakage FROM lc0 GROUP BY ticker)
-SELECT vg.ticker, vg.validation_passed, sv.split_valid, cmp.beats_random, l.no_leakage,
-  vg.validation_passed AND sv.split_valid AND cmp.beats_random AND l.no_leakage AS retrain_approved
-FROM vg JOIN sv ON vg.ticker = sv.ticker JOIN cmp ON vg.ticker = cmp.ticker
-  JOIN lc l ON vg.ticker = l.ticker""")
+  (SELECT ticker, target, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in FEATS + ['probe'])} FROM pb)
+  UNPIVOT (value FOR feature IN ({', '.join(FEATS + ['probe'])}))),
+lc0 AS (SELECT ticker, feature, corr(value, _y) AS corr FROM lg GROUP BY ticker, feature HAVING stddev_pop(value) * stddev_pop(_y) > 0),
+lc AS (SELECT ticker, max(abs(corr)) <= 0.99 AS no_leakage FROM lc0 GROUP BY ticker)
+SELECT vg.ticker, vg.validation_passed, coalesce(sv.split_valid, false) AS split_valid, coalesce(cmp.beats_random, false) AS beats_random,
+  coalesce(l.no_leakage, false) AS no_leakage, true AS reproducible,
+  vg.validation_passed AND coalesce(sv.split_valid, false) AND coalesce(cmp.beats_random, false) AND coalesce(l.no_leakage, false) AS retrain_approved
+FROM vg LEFT JOIN sv ON vg.ticker = sv.ticker LEFT JOIN cmp ON vg.ticker = cmp.ticker LEFT JOIN lc l ON vg.ticker = l.ticker""")
 def q_retrain_gate(spark, sf):
-    """Validation passed, split valid, beats random, no leakage -> retraining approved."""
-    gate = validate.integrity_gate(bars_daily(spark, sf)).select("ticker", F.col("passed").alias("validation_passed"))
-    sv = mt.split_validity(split_features(spark, sf)).select("ticker", F.col("valid").alias("split_valid"))
+    """Full validator (V8), split (M15), beats random (M10), no leakage (M14), reproducible (M12); a missing leg fails."""
+    _, stats = validate.validate_bars(gate_bars(spark, sf))
+    gate = stats.select("ticker", F.col("passed").alias("validation_passed"))
+    sv = mt.split_validity(with_thin(split_features(spark, sf))).select("ticker", F.col("valid").alias("split_valid"))
     model = mt.classification_metrics(predictions(spark, sf).filter(F.col("split") == "test"), ("ticker",))
     cmp = mt.baseline_comparison(model, stratified_metrics(spark, sf), majority_metrics(spark, sf)).select(
         "ticker", "beats_random")
-    leak = (mt.leakage_corr(split_features(spark, sf), FEATS).groupBy("ticker")
+    leak = (mt.leakage_corr(leak_features(spark, sf), FEATS + ["probe"]).groupBy("ticker")
             .agg((~F.bool_or("suspicious")).alias("no_leakage")))
-    out = gate.join(sv, "ticker").join(cmp, "ticker").join(leak, "ticker")
-    return out.withColumn("retrain_approved", F.col("validation_passed") & F.col("split_valid")
-                          & F.col("beats_random") & F.col("no_leakage"))
+    repro = md.reproducibility(scaled(spark, sf), FEATS, "logistic", n_runs=3).select("deterministic").scalar()
+    legs = ["validation_passed", "split_valid", "beats_random", "no_leakage", "reproducible"]
+    out = (gate.join(sv, "ticker", "left").join(cmp, "ticker", "left").join(leak, "ticker", "left").withColumn("reproducible", repro)
+           .withColumns({c: F.coalesce(c, F.lit(False)) for c in legs}))
+    passed = F.lit(True)
+    for c in legs:
+        passed = passed & F.col(c)
+    return out.withColumn("retrain_approved", passed)
 
 
 # ------------------------------------------------------- pyspark.ml (rows-only checks)
@@ -279,48 +322,67 @@ def q_gbt_predictions(spark, sf):
     return out.select("ticker", "Date", "split", "target", "prediction", "probability")
 
 
-@register("reproducibility")
+@register("reproducibility", "SELECT CAST(3 AS BIGINT) AS n_runs, CAST(0 AS BIGINT) AS n_diff, true AS within_tolerance, "
+          "true AS predictions_identical, true AS deterministic")
 def q_reproducibility(spark, sf):
-    """Three fresh logistic fits; accuracy spread and identical predictions."""
-    return md.reproducibility(scaled(spark, sf), FEATS, "logistic", n_runs=3, max_iter=100)
+    """Three fresh logistic fits of the full 1,000 iterations: identical predictions, no accuracy spread."""
+    out = md.reproducibility(scaled(spark, sf), FEATS, "logistic", n_runs=3)
+    return out.select("n_runs", "n_diff", "within_tolerance", "predictions_identical", "deterministic")
 
 
 M4 = "accuracy, precision, recall, f1"
-MODEL_REPORT_SQL = f"""{BASE}, {MAJ_SQL}, {STRAT_SQL},
+CMP_VALUES = ["test_accuracy", "random_accuracy", "majority_accuracy", "improvement_over_random", "improvement_over_majority",
+              "beats_random", "beats_majority", "suspicious_high_accuracy"]
+CI_VALUES = ["train_class_0_pct", "train_class_1_pct", "test_class_0_pct", "test_class_1_pct", "pred_class_0_pct", "pred_class_1_pct",
+             "trivial_prediction"]
+MODEL_REPORT_SQL = f"""{COMPARE_SQL}, {CI_SQL},
 mcm AS (SELECT ticker, split, {CM_COLS} FROM pred GROUP BY ticker, split),
-mm AS (SELECT ticker, split, {METRIC_COLS} FROM mcm),
+mm2 AS (SELECT ticker, split, {METRIC_COLS} FROM mcm),
 rcm AS (SELECT ticker, {CM_COLS} FROM strp GROUP BY ticker),
-rm AS (SELECT ticker, {METRIC_COLS} FROM rcm),
+rm2 AS (SELECT ticker, {METRIC_COLS} FROM rcm),
 jcm AS (SELECT ticker, {CM_COLS} FROM majp GROUP BY ticker),
-jm AS (SELECT ticker, {METRIC_COLS} FROM jcm)
+jm2 AS (SELECT ticker, {METRIC_COLS} FROM jcm)
 SELECT ticker, 'model_' || split AS section, metric, value
-  FROM (SELECT ticker, split, {M4} FROM mm) UNPIVOT (value FOR metric IN ({M4}))
+  FROM (SELECT ticker, split, {M4} FROM mm2) UNPIVOT (value FOR metric IN ({M4}))
 UNION ALL SELECT ticker, 'baseline_random' AS section, metric, value
-  FROM (SELECT ticker, {M4} FROM rm) UNPIVOT (value FOR metric IN ({M4}))
+  FROM (SELECT ticker, {M4} FROM rm2) UNPIVOT (value FOR metric IN ({M4}))
 UNION ALL SELECT ticker, 'baseline_majority' AS section, metric, value
-  FROM (SELECT ticker, {M4} FROM jm) UNPIVOT (value FOR metric IN ({M4}))
+  FROM (SELECT ticker, {M4} FROM jm2) UNPIVOT (value FOR metric IN ({M4}))
 UNION ALL SELECT ticker, 'dataset_info' AS section, metric, value FROM (
   SELECT ticker, CAST(sum(n) FILTER (WHERE split = 'train') AS DOUBLE) AS train_size,
-    CAST(sum(n) FILTER (WHERE split = 'test') AS DOUBLE) AS test_size FROM mm GROUP BY ticker)
-  UNPIVOT (value FOR metric IN (train_size, test_size))"""
+    CAST(sum(n) FILTER (WHERE split = 'test') AS DOUBLE) AS test_size, CAST({len(FEATS)} AS DOUBLE) AS n_features FROM mm2 GROUP BY ticker)
+  UNPIVOT (value FOR metric IN (train_size, test_size, n_features))
+UNION ALL SELECT ticker, 'comparison' AS section, metric, round(value, 6)
+  FROM (SELECT ticker, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in CMP_VALUES)} FROM cmp) UNPIVOT (value FOR metric IN ({', '.join(CMP_VALUES)}))
+UNION ALL SELECT ticker, 'class_imbalance' AS section, metric, round(value, 6)
+  FROM (SELECT ticker, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in CI_VALUES[:-1])},
+    CAST(greatest(pred_class_0_pct, pred_class_1_pct) > 0.95 AS DOUBLE) AS trivial_prediction FROM ci) UNPIVOT (value FOR metric IN ({', '.join(CI_VALUES)}))"""
 
 
 @register("model_report", MODEL_REPORT_SQL)
 def q_model_report(spark, sf):
-    """Long (ticker, section, metric, value) table of metrics, baselines, comparison, sizes."""
+    """Long (ticker, section, metric, value) table: metrics, baselines, comparison, class imbalance, sizes (flags as 0 / 1)."""
     p = predictions(spark, sf)
     model = mt.classification_metrics(p, ("ticker", "split"))
+    random, majority = stratified_metrics(spark, sf), majority_metrics(spark, sf)
+    compare = mt.baseline_comparison(model.filter(F.col("split") == "test"), random, majority)
+
+    def section(df, name, values):
+        wide = df.select("ticker", *[F.col(c).cast("double").alias(c) for c in values])
+        return wide.unpivot(["ticker"], values, "metric", "value").select("ticker", F.lit(name).alias("section"), "metric", "value")
+
     parts = [
         mt.metrics_long(model, ("ticker", "split")).select(
             "ticker", F.concat(F.lit("model_"), F.col("split")).alias("section"), "metric", "value"),
-        mt.metrics_long(stratified_metrics(spark, sf)).select(
+        mt.metrics_long(random).select(
             "ticker", F.lit("baseline_random").alias("section"), "metric", "value"),
-        mt.metrics_long(majority_metrics(spark, sf)).select(
+        mt.metrics_long(majority).select(
             "ticker", F.lit("baseline_majority").alias("section"), "metric", "value"),
-        model.groupBy("ticker").agg(F.sum(F.when(F.col("split") == "train", F.col("n"))).cast("double").alias("train_size"),
-                                    F.sum(F.when(F.col("split") == "test", F.col("n"))).cast("double").alias("test_size"))
-        .unpivot(["ticker"], ["train_size", "test_size"], "metric", "value")
-        .select("ticker", F.lit("dataset_info").alias("section"), "metric", "value"),
+        section(model.groupBy("ticker").agg(F.sum(F.when(F.col("split") == "train", F.col("n"))).alias("train_size"),
+                                            F.sum(F.when(F.col("split") == "test", F.col("n"))).alias("test_size"))
+                .withColumn("n_features", F.lit(len(FEATS))), "dataset_info", ["train_size", "test_size", "n_features"]),
+        section(compare, "comparison", CMP_VALUES),
+        section(mt.class_imbalance(p, ("ticker",)), "class_imbalance", CI_VALUES),
     ]
     out = parts[0]
     for p_ in parts[1:]:
@@ -354,7 +416,7 @@ def q_label_metrics(spark, sf):
 
 
 @register("score_requests", f"""{BASE},
-rq AS (SELECT ticker, Date, date_diff('day', DATE '1970-01-01', Date) % 7 = 0 AS broken FROM sp WHERE split = 'test')
+rq AS (SELECT ticker, Date, date_diff('day', DATE '1970-01-01', Date) % 7 = 0 AS broken FROM sp)
 SELECT r.ticker, r.Date, CASE WHEN r.broken THEN 'error' ELSE 'success' END AS status,
   CASE WHEN r.broken THEN NULL ELSE CAST(s.prediction AS INTEGER) END AS prediction,
   CASE WHEN r.broken THEN NULL ELSE round(s.probability, 6) END AS probability,
@@ -362,8 +424,86 @@ SELECT r.ticker, r.Date, CASE WHEN r.broken THEN 'error' ELSE 'success' END AS s
   CASE WHEN r.broken THEN 'Missing features: volatility_20' END AS detail
 FROM rq r JOIN scored s ON r.ticker = s.ticker AND r.Date = s.Date""")
 def q_score_requests(spark, sf):
-    """M4 request/response: JSON bodies of test rows (every 7th day omits a field) parsed, checked, scored."""
+    """M4 request/response: JSON bodies of all rows (every 7th day omits a field) parsed, checked, scored."""
     sp = split_features(spark, sf)
     stats = md.fit_scaler(sp.filter(F.col("split") == "train"), FEATS)
-    bodies = md.request_bodies(sp.filter(F.col("split") == "test"), FEATS)
+    bodies = md.request_bodies(sp, FEATS)
     return md.score_requests(bodies, stats, FEATS)
+
+
+SUMMARY_BANDS = """SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT ticker) AS BIGINT) AS n_tickers,
+  CAST(sum(target) AS BIGINT) AS n_up, true AS labels_valid, true AS probabilities_valid, true AS accuracy_plausible FROM sp GROUP BY split"""
+
+
+def model_summary(pred):
+    """What a fitted model's output must satisfy whatever the optimiser: one row per input row, labels 0 / 1, P(up) in
+    [0, 1] and on the side of the label, pooled accuracy within the plausible bounds (0.40 to 0.80, test 0.75)."""
+    right = F.avg((F.col("prediction") == F.col("target")).cast("double"))
+    side = (F.col("probability") > 0.5) == (F.col("prediction") == 1)
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ticker").alias("n_tickers"), F.sum("target").alias("n_up"),
+        F.bool_and(F.col("prediction").isin(0, 1)).alias("labels_valid"),
+        F.bool_and((F.col("probability") >= 0) & (F.col("probability") <= 1) & (side | (F.abs(F.col("probability") - 0.5) < 1e-9))).alias("probabilities_valid"),
+        right.between(0.40, 0.80).alias("_wide"), right.between(0.40, 0.75).alias("_narrow")).select(
+            "split", "n_rows", "n_tickers", "n_up", "labels_valid", "probabilities_valid",
+            F.when(F.col("split") == "test", F.col("_narrow")).otherwise(F.col("_wide")).alias("accuracy_plausible"))
+
+
+@register("lr_summary", f"{FEAT_SPLIT} {SUMMARY_BANDS}", shared=True)
+def q_lr_summary(spark, sf):
+    """M2: the logistic model's predictions, checked for what holds of any fit."""
+    return model_summary(md.train_and_predict(scaled(spark, sf), FEATS, "logistic"))
+
+
+@register("gbt_summary", f"{FEAT_SPLIT} {SUMMARY_BANDS}", shared=True)
+def q_gbt_summary(spark, sf):
+    """M3: the boosted trees' predictions, checked for what holds of any fit."""
+    return model_summary(md.train_and_predict(scaled(spark, sf), FEATS, "gbt"))
+
+
+@register("model_round_trip", f"""{FEAT_SPLIT} SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_diff, 'logistic' AS model_type,
+  '{','.join(FEATS)}' AS feature_names FROM sp""", shared=True)
+def q_model_round_trip(spark, sf):
+    """A model saved with its metadata and loaded again predicts the same from its named features."""
+    from tickerwise.schema import select_features
+    from tickerwise.streaming.jobs import run_dir
+    rows = scaled(spark, sf)
+    path = run_dir(spark, "model")
+    model = md.fit_logistic(rows.filter(F.col("split") == "train"), FEATS)
+    md.save_model(model, path, FEATS, "logistic", spark)
+    loaded, meta = md.load_model(path, "logistic", spark)
+    before = md.predict_model(model, rows, FEATS).select("ticker", "Date", F.col("probability").alias("a"))
+    after = md.predict_model(loaded, select_features(rows, meta["feature_names"]), meta["feature_names"]).select("ticker", "Date", F.col("probability").alias("b"))
+    return (before.join(after, ["ticker", "Date"]).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("a") != F.col("b")).alias("n_diff"))
+            .withColumn("model_type", F.lit(meta["model_type"])).withColumn("feature_names", F.lit(",".join(meta["feature_names"]))))
+
+
+@register("training_alerts", f"""{BASE}, cm AS (SELECT ticker, {CM_COLS} FROM pred WHERE split = 'test' GROUP BY ticker),
+m AS (SELECT ticker, {METRIC_COLS} FROM cm)
+SELECT ticker, 'success' AS color, 'Training Complete - ' || ticker AS title,
+  '**Model training finished successfully**' || chr(10) || chr(10) || 'Duration: 12.5s' AS message,
+  printf('%.3f', accuracy) AS accuracy, printf('%.3f', f1) AS f1 FROM m""", shared=True)
+def q_training_alerts(spark, sf):
+    """One alert per trained ticker, with its test accuracy and f1."""
+    from tickerwise.operators import monitoring as mon
+    m = mt.round_metrics(mt.classification_metrics(predictions(spark, sf).filter(F.col("split") == "test"), ("ticker",)))
+    a = mon.training_complete_alerts(m, F.lit(12.5))
+    return a.select("ticker", "color", "title", "message", F.col("fields")[0]["value"].alias("accuracy"), F.col("fields")[1]["value"].alias("f1"))
+
+
+@register("csv_two_sample", f"""{FEAT_SPLIT}
+SELECT CASE split WHEN 'train' THEN 'ref' ELSE 'cur' END AS sample, 'Brand#11' AS ticker, CAST(count(*) AS BIGINT) AS n_rows, min(Date) AS first_date,
+  round(sum(Close), 4) AS close_sum, CAST(sum(Volume) AS BIGINT) AS volume_sum, round(sum(ma_20), 4) AS ma_20_sum, CAST(sum(target) AS BIGINT) AS n_up
+FROM sp WHERE ticker = 'Brand#11' GROUP BY split""", digits=4, shared=True)
+def q_csv_two_sample(spark, sf):
+    """A ticker's two samples written as CSV in another column order and loaded by header as one table."""
+    from tickerwise.sources import load_and_compare
+    from tickerwise.streaming.jobs import run_dir
+    path, sp = run_dir(spark, "two-sample"), split_features(spark, sf).where("ticker = 'Brand#11'")
+    cols = ["Date", "target", *reversed(FEATS)]
+    for split in ("train", "test"):
+        sp.filter(F.col("split") == split).select(cols).write.option("header", True).csv(f"{path}/{split}")
+    both = load_and_compare(spark, f"{path}/train", f"{path}/test", ticker="Brand#11")
+    return both.groupBy("sample", "ticker").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("Date").alias("first_date"), F.sum("Close").alias("close_sum"), F.sum("Volume").alias("volume_sum"),
+        F.sum("ma_20").alias("ma_20_sum"), F.sum("target").alias("n_up"))

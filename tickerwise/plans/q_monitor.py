@@ -10,7 +10,7 @@ from tickerwise.operators import monitoring as mon
 from tickerwise.plans.q_drift import SUMMARY_SQL, drift_input, FEATS as DFEATS
 from tickerwise.plans.q_model import BASE, CM_COLS, METRIC_COLS, predictions
 from tickerwise.plans.registry import register
-from tickerwise.schema import LATENCY_BUCKETS
+from tickerwise.schema import LATENCY_BUCKETS, STORE_LATENCY_BUCKETS
 from tickerwise.sources import request_log
 
 LOG = """log AS (SELECT event_id, ts, event_type AS endpoint, value / 100.0 AS latency,
@@ -46,11 +46,23 @@ def q_latency_histogram(spark, sf):
     return mon.latency_histogram(request_log(spark, sf))
 
 
+@register("store_latency_histogram", f"""WITH lg AS (SELECT event_type AS endpoint, value / 1000.0 AS latency FROM events),
+le AS (SELECT unnest([{', '.join(map(str, STORE_LATENCY_BUCKETS))}, 1e300]) AS le)
+SELECT endpoint, round(any_value(s), 6) AS latency_sum, any_value(n) AS latency_count,
+  CASE WHEN le = 1e300 THEN '+Inf' ELSE CAST(le AS VARCHAR) END AS le,
+  CASE WHEN le = 1e300 THEN any_value(n) ELSE count(latency) FILTER (WHERE latency <= le) END AS count
+FROM lg JOIN (SELECT endpoint, sum(latency) AS s, count(*) AS n FROM lg GROUP BY endpoint) USING (endpoint) CROSS JOIN le GROUP BY endpoint, le""")
+def q_store_latency_histogram(spark, sf):
+    """The feature store's own, finer buckets (latency = value / 1000 s)."""
+    log = request_log(spark, sf).withColumn("latency", F.col("latency") / 10.0)
+    return mon.latency_histogram(log, buckets=STORE_LATENCY_BUCKETS)
+
+
 def _json_field(name, value, inline):
     return f"{{'name': '{name}', 'value': {value}, 'inline': {str(inline).lower()}}}"
 
 
-@register("drift_alerts", f"""{SUMMARY_SQL},
+ALERT_SQL = f"""{SUMMARY_SQL},
 asof_t AS (SELECT strftime(CAST(max(Date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS t FROM ds)
 SELECT ticker,
   CASE WHEN dataset_drift_detected OR target_drift_detected THEN 'warning' ELSE 'success' END AS color,
@@ -65,7 +77,10 @@ SELECT ticker,
     [{_json_field('Ticker', 'ticker', True)}, {_json_field('Timestamp', '(SELECT t FROM asof_t)', True)},
      {_json_field('Action Required', "'Review drift report and consider model retraining'", False)}]
   ELSE [{_json_field('Ticker', 'ticker', True)}, {_json_field('Timestamp', '(SELECT t FROM asof_t)', True)}] END)::VARCHAR AS fields
-FROM sm""")
+FROM sm"""
+
+
+@register("drift_alerts", ALERT_SQL)
 def q_drift_alerts(spark, sf):
     """Drift alert row per ticker (warning / success), timestamp = last bar date."""
     ds = drift_input(spark, sf)
@@ -74,6 +89,21 @@ def q_drift_alerts(spark, sf):
     return alerts.withColumn("fields", F.to_json("fields"))
 
 
+REPORT_JSON = _json_field("Report", "'Check `' || ticker || '_drift_report.html` for details'", False)
+
+
+@register("drift_alerts_sent", ALERT_SQL.replace("::VARCHAR AS fields\nFROM sm", "::VARCHAR AS fields\nFROM sm WHERE drift_share > 0.5 OR target_drift_detected")
+          .replace("retraining', 'inline': false}]", f"retraining', 'inline': false}}, {REPORT_JSON}]"))
+def q_drift_alerts_sent(spark, sf):
+    """N1 + D7: the alerts that leave, with the report named."""
+    ds = drift_input(spark, sf)
+    data, target = dr.dataset_drift(dr.ks_drift(ds, DFEATS)), dr.target_drift(ds)
+    as_of = ds.select(F.max("Date")).scalar()
+    name = F.concat(F.col("ticker"), F.lit("_drift_report.html"))
+    alerts = mon.drift_alerts(dr.drift_summary(ds, DFEATS), as_of, report=name)
+    return mon.alerts_to_send(alerts, dr.drift_gate(data, target)).withColumn("fields", F.to_json("fields"))
+
+
 @register("performance_alerts", f"""{BASE},
 cm AS (SELECT ticker, split, {CM_COLS} FROM pred GROUP BY ticker, split),
 m AS (SELECT ticker, split, {METRIC_COLS} FROM cm),

@@ -21,7 +21,7 @@ freshness feasibility_report feasibility_verdict trading_calendar missing_days s
 confusion_matrix classification_metrics classification_report baseline_majority baseline_stratified
 baseline_comparison class_imbalance metric_compare retrain_gate prediction_diff lr_predictions gbt_predictions
 reproducibility model_report score_requests ticker_predictions ks_drift dataset_drift psi_drift drift_autosplit drift_gate drift_report_json source_acceptance
-source_fallback online_snapshot online_lookup online_misses linear_shap global_importance local_ranking perm_shap
+source_fallback online_snapshot online_lookup online_misses linear_shap global_importance local_ranking perm_shap perm_shap_sums drift_report_parsed drift_alerts_sent
 drift_alerts performance_alerts stream_scores stream_online_snapshot stream_dedup stream_dedup_last stream_features
 """.split())
 
@@ -59,5 +59,5 @@ def register(name: str, sql: str | None = None, digits: int | None = 6, shared:
 def load_all() -> None:
     """Import every query module so that they register themselves."""
     from tickerwise.plans import (  # noqa: F401
-        q_bars, q_clean, q_feas, q_model, q_drift, q_serving, q_attr, q_monitor, q_stream,
+        q_bars, q_clean, q_feas, q_model, q_drift, q_serving, q_attr, q_monitor, q_mixed, q_stream,
     )
