@@ -482,7 +482,7 @@ def q_model_round_trip(spark, sf):
 m AS (SELECT ticker, {METRIC_COLS} FROM cm)
 SELECT ticker, 'success' AS color, 'Training Complete - ' || ticker AS title,
   '**Model training finished successfully**' || chr(10) || chr(10) || 'Duration: 12.5s' AS message,
-  printf('%.3f', accuracy) AS accuracy, printf('%.3f', f1) AS f1 FROM m""", shared=True)
+  printf('%.3f', round(accuracy, 3)) AS accuracy, printf('%.3f', round(f1, 3)) AS f1 FROM m""", shared=True)
 def q_training_alerts(spark, sf):
     """One alert per trained ticker, with its test accuracy and f1."""
     from tickerwise.operators import monitoring as mon
