@@ -10,6 +10,7 @@ two, which need no padding.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tickerwise.llm.common import small_batches
 
-PIECE_CACHE = 500_000  # pieces whose ids a worker remembers; then it starts anew
+GENERATION = 300_000     # pieces in each of the two generations whose ids a worker remembers
 LONGEST_CACHED = 64
 JOINED = 2_000           # new pieces encoded in one call
 _cache: dict[str, tuple] = {}
@@ -57,12 +58,16 @@ def encoder(path: str):
     """
     if path not in _cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         t = Tokenizer.from_file(path)
+        model = json.loads(t.to_str())["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        bare = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=model["end_of_word_suffix"], cache_capacity=0))
+        bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         ends = np.zeros(t.get_vocab_size(), bool)
         ends[[i for w, i in t.get_vocab().items() if w.endswith("</w>")]] = True
-        _cache[path] = (t, ends, {}, {}, *_plain())
-    tokenizer, ends, pieces, runs, plain, cut = _cache[path]
+        _cache[path] = (t, bare, ends, [{}, {}], [{}, {}], *_plain())
+    tokenizer, bare, ends, pieces, runs, plain, cut = _cache[path]
 
     def each(words: list[str], known: dict, key) -> dict:
         late = {}
@@ -70,28 +75,42 @@ def encoder(path: str):
             (known if len(w) <= LONGEST_CACHED else late)[key(w)] = np.array(e.ids, "<u4").tobytes()
         return late
 
-    def learn(fresh: list[str]) -> dict:
-        """Ids of new pieces; a piece ends with the only id of its kind, so many are encoded in one call."""
+    def learn(fresh: list[str], known: dict) -> dict:
+        """Ids of new pieces, by the tokenizer's model alone: they are lower-cased and cut already.  A piece ends with the only
+        id of its kind, so many are encoded in one call."""
         late = {}
         for lo in range(0, len(fresh), JOINED):
             part = fresh[lo:lo + JOINED]
-            ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(ends[ids]) + 1
             if len(stop) != len(part) or stop[-1] != len(ids):
-                late |= each(part, pieces, lambda w: w)
+                late |= each(part, known, lambda w: w)
                 continue
             data, a = ids.tobytes(), 0
             for w, z in zip(part, stop.tolist()):
-                (pieces if len(w) <= LONGEST_CACHED else late)[w] = data[4 * a:4 * z]
+                (known if len(w) <= LONGEST_CACHED else late)[w] = data[4 * a:4 * z]
                 a = z
         return late
 
-    def join(words: list[list], known: dict, more) -> list[bytes]:
-        fresh = set().union(*words).difference(known)
-        if len(known) + len(fresh) > PIECE_CACHE:
-            known.clear()
-            fresh = set().union(*words)
-        late = more(sorted(fresh))
+    def learn_runs(fresh: list[bytes], known: dict) -> dict:
+        return each([w.decode() for w in fresh], known, str.encode)
+
+    def join(words: list[list], generations: list[dict], more) -> list[bytes]:
+        """Ids of all words; words not met for a whole generation are forgotten."""
+        need = set().union(*words)
+        fresh = need.difference(generations[0])
+        if len(generations[0]) + len(fresh) > GENERATION:
+            generations[:] = {}, generations[0]
+            fresh = need
+        known, old = generations
+        unknown = []
+        for w in fresh:
+            ids = old.get(w)
+            if ids is None:
+                unknown.append(w)
+            else:
+                known[w] = ids
+        late = more(unknown, known)
         if late:
             return [b"".join([known[x] if x in known else late[x] for x in w]) for w in words]
         return [b"".join(map(known.__getitem__, w)) for w in words]
@@ -99,8 +118,7 @@ def encoder(path: str):
     def encode(texts: list[str]) -> list[bytes]:
         easy = [plain.fullmatch(t) is not None and not any(x in t for x in SPECIAL) for t in texts]
         found = join([cut.findall(t.lower()) for t, e in zip(texts, easy) if e], pieces, learn)
-        rest = join([t.encode().split() for t, e in zip(texts, easy) if not e], runs,
-                    lambda fresh: each([w.decode() for w in fresh], runs, str.encode))
+        rest = join([t.encode().split() for t, e in zip(texts, easy) if not e], runs, learn_runs)
         found, rest = iter(found), iter(rest)
         return [next(found if e else rest) for e in easy]
     return encode
