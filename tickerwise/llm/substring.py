@@ -33,9 +33,16 @@ def lengths(window: int, start: int) -> list[int]:
     return out
 
 
-def _anchors(c, window: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: key, second key and validity of the window that starts there, at this level's length."""
-    wh = c.hashes()
+def _hashes(c, k: int = 0) -> np.ndarray:
+    """Word hashes of a chunk, computed once."""
+    if not hasattr(c, f"_hashes{k}"):
+        setattr(c, f"_hashes{k}", c.hashes(k))
+    return getattr(c, f"_hashes{k}")
+
+
+def _anchors(c, window: int, length: int, second: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word: key, second key (if asked for) and validity of the window that starts there, at this level's length."""
+    wh = _hashes(c)
     n = len(wh)
     key, key2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     fits = np.zeros(n, bool)
@@ -43,8 +50,8 @@ def _anchors(c, window: int, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
         fits[:n - window + 1] = c.row[:n - window + 1] == c.row[window - 1:]
         part, _ = c.shingles(wh, length)
         key[:n - window + 1] = slide_min(part[:n - length + 1], window - length + 1)
-        if length == window:
-            key2 = c.shingles(c.hashes(1), length, 1)[0] >> np.uint64(32)
+        if second:
+            key2 = c.shingles(_hashes(c, 1), length, 1)[0] >> np.uint64(32)
     return key, key2, fits
 
 
@@ -57,7 +64,7 @@ def _emit(window: int, length: int, with_keys: bool):
             docs = b.column(0)
             ids, there = docs.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), docs.is_valid().to_numpy(zero_copy_only=False)
             for c in chunks(b.column(1), "space", False):
-                key, key2, fits = _anchors(c, window, length)
+                key, key2, fits = _anchors(c, window, length, second=last)
                 fits &= there[c.lo:c.hi][c.row]
                 if with_keys:
                     fits &= _candidates(c, window, b.column(3), int(b.column(2)[0].as_py()))
