@@ -35,6 +35,12 @@ def test_encoder_equals_the_tokenizer():
         assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == ids_of(texts)
 
 
+def test_every_capital_inside_a_plain_word():
+    capitals = [chr(c) for c in range(0x250) if chr(c).lower() != chr(c)]
+    texts = [w for c in capitals for w in (f"az{c}rbaycan", f"{c}li", f"kasa {c}an", c)] + ["AZ\u018fRBAYCAN", "\u0190nd, \u0186kyena's \u023a1"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(tokenizer_path())(texts)] == ids_of(texts)
+
+
 @pytest.mark.parametrize("window,max_gap,max_open", [(4096, 32, 1024), (64, 2, 1024), (64, 0, 3), (16, 1, 1)])
 def test_packing_round_trip(spark, window, max_gap, max_open):
     rows = cases.edge_docs()

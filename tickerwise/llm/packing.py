@@ -38,9 +38,10 @@ def _plain() -> tuple[re.Pattern, re.Pattern]:
     """(texts whose pieces Python finds exactly as the tokenizer does, the pieces of such a lower-cased text).
 
     Those are texts of printable ASCII, ASCII white space and the Latin letters and signs up to U+024F: there normal form C changes
-    nothing and lower-casing is one to one (the capital dotted i is left out).
+    nothing and lower-casing is one to one.  Capitals whose lower form is not one character of that range are left out.
     """
-    chars = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250)) if c != 0x130]
+    within = {chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250))}
+    chars = sorted(c for c in within if c.lower() in within)
     group = lambda kind: "".join(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind)
     letters, numbers = group("L"), group("N")
     blank = " \t\n\x0b\x0c\r"
