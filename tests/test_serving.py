@@ -176,3 +176,24 @@ def test_checkpoint_dir_refuses_local_folder_on_cluster():
     ok = SimpleNamespace(conf=shared, sparkContext=SimpleNamespace(master="spark://cluster:7077",
                                                                      setCheckpointDir=calls.append))
     assert checkpoint_dir(ok) == "/shared/ckpt" and calls == ["/shared/ckpt"]
+
+
+def test_load_and_compare_of_partitioned_samples(spark, make_bars, tmp_path):
+    from tickerwise.sources import load_and_compare
+    df = make_bars([1.0, 2.0, 3.0], ticker="0700").unionByName(make_bars([4.0, 5.0], ticker="12"))
+    write_bars(df.select(*reversed(df.columns)), str(tmp_path / "a"), "csv")
+    write_bars(df.filter("ticker = '0700'"), str(tmp_path / "b"), "csv")
+    pair = load_and_compare(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    got = {(r["sample"], r["ticker"]): (r["n"], r["c"]) for r in pair.groupBy("sample", "ticker").agg(F.count("*").alias("n"), F.sum("Close").alias("c")).collect()}
+    assert got == {("ref", "0700"): (3, 6.0), ("ref", "12"): (2, 9.0), ("cur", "0700"): (3, 6.0)}
+
+
+def test_csv_two_sample_covers_every_ticker(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    from tickerwise.plans.q_clean import split_features
+    want = split_features(spark, SF_SMALL).groupBy(F.expr("if(split = 'train', 'ref', 'cur')").alias("sample"), "ticker").agg(
+        F.count("*").alias("n_rows"), F.sum("Volume").alias("v"), F.round(F.sum("ma_20"), 4).alias("m"))
+    got = E.queries()["csv_two_sample"](spark, SF_SMALL).select("sample", "ticker", "n_rows", F.col("volume_sum").alias("v"), F.round("ma_20_sum", 4).alias("m"))
+    want, got = sorted(map(tuple, want.collect())), sorted(map(tuple, got.collect()))
+    assert got == want and len({r[1] for r in got}) > 1

@@ -496,14 +496,17 @@ SELECT CASE split WHEN 'train' THEN 'ref' ELSE 'cur' END AS sample, 'Brand#11' A
   round(sum(Close), 4) AS close_sum, CAST(sum(Volume) AS BIGINT) AS volume_sum, round(sum(ma_20), 4) AS ma_20_sum, CAST(sum(target) AS BIGINT) AS n_up
 FROM sp WHERE ticker = 'Brand#11' GROUP BY split""", digits=4, shared=True)
 def q_csv_two_sample(spark, sf):
-    """A ticker's two samples written as CSV in another column order and loaded by header as one table."""
-    from tickerwise.sources import load_and_compare
+    """Both samples of every ticker written as CSV in another column order and loaded by header as one table.
+
+    The SQL keeps one ticker, Brand#11: it is the twin of that ticker's rows only.
+    """
+    from tickerwise.sources import load_and_compare, write_bars
     from tickerwise.streaming.jobs import run_dir
-    path, sp = run_dir(spark, "two-sample"), split_features(spark, sf).where("ticker = 'Brand#11'")
-    cols = ["Date", "target", *reversed(FEATS)]
+    path, sp = run_dir(spark, "two-sample"), split_features(spark, sf)
+    cols = ["ticker", "Date", "target", *reversed(FEATS)]
     for split in ("train", "test"):
-        sp.filter(F.col("split") == split).select(cols).write.option("header", True).csv(f"{path}/{split}")
-    both = load_and_compare(spark, f"{path}/train", f"{path}/test", ticker="Brand#11")
+        write_bars(sp.filter(F.col("split") == split).select(cols), f"{path}/{split}", "csv")
+    both = load_and_compare(spark, f"{path}/train", f"{path}/test")
     return both.groupBy("sample", "ticker").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("Date").alias("first_date"), F.sum("Close").alias("close_sum"), F.sum("Volume").alias("volume_sum"),
         F.sum("ma_20").alias("ma_20_sum"), F.sum("target").alias("n_up"))

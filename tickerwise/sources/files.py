@@ -24,15 +24,20 @@ def read_bars_csv(spark: SparkSession, path: str, ticker: str | None = None) ->
     """CSV bars -> (ticker, Date, Open, High, Low, Close, Volume, extra columns...).
 
     ``path`` may be a file, a folder or a glob.  Without ``ticker`` the key is
-    taken from the file name (``BBCA.JK_raw.csv`` -> ``BBCA.JK``).  Extra
-    columns (processed features) are kept, cast to DOUBLE.
+    taken from the ticker column where there is one (``write_bars`` makes it a
+    folder name), else from the file name (``BBCA.JK_raw.csv`` -> ``BBCA.JK``).
+    Extra columns (processed features) are kept, cast to DOUBLE.
     """
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").csv(path))
-    key = (F.lit(ticker) if ticker is not None else
+    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+    raw = reader.csv(path)
+    if dict(raw.dtypes).get(KEY, "string") != "string":  # folder names are typed by their looks: 0700 would come back as 700
+        raw = reader.schema(", ".join(f"`{c}` string" for c in raw.columns)).csv(path)
+    key = (F.lit(ticker) if ticker is not None else F.col(KEY) if KEY in raw.columns else
            F.regexp_extract(F.col("_metadata.file_name"), FILE_TICKER_PATTERN, 1))
     cols = [key.alias(KEY)]
     for c in raw.columns:
+        if c == KEY:
+            continue
         if c == ORDER:
             cols.append(F.try_to_date(F.col(c)).alias(ORDER))
         elif c == "Volume":
