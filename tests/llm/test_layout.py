@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -199,6 +200,19 @@ def test_warc_records(spark, tmp_path):
         at, seen = end + 8 + size, seen + 1
     assert seen == len(got)
 
+
+def test_every_character_reference_is_decoded(spark):
+    import html
+    texts = [f"a&{n}z &{n} 1" for n in html.entities.html5] + [f"a&#{i};b&#x{i:X};&#{i} &#X{i:x}z" for i in (*range(0x250), 8217, 0xD800, 0x1F600, 0x10FFFF, 0x110000, 99999999)]
+    texts += ["&amp;copy; &amp;#8217;", "R&D & co &unknown; &# &#x; &#xg; &;", "x", "&" * 50]
+    space = lambda t: "\n".join(x for x in (" ".join(y for y in re.split("[ \t\r\f]+", v) if y) for v in t.split("\n")) if x)
+    want = [space(html.unescape(t).replace("\xa0", " ")) for t in texts]
+    texts += ["&#" + "0" * 5000 + "169;&#" + "9" * 5000 + ";"]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.derivatives(warc.responses(pages)).where("kind = 'conversion'").collect()}
+    assert [got[i].block for i in range(len(texts))] == want + ["\u00a9\ufffd"]
+    assert all(r.content_length == len(r.block.encode()) and r.block_digest == "sha256:" + cases.sha(r.block) for r in got.values())
+
 # ---- chat
 
 

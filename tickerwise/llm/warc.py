@@ -1,17 +1,23 @@
 """WARC derivatives: each response becomes a metadata record and a plain-text conversion record that refer to it.
 
 Record ids are derived from the source record's id, so a repeated run gives the same records and links.  Everything is a
-projection of one row: no shuffle.
+projection of one row: no shuffle.  Character references are decoded in Python, the rest by DataFrame functions.
 """
 
 from __future__ import annotations
 
+import html as markup
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: elements whose content is not text, elements that end a line, named characters
+from tickerwise.llm.common import small_batches
+
+# fixed values: elements whose content is not text, elements that end a line, what may be a character reference
 BLOCK_TAGS = "address|article|aside|blockquote|body|br|div|dl|dt|dd|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|title|td|th|tr|ul"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+REFERENCE = re.compile(r"&(?:#0*([0-9]+);?|#[xX]0*([0-9a-fA-F]+);?|[a-zA-Z][a-zA-Z0-9]*;?)")
 STEPS = [(r"(?s)<!--.*?-->", ""), (r"(?is)<script\b.*?</script\s*>", ""), (r"(?is)<style\b.*?</style\s*>", ""),
          (rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "\n"), (r"<[^>]*>", "")]
 SPACES = [(r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+", ""), (r"[ \n]+$", "")]
@@ -19,12 +25,24 @@ EPOCH = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 
 
+def _character(found: re.Match) -> str:
+    """What a character reference stands for by the HTML rules; a no-break space becomes a space.  Unknown names stay."""
+    number, base = (found[1], "") if found[1] else (found[2], "x")
+    if number and len(number) > 7:  # beyond the last character, whatever the digits
+        return "\ufffd"
+    return markup.unescape(f"&#{base}{number};" if number else found[0]).replace("\xa0", " ")
+
+
+def decode(texts: pa.Array) -> pa.Array:
+    """Texts with every named and numeric character reference decoded, once."""
+    return pa.array([t if t is None or "&" not in t else REFERENCE.sub(_character, t) for t in texts.to_pylist()], pa.string())
+
+
 def plain_text(html: Column) -> Column:
     out = F.coalesce(html, F.lit(""))
     for pattern, to in STEPS:
         out = F.regexp_replace(out, pattern, to)
-    for name, to in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(to))
+    out = F.arrow_udf(decode, "string")(out)
     for pattern, to in SPACES:
         out = F.regexp_replace(out, pattern, to)
     return out
@@ -63,6 +81,7 @@ def derivatives(source: DataFrame) -> DataFrame:
     Null payload counts as empty, null address as empty, null headers as none; line breaks in header values are percent-encoded.
     Repeated rows give repeated records.  Other columns are ignored.  Empty table: empty result.
     """
+    small_batches(source.sparkSession)
     uri, day = _one_line(F.col("target_uri")), _one_line(F.coalesce("date", F.lit(EPOCH)))
     payload = F.coalesce("payload", F.lit(""))
     fields = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("headers", F.expr("map()").cast("map<string,string>")))),
