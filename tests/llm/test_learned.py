@@ -127,6 +127,19 @@ def test_each_evidence_moves_an_ambiguous_text(spark):
     assert all(got[i].language == train[i][2] for i in range(80))
 
 
+def test_every_declared_language_is_modelled(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{i:02d}": [rng.sample(letters, 3) for _ in range(5)] for i in range(150)}
+    text = lambda lang: " ".join("".join(rng.choice(own[lang])) for _ in range(40))
+    labelled = [(text(lang), lang) for i, lang in enumerate(own) for _ in range(2 + (150 - i) // 30)]
+    languages, logp = langid.train(spark.createDataFrame(labelled, "text string, lang string").repartition(3))
+    assert sorted(languages) == sorted(own) and len(logp) == 3
+    rows = items(spark, [(i, text(lang), None, None, None, None) for i, lang in enumerate(own)])
+    got = {r.key.id: r for r in langid.identify(rows, languages, logp, Workspace(spark)).collect()}
+    assert len(got) == 150 and sum(got[i].language == got[i].text_language == lang for i, lang in enumerate(own)) >= 148
+
+
 def test_language_id_without_labels_or_rows(spark):
     empty = spark.createDataFrame([], "text string, lang string")
     languages, logp = langid.train(empty)

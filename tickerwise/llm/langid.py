@@ -3,6 +3,7 @@
 The posterior over languages combines
 * the text: byte-trigram likelihoods, counted per declared language over all labelled rows (hashed to a fixed number of
   features, so the model's size depends on the number of languages only) and tempered, as neighbouring trigrams overlap;
+  every declared language is modelled: languages are trained and scored ``BLOCK`` at a time;
 * the declared markup language: P(declared | language), counted by grouped aggregation against the text's own verdict;
 * the address suffix: P(suffix | language), likewise;
 * the host: a prior smoothed hierarchically, host -> registered domain -> suffix -> all, each level shrunk to the next by
@@ -12,8 +13,11 @@ Hosts, suffixes and declared values are aggregated with map-side combine and joi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +26,7 @@ from tickerwise.llm.words import chunks
 
 FEATURES = 1 << 15
 SLICE = 1 << 14
-MAX_LANGUAGES = 64   # the most frequent declared languages are modelled
+BLOCK = 64           # languages counted or scored in one pass: bounds a task's and the driver's memory, not the languages
 FULL_WEIGHT = 60     # trigrams whose evidence counts in full; of longer texts the mean of as many
 SHRINK = 20.0
 MIN_TRIGRAMS = 3     # fewer: no text evidence, language undetermined
@@ -44,34 +48,64 @@ def _trigrams(c) -> tuple[np.ndarray, np.ndarray]:
     return (code >> np.uint32(17)).astype(np.int64), row[:-2][use]
 
 
-def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+class Likelihoods:
+    """log P(trigram | language) in blocks of languages; all blocks but the first wait in the shared folder."""
+
+    def __init__(self, spark):
+        self.work, self.first, self.rest = Workspace(spark), np.zeros((0, FEATURES), np.float32), []
+
+    def add(self, block: np.ndarray) -> None:
+        if not len(self.first):
+            self.first = block
+            return
+        name = f"likelihoods-{len(self.rest)}"
+        self.rest.append(self.work.table(self.work.spark.createDataFrame([(block.tobytes(),)], "logp binary"), name))
+
+    def __len__(self) -> int:
+        return 1 + len(self.rest)
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        yield self.first
+        for table in self.rest:
+            yield np.frombuffer(table.first()["logp"], np.float32).reshape(-1, FEATURES)
+
+
+def train(labelled: DataFrame) -> tuple[list[str], Likelihoods]:
     """Languages and log P(trigram | language) from all rows of (text, lang); null languages and texts are left out."""
     some = labelled.where("lang is not null and text is not null").select("text", "lang")
-    languages = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    languages = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    logp = Likelihoods(labelled.sparkSession)
+    for lo in range(0, len(languages), BLOCK):
+        part = languages[lo:lo + BLOCK]
+        logp.add(_likelihood(some if len(languages) <= BLOCK else some.where(F.col("lang").isin(part)), part))
+    return languages, logp
+
+
+def _likelihood(some: DataFrame, languages: list[str]) -> np.ndarray:
+    """log P(trigram | language) from rows of these languages only."""
     at = {x: i for i, x in enumerate(languages)}
 
     def count(batches):
         total = np.zeros((len(languages), FEATURES), np.int64)
         for b in batches:
-            lang = np.array([at.get(x, -1) for x in b.column(1).to_pylist()])
+            lang = np.array([at[x] for x in b.column(1).to_pylist()], np.int64)
             for c in chunks(b.column(0), "space", False):
                 f, r = _trigrams(c)
-                which = lang[c.lo:c.hi][r]
-                total += np.bincount(which[which >= 0] * FEATURES + f[which >= 0], minlength=total.size).reshape(total.shape)
+                total += np.bincount(lang[c.lo:c.hi][r] * FEATURES + f, minlength=total.size).reshape(total.shape)
         flat = total.reshape(-1, SLICE)
         on = np.flatnonzero(flat.any(axis=1))
         yield pa.record_batch({"slice": pa.array(on, pa.int32()), "counts": pa.array([flat[s].tobytes() for s in on], pa.binary())})
 
     counts = np.zeros((len(languages) * FEATURES // SLICE, SLICE), np.int64)
-    if languages:
-        for s, c in sum_counters(some.mapInArrow(count, "slice int, counts binary")).items():
-            counts[s] = c
+    for s, c in sum_counters(some.mapInArrow(count, "slice int, counts binary")).items():
+        counts[s] = c
     counts = counts.reshape(len(languages), FEATURES) + 0.5
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def _score(logp: np.ndarray):
-    """(key, text) -> tempered log likelihood per language, trigrams, and the text's own verdict (-1: none)."""
+def _score(logp: np.ndarray, last: bool):
+    """(key, text, scores by the blocks before) -> tempered log likelihood per language, trigrams, and after the ``last``
+    block the text's own verdict (-1: none), before it the text for the next one."""
     table = np.ascontiguousarray(logp.T)
 
     def run(batches):
@@ -84,9 +118,14 @@ def _score(logp: np.ndarray):
                 scores.append(s * (np.minimum(n, FULL_WEIGHT) / np.maximum(n, 1) / 3)[:, None])
                 count.append(n)
             s, n = np.concatenate(scores), np.concatenate(count)
-            top = np.where(n >= MIN_TRIGRAMS, s.argmax(axis=1) if len(logp) else -1, -1)
-            yield pa.record_batch([b.column(0), pa.array(list(s), pa.list_(pa.float64())), pa.array(n, pa.int64()), pa.array(top, pa.int32())],
-                                  names=["key", "scores", "trigrams", "top"])
+            if b.num_columns > 2 and len(s):
+                s = np.concatenate([b.column(2).flatten().to_numpy().reshape(len(s), -1), s], axis=1)
+            if last:
+                own = pa.array(np.where(n >= MIN_TRIGRAMS, s.argmax(axis=1) if s.shape[1] else -1, -1), pa.int32())
+            else:
+                own = b.column(1)
+            yield pa.record_batch([b.column(0), pa.array(list(s), pa.list_(pa.float64())), pa.array(n, pa.int64()), own],
+                                  names=["key", "scores", "trigrams", "top" if last else "text"])
     return run
 
 
@@ -94,8 +133,11 @@ def _fuse(languages: list[str], overall: np.ndarray):
     """Rows with counts per evidence value -> posterior."""
     k = len(languages)
 
-    def mat(col):
-        return np.array([x if x is not None else [0.0] * k for x in col.to_pylist()], float).reshape(-1, k)
+    def votes(col):
+        out, flat = np.zeros((len(col), k)), col.flatten()
+        row = np.repeat(np.arange(len(col)), pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))
+        out[row, flat.field("top").to_numpy()] = flat.field("n").to_numpy()
+        return out
 
     def run(batches):
         for b in batches:
@@ -106,13 +148,13 @@ def _fuse(languages: list[str], overall: np.ndarray):
             own = np.zeros((len(top), k))
             own[np.flatnonzero(top >= 0), top[top >= 0]] = 1
             prior = (overall - own + 0.5) / (overall.sum() - own.sum(1, keepdims=True) + 0.5 * k)
-            log = np.where((n >= MIN_TRIGRAMS)[:, None], mat(col["scores"]), 0)
+            log = np.where((n >= MIN_TRIGRAMS)[:, None], col["scores"].flatten().to_numpy().reshape(-1, k), 0)
             for name in ("declared", "suffix"):  # likelihood of the value seen, add-one smoothed
-                seen, have = mat(col[f"by_{name}"]), col[name].is_valid().to_numpy(zero_copy_only=False)
+                seen, have = votes(col[f"by_{name}"]), col[name].is_valid().to_numpy(zero_copy_only=False)
                 log += np.where(have[:, None], np.log((seen - own + 1) / (overall - own + 2)), 0)
             for name in ("suffix", "domain", "host"):
                 have = col[name].is_valid().to_numpy(zero_copy_only=False)[:, None]
-                seen = np.where(have, mat(col[f"by_{name}"]) - own, 0)
+                seen = np.where(have, votes(col[f"by_{name}"]) - own, 0)
                 if name != "suffix":  # the suffix has its say as a likelihood; as a prior it only smooths the levels below
                     prior = (seen + SHRINK * prior) / (seen.sum(1, keepdims=True) + SHRINK)
             log += np.log(prior)
@@ -128,7 +170,7 @@ def _fuse(languages: list[str], overall: np.ndarray):
     return run
 
 
-def identify(items: DataFrame, languages: list[str], logp: np.ndarray, work: Workspace, name: str = "evidence") -> DataFrame:
+def identify(items: DataFrame, languages: list[str], logp: Likelihoods, work: Workspace, name: str = "evidence") -> DataFrame:
     """Language of each row of (key, text, declared, host, domain, suffix); any of the last four may be null.
 
     Returns key, language ('und' under MIN_TRIGRAMS letter trigrams), posterior (0 for 'und'), text_language (by text
@@ -138,15 +180,22 @@ def identify(items: DataFrame, languages: list[str], logp: np.ndarray, work: Wor
     keys = ["declared", "suffix", "domain", "host"]
     packed = items.select(F.struct("key", *keys).alias("key"), "text")
     kind = packed.schema["key"].dataType.simpleString()
-    scored = work.table(packed.mapInArrow(_score(logp), f"key {kind}, scores array<double>, trigrams long, top int").select("key.*", "scores", "trigrams", "top"), name)
+    for i, block in enumerate(logp):
+        last = i + 1 == len(logp)
+        rows = packed.mapInArrow(_score(block, last), f"key {kind}, scores array<double>, trigrams long, " + ("top int" if last else "text string"))
+        packed = work.table(rows.select("key.*", "scores", "trigrams", "top") if last else rows.select("key", "text", "scores"), name if last else f"{name}-{i}")
+        if i:
+            work.drop(f"{name}-{i - 1}")
+    scored = packed
     if not languages:
         return scored.select("key", F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit(None).cast("string").alias("text_language"), "trigrams")
-    votes: list[Column] = [F.sum(F.when(F.col("top") == i, 1.0).otherwise(0.0)) for i in range(len(languages))]
-    overall = np.array(scored.agg(F.array(*votes).alias("v")).first()["v"] or [0.0] * len(languages), dtype=object)
-    overall = np.array([x or 0.0 for x in overall], float)
+    overall = np.zeros(len(languages))
+    for r in scored.where("top >= 0").groupBy("top").count().collect():
+        overall[r["top"]] = r["count"]
     out = scored
     for k in keys:
-        out = out.join(scored.where(F.col(k).isNotNull()).groupBy(k).agg(F.array(*votes).alias(f"by_{k}")), k, "left")
+        seen = scored.where(F.col(k).isNotNull() & (F.col("top") >= 0)).groupBy(k, "top").agg(F.count("*").cast("double").alias("n"))
+        out = out.join(seen.groupBy(k).agg(F.collect_list(F.struct("top", "n")).alias(f"by_{k}")), k, "left")
     out = out.select("key", *keys, *[f"by_{k}" for k in keys], "scores", "trigrams", "top")
     inner = scored.schema["key"].dataType.simpleString()
     return out.mapInArrow(_fuse(languages, overall), f"key {inner}, language string, posterior double, text_language string, trigrams long")
