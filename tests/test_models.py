@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,27 @@ def test_perm_shap_additivity(spark):
     assert contrib.count() == 25 * 3
 
 
+def test_perm_shap_is_the_mean_over_all_orders(spark):
+    from itertools import permutations
+    df, feats = scaled_rows(spark, 6)
+    bg, big = df.limit(4).toPandas()[feats].to_numpy(), {f: 900.0 * W[f] for f in feats}
+    for weights in (W, big):
+        w = np.array([weights[f] for f in feats])
+        score = lambda v: 1 / (1 + np.exp(-np.clip(v @ w + 0.1, -700, 700)))
+        got = {(r["Date"], r["feature"]): r["contribution"] for r in at.perm_shap(df, df.limit(4), feats, weights, 0.1).collect()}
+        for r in df.collect():
+            want, x = dict.fromkeys(feats, 0.0), np.array([r[f] for f in feats])
+            orders = list(permutations(range(len(feats))))
+            for z in bg:
+                for p in orders:
+                    cur = z.copy()
+                    for j in p:
+                        before = score(cur)
+                        cur[j] = x[j]
+                        want[feats[j]] += (score(cur) - before) / len(orders) / len(bg)
+            assert all(abs(got[r["Date"], f] - want[f]) < 1e-9 for f in feats)
+
+
 def test_local_ranking(spark):
     df, feats = scaled_rows(spark, 5)
     r = at.local_ranking(at.linear_shap(df, df, feats, W, 0.0))

@@ -84,7 +84,7 @@ def q_local_ranking(spark, sf):
 def q_perm_shap(spark, sf):
     """E2(b): permutation Shapley of P(up) for every row, 100-row background."""
     sc = scaled_keyed(spark, sf)
-    return at.perm_shap(sc, background(sc), FEATS, n_perm=4)
+    return at.perm_shap(sc, background(sc), FEATS)
 
 
 @register("perm_shap_sums", f"""{BASE} SELECT ticker, Date, round(probability, 6) AS prediction, round(probability, 6) AS explained,
@@ -92,7 +92,7 @@ def q_perm_shap(spark, sf):
 def q_perm_shap_sums(spark, sf):
     """E2(b): contributions and base value of every row add up to its score."""
     sc = scaled_keyed(spark, sf)
-    phi = at.perm_shap(sc, background(sc), FEATS, n_perm=1)
+    phi = at.perm_shap(sc, background(sc), FEATS)
     return phi.groupBy("ticker", "Date").agg(F.max("prediction").alias("prediction"),
                                              (F.sum("contribution") + F.max("base_value")).alias("explained"),
                                              F.count(F.lit(1)).alias("n_features"))
