@@ -129,3 +129,10 @@ def test_connected_components(spark):
     linked = [(a, b) for a, b in edges if a != b]
     assert got == cases.components({x for e in linked for x in e}, linked)
     assert connected_components(spark.createDataFrame([], "a long, b long"), Workspace(spark), "t").count() == 0
+
+
+def test_components_take_as_many_rounds_as_they_need(spark, monkeypatch):
+    from tickerwise.llm import common
+    monkeypatch.setattr(common, "range", lambda *a: [1], raising=False)  # no number of rounds is given beforehand
+    got = dict(connected_components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"), Workspace(spark), "r").collect())
+    assert got == dict.fromkeys(range(41), 0)

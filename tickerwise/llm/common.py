@@ -6,6 +6,7 @@ import atexit
 import gc
 import time
 import uuid
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +106,7 @@ def connected_components(edges: DataFrame, work: Workspace, name: str) -> DataFr
     """
     cur = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     cur = work.table(cur, f"{name}-0")
-    for k in range(1, 200):
+    for k in count(1):
         # large star: every larger neighbour of a node is linked to the node's smallest neighbour (itself included)
         both = cur.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(cur.select(F.col("lo").alias("n"), F.col("hi").alias("m")))
         least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("low"))
