@@ -7,6 +7,7 @@ import random
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -74,6 +75,18 @@ def test_many_equal_vectors_are_cut_into_blocks(spark, monkeypatch):
     assert [i for i, _ in got[0]] == list(range(1, 11)) and [i for i, _ in got[380]] == list(range(10))
 
 
+def test_copies_of_a_lone_query_are_never_abandoned():
+    from tickerwise.llm.nearest import _scan
+    rng = np.random.default_rng(5)
+    rotation = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    for scale in (1.0, 1000.0):
+        v = (scale * rng.standard_normal(64)).tolist()
+        left = pa.table({"vec_id": pa.array(range(2048), pa.int64()), "v": pa.array([v] * 2048, pa.list_(pa.float64()))})
+        right = pa.table({"query_id": pa.array([2000], pa.int64()), "q": pa.array([v], pa.list_(pa.float64())), "radius": pa.array([0.0])})
+        got = _scan(rotation, 10)((0, 0, 0), left, right)
+        assert got["vec_id"].to_pylist() == list(range(10)) and got["score"].to_pylist() == [0.0] * 10
+
+
 def items(spark, rows):
     """(id, text, declared, host, domain, suffix) -> evidence rows"""
     df = spark.createDataFrame(rows, "id long, text string, declared string, host string, domain string, suffix string")

@@ -90,10 +90,11 @@ def _scan(rotation: np.ndarray, k: int):
             blocks = [(a, min(a + COLUMNS, dims), np.ascontiguousarray(rv[:, a:a + COLUMNS])) for a in range(0, dims, COLUMNS)]
             for i in range(len(q)):
                 alive, seen, r = np.flatnonzero(ids != own[i]), None, radius[i]
+                slack = 1e-12 * (1 + q[i] @ q[i])  # the two rotations of equal vectors may be rounded differently
                 for a, b, part in blocks:
                     d = ((part[alive] - rq[i, a:b]) ** 2).sum(1)
                     seen = d if seen is None else seen + d
-                    keep = seen * (dims / b) <= r * (1 + EPSILON / np.sqrt(b)) ** 2 if b < dims else seen <= r * (1 + 1e-9) + 1e-12
+                    keep = seen * (dims / b) <= r * (1 + EPSILON / np.sqrt(b)) ** 2 + slack if b < dims else seen <= r * (1 + 1e-9) + slack
                     alive, seen = alive[keep], seen[keep]
                     if not len(alive):
                         break
