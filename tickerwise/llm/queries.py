@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickerwise.llm import langid, sql, warc
 from tickerwise.llm.chat import chat_digests, format_chats
+from tickerwise.llm.collocations import collocations
 from tickerwise.llm.common import Workspace, read
 from tickerwise.llm.decontaminate import contamination
 from tickerwise.llm.jaccard import ngram_jaccard
@@ -102,3 +103,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sets of 3-word shingles, similarity >= 90/100, connected components."""
     return ngram_jaccard(read(spark, sf_dir, "documents"), shingle=3, num=90, den=100, lower=True)
+
+
+@query("op11_collocations", sql.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 most cohesive phrases of two to five words of each language."""
+    return collocations(read(spark, sf_dir, "documents"), longest=5, at_least=100, absorb=100, top=2000).drop("left_extensions", "right_extensions")

@@ -118,3 +118,26 @@ SELECT page_id, kind, {_uuid("concat_ws(chr(31), kind, refers_to)")} AS record_i
        CAST(strlen(block) AS BIGINT) AS content_length, block
 FROM rec
 """
+
+COLLOCATIONS = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+          FROM p, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+spans AS (SELECT c.lang, c.a, c.w, c.m, i.i, j.j FROM cand c, (SELECT unnest(range(1, 6)) AS i) i, (SELECT unnest(range(1, 6)) AS j) j
+          WHERE i.i < j.j AND j.j <= c.m AND j.j - i.i + 1 < c.m),
+inner_ AS (SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS longer FROM spans GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inner_ x USING (lang, phrase) WHERE coalesce(100 * x.longer >= 100 * c.a, false) = false),
+cuts AS (SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n, (1000 * c.a * n) // (l.a * r.a) AS score
+         FROM kept c CROSS JOIN (SELECT unnest(range(1, 5)) AS k) JOIN sizes USING (lang)
+         JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.m], ' ')
+         WHERE k < c.m),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
