@@ -17,6 +17,7 @@ from tickerwise.llm.nearest import nearest
 from tickerwise.llm.packing import pack
 from tickerwise.llm.sharding import shard_by_bytes
 from tickerwise.llm.substring import substring_dedup
+from tickerwise.llm.trie import ordered_turns, prefix_trie, spliced
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -109,3 +110,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 most cohesive phrases of two to five words of each language."""
     return collocations(read(spark, sf_dir, "documents"), longest=5, at_least=100, absorb=100, top=2000).drop("left_extensions", "right_extensions")
+
+
+@query("op12_prefix_trie", sql.TRIE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, each begun with turns of the first conversation of its block of five."""
+    work = Workspace(spark)
+    convs, turns = spliced(ordered_turns(read(spark, sf_dir, "conversations"), work), work, every=5, heads=9)
+    return prefix_trie(convs, turns, work).drop("node")

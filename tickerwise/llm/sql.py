@@ -141,3 +141,30 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
        CAST(score AS BIGINT) AS score
 FROM ranked WHERE rank <= 2000
 """
+
+TRIE = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n, CAST(conv_id AS VARCHAR) AS dec FROM t GROUP BY ALL),
+h AS (SELECT conv_id, base, n, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(dec, ''),
+        lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END), 4294967295::BIGINT) % 9 AS h FROM c),
+z AS (SELECT h.*, least(h.h, coalesce(x.n, 0)) AS head FROM h LEFT JOIN c x ON x.conv_id = h.base),
+r AS (SELECT z.conv_id, t.pos, t.role, t.text FROM z JOIN t ON t.conv_id = z.base AND t.pos <= z.h
+      UNION ALL SELECT z.conv_id, t.pos - z.h + z.head, t.role, t.text FROM z JOIN t ON t.conv_id = z.conv_id AND t.pos > z.h),
+k AS (SELECT conv_id, pos AS depth, strlen(text) AS bytes,
+             string_agg(sha256(role || chr(0) || text), '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS key FROM r),
+p AS (SELECT conv_id, depth, key, substr(key, 1, 64 * (depth - 1)) AS parent, bytes FROM k
+      UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM c),
+node AS (SELECT key, depth, min(conv_id) AS conv_id, any_value(parent) AS parent, any_value(bytes) AS bytes, count(*) AS n_convs FROM p GROUP BY key, depth),
+kids AS (SELECT parent AS key, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+w AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (key)),
+sub AS (SELECT a.key, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.bytes) AS saved
+        FROM w u JOIN p a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY a.key),
+lens AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+ends AS (SELECT p.key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS e FROM p JOIN lens USING (conv_id, depth) GROUP BY p.key)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+       CAST(sub.n_leaves AS BIGINT) AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, coalesce(ends.e, sha256('')) AS ends_sha256
+FROM w JOIN sub USING (key) LEFT JOIN ends USING (key) LEFT JOIN node up ON up.key = w.parent
+"""
