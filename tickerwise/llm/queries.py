@@ -15,6 +15,7 @@ from tickerwise.llm.jaccard import ngram_jaccard
 from tickerwise.llm.lines import line_dedup
 from tickerwise.llm.nearest import nearest
 from tickerwise.llm.packing import pack
+from tickerwise.llm.secrets import scan_secrets
 from tickerwise.llm.sharding import shard_by_bytes
 from tickerwise.llm.substring import substring_dedup
 from tickerwise.llm.trie import ordered_turns, prefix_trie, spliced
@@ -118,3 +119,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark)
     convs, turns = spliced(ordered_turns(read(spark, sf_dir, "conversations"), work), work, every=5, heads=9)
     return prefix_trie(convs, turns, work).drop("node")
+
+
+@query("op13_secret_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: fixed patterns and novel strings in a sensitive context."""
+    return scan_secrets(read(spark, sf_dir, "documents")).drop("n_novel")
