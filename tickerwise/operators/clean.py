@@ -13,9 +13,12 @@ from tickerwise.schema import KEY, OHLCV, ORDER
 
 
 def nan_to_null(df: DataFrame, cols=None) -> DataFrame:
-    """NaN compares true in Spark (NaN > x); the contract treats it as missing."""
-    cols = cols or [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
+    """NaN cells as NULL: the contract treats both as missing, while Spark takes NaN for a value larger than all others.
+
+    Every operator that takes a table of bars or features calls it first; without DOUBLE or FLOAT columns it changes nothing.
+    """
+    cols = [c for c, t in df.dtypes if t in ("double", "float") and (cols is None or c in cols)]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols}) if cols else df
 
 
 def dedup_keep_last(df: DataFrame, seq: str = "seq", key: str = KEY, order: str = ORDER) -> DataFrame:
@@ -37,7 +40,7 @@ def fill_ffill_bfill(df: DataFrame, cols=OHLCV, key: str = KEY, order: str = ORD
     ticker's first non-null one, a per-ticker aggregate joined back (no frame
     spans the whole ticker).
     """
-    cols = [c for c in cols if c in df.columns]
+    cols, df = [c for c in cols if c in df.columns], nan_to_null(df)
     run = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     first = df.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in cols])
     first = first.withColumnRenamed(key, "_key")
@@ -59,6 +62,7 @@ def clean_bars(df: DataFrame, seq: str | None = "seq", fill: str = "ffill_bfill"
     fill; the reference code fills).  Without a ``seq`` column the input is
     taken to be unique per (ticker, Date).
     """
+    df = nan_to_null(df)
     if seq and seq in df.columns:
         df = dedup_keep_last(df, seq, key, order)
     if fill == "ffill_bfill":

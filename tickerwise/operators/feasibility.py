@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerwise.functions.exprs import by_ticker, null_safe_bool, safe_div
+from tickerwise.operators.clean import nan_to_null
 from tickerwise.operators.features import add_returns
 from tickerwise.schema import (
     EXAMPLES_SHOWN, KEY, LOOKAHEAD_KEYWORDS, MAX_GAP_DAYS, MAX_LABEL_BALANCE, MAX_OUTLIER_PCT,
@@ -35,7 +36,8 @@ def min_samples(df: DataFrame, key: str = KEY, n_min: int = MIN_SAMPLES) -> Data
 
 
 def completeness(df: DataFrame, key: str = KEY, cols=OHLCV, pct_min: float = MIN_COMPLETENESS_PCT) -> DataFrame:
-    """Share of non-null OHLCV cells in % (0 with no rows), passes at >= 90."""
+    """Share of OHLCV cells that are present (neither NULL nor NaN) in % (0 with no rows), passes at >= 90."""
+    df = nan_to_null(df)
     nulls = sum((F.col(c).isNull().cast("bigint") for c in cols), F.lit(0).cast("bigint"))
     out = (df.groupBy(key).agg((F.count(F.lit(1)) * len(cols)).alias("total_cells"),
                                F.sum(nulls).cast("bigint").alias("missing_cells")))
@@ -166,6 +168,7 @@ def feasibility_report(df: DataFrame, key: str = KEY, order: str = ORDER, label:
     aggregate of its own.  The checks are stacked with an ``inline`` of a
     struct array.  Same values as the per-check operators above.
     """
+    df = nan_to_null(df)
     n_suspicious = len(lookahead_columns(df.schema, label)) if label else 0
     gaps = add_returns(df.select(key, order, *OHLCV), key=key, order=order).withColumn(
         "_gap", F.datediff(F.col(order), F.lag(order).over(by_ticker(key, order))))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerwise.functions.exprs import by_ticker, rolling, safe_div
+from tickerwise.operators.clean import nan_to_null
 from tickerwise.schema import KEY, ORDER, ROLLING_WINDOWS, TARGET
 
 
@@ -23,7 +24,8 @@ def padded(col: str, key: str = KEY, order: str = ORDER) -> Column:
 
 def add_returns(df: DataFrame, price: str = "Close", key: str = KEY, order: str = ORDER,
                 out: str = "returns") -> DataFrame:
-    """C[t] / C[t-1] - 1 on the padded series; first row NULL, zero base NULL."""
+    """C[t] / C[t-1] - 1 on the padded series; first row NULL, zero base NULL; a NaN price is a missing one."""
+    df = nan_to_null(df, [price])
     w = by_ticker(key, order)
     p = padded(price, key, order)
     prev = F.lag(p).over(w)
@@ -32,7 +34,8 @@ def add_returns(df: DataFrame, price: str = "Close", key: str = KEY, order: str
 
 def add_rolling_means(df: DataFrame, windows=ROLLING_WINDOWS, price: str = "Close",
                       key: str = KEY, order: str = ORDER) -> DataFrame:
-    """Mean of the last N rows, NULL until N non-null values are in the frame."""
+    """Mean of the last N rows, NULL until N values (neither NULL nor NaN) are in the frame."""
+    df = nan_to_null(df, [price])
     cols = {}
     for n in windows:
         w = rolling(n, key, order)
@@ -59,6 +62,7 @@ def add_target(df: DataFrame, price: str = "Close", key: str = KEY, order: str =
     As coded in the reference the last bar of a ticker gets 0 (a missing next
     close compares false); ``drop_unlabeled=True`` removes it instead.
     """
+    df = nan_to_null(df, [price])
     nxt = F.lead(price).over(by_ticker(key, order))
     out = df.withColumn(TARGET, F.when(F.coalesce(nxt > F.col(price), F.lit(False)), 1)
                         .otherwise(0).cast("int"))
@@ -79,7 +83,7 @@ def add_all_features(df: DataFrame, windows=ROLLING_WINDOWS, key: str = KEY,
 def features_full(df: DataFrame, windows=ROLLING_WINDOWS, key: str = KEY,
                   order: str = ORDER, drop_unlabeled: bool = False) -> DataFrame:
     """All features, then drop any row with a NULL (the rolling warm-up)."""
-    out = add_all_features(df, windows, key, order)
+    out = add_all_features(nan_to_null(df), windows, key, order)
     if drop_unlabeled:
         nxt = F.lead("Close").over(by_ticker(key, order))
         out = out.withColumn("_nxt", nxt).filter(F.col("_nxt").isNotNull()).drop("_nxt")
@@ -89,7 +93,7 @@ def features_full(df: DataFrame, windows=ROLLING_WINDOWS, key: str = KEY,
 def warmup_dropped(df: DataFrame, windows=ROLLING_WINDOWS, key: str = KEY,
                    order: str = ORDER) -> DataFrame:
     """P6 count: rows lost to the warm-up per ticker (rows_in, rows_out, dropped)."""
-    full = add_all_features(df, windows, key, order)
+    full = add_all_features(nan_to_null(df), windows, key, order)
     complete = F.when(F.greatest(*[F.col(c).isNull() for c in full.columns]), 0).otherwise(1)
     return (full.groupBy(key)
             .agg(F.count(F.lit(1)).alias("rows_in"), F.sum(complete).cast("bigint").alias("rows_out"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickerwise.operators.clean import nan_to_null
 from tickerwise.schema import FEATURE_VIEW_FIELDS, FEATURE_VIEW_TTL_DAYS, KEY, OHLCV, ORDER, REQUIRED_COLUMNS
 
 
@@ -31,7 +32,8 @@ def lookback_scan(df: DataFrame, start, end, order: str = ORDER) -> DataFrame:
 
 
 def source_acceptance(df: DataFrame, source: str, key: str = KEY) -> DataFrame:
-    """Per ticker: non-empty, required columns present, not every OHLCV cell NULL."""
+    """Per ticker: non-empty, required columns present, not every OHLCV cell missing (NULL or NaN)."""
+    df = nan_to_null(df)
     missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
     if missing:
         return (df.select(key).distinct()

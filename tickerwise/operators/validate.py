@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerwise.functions.exprs import null_safe_bool
+from tickerwise.operators.clean import nan_to_null
 from tickerwise.schema import (
     EXAMPLES_SHOWN, FRESHNESS_MAX_DAYS, INTEGRITY_RULES, KEY, MAX_REMOVAL_PCT, OHLCV, ORDER,
     QUALITY_ACCEPTABLE_PCT, QUALITY_GRADES, REQUIRED_COLUMNS,
@@ -129,7 +130,8 @@ def first_violation(prefix: str = "") -> Column:
 
 
 def integrity_flags(df: DataFrame) -> DataFrame:
-    return df.withColumn("first_violation", first_violation())
+    """Rows with the first rule they break; a NaN cell is a missing one and breaks none."""
+    return nan_to_null(df).withColumn("first_violation", first_violation())
 
 
 def integrity_filter(df: DataFrame) -> DataFrame:
@@ -154,8 +156,8 @@ def integrity_gate(df: DataFrame, key: str = KEY, max_pct: float = MAX_REMOVAL_P
 
 # ----------------------------------------------------------- V6 missing data
 def missing_counts(df: DataFrame, key: str = KEY, cols=OHLCV) -> DataFrame:
-    """V6: NULL cells per (ticker, column); passed when the column has none."""
-    agg = df.groupBy(key).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    """V6: missing (NULL or NaN) cells per (ticker, column); passed when the column has none."""
+    agg = nan_to_null(df).groupBy(key).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     stacked = ", ".join(f"'{c}', `{c}`" for c in cols)
     return (agg.selectExpr(key, f"stack({len(cols)}, {stacked}) AS (`column`, n_missing)")
             .withColumn("passed", F.col("n_missing") == 0))
@@ -163,8 +165,8 @@ def missing_counts(df: DataFrame, key: str = KEY, cols=OHLCV) -> DataFrame:
 
 # ------------------------------------------------------- V7 summary statistics
 def bar_summary(df: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
-    """V7: one row per ticker: rows, date range, Close and Volume statistics."""
-    return df.groupBy(key).agg(
+    """V7: one row per ticker: rows, date range, Close and Volume statistics (of the cells present)."""
+    return nan_to_null(df).groupBy(key).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.min(order).alias("start_date"),
         F.max(order).alias("end_date"),
@@ -190,7 +192,7 @@ def validate_bars(df: DataFrame, seq: str | None = "seq", key: str = KEY, order:
     The row statistics are one aggregate over rows flagged once (first broken
     rule), with map-side combine; the time contract's per-ticker row is joined to it.
     """
-    df = validate_schema(df, order)
+    df = nan_to_null(validate_schema(df, order))
     valid = integrity_filter(df)
     fv = F.col("first_violation")
     ok = fv.isNull()

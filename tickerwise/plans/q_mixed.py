@@ -39,7 +39,8 @@ def mixed_bars(spark, sf):
     k, r = F.expr(K), F.col("r")
     cols = ["ticker", "Date", *OHLCV, "seq"]
     base = bars.withColumn("seq", r * 2)
-    odd = lambda c: F.when(r % 2 == 1, F.col(c))
+    gone = F.when(r % 4 == 0, F.lit(float("nan")))  # half of the missing cells are NULL, half NaN; the SQL knows NULL only
+    odd = lambda c: F.when(r % 2 == 1, F.col(c)).otherwise(gone)
     flat = base.where("ticker = 'Brand#10'").withColumns({"ticker": F.lit("Flat"), **{c: F.lit(100.0) for c in ("Open", "High", "Low", "Close")}})
     parts = [base.where((k % 5 == 0) | ((k % 5 == 1) & (r <= 50))),
              base.where(k % 5 == 2).withColumn("Open", F.when(r % 5 == 0, -F.col("Open")).otherwise(F.col("Open"))),
@@ -95,9 +96,10 @@ PRIMARY = f"""prim AS (SELECT ticker, Date, {', '.join(f"CASE WHEN {K} % 5 <> 3
 
 
 def _primary(spark, sf):
-    """A primary source that lacks some tickers and serves others empty."""
-    k = F.expr(K)
-    return bars_daily(spark, sf).where(k % 5 != 4).withColumns({c: F.when(k % 5 != 3, F.col(c)) for c in OHLCV})
+    """A primary source that lacks some tickers and serves others empty: prices NaN, volume NULL."""
+    k, nan = F.expr(K), F.lit(float("nan"))
+    bars = bars_daily(spark, sf).where(k % 5 != 4)
+    return bars.withColumns({c: F.when(k % 5 != 3, F.col(c)).otherwise(nan if t == "double" else None) for c, t in bars.dtypes if c in OHLCV})
 
 
 @register("mixed_sources", f"""{BARS}, {PRIMARY},

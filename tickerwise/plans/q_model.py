@@ -492,14 +492,11 @@ def q_training_alerts(spark, sf):
 
 
 @register("csv_two_sample", f"""{FEAT_SPLIT}
-SELECT CASE split WHEN 'train' THEN 'ref' ELSE 'cur' END AS sample, 'Brand#11' AS ticker, CAST(count(*) AS BIGINT) AS n_rows, min(Date) AS first_date,
+SELECT CASE split WHEN 'train' THEN 'ref' ELSE 'cur' END AS sample, ticker, CAST(count(*) AS BIGINT) AS n_rows, min(Date) AS first_date,
   round(sum(Close), 4) AS close_sum, CAST(sum(Volume) AS BIGINT) AS volume_sum, round(sum(ma_20), 4) AS ma_20_sum, CAST(sum(target) AS BIGINT) AS n_up
-FROM sp WHERE ticker = 'Brand#11' GROUP BY split""", digits=4, shared=True)
+FROM sp GROUP BY split, ticker""", digits=4, shared=True)
 def q_csv_two_sample(spark, sf):
-    """Both samples of every ticker written as CSV in another column order and loaded by header as one table.
-
-    The SQL keeps one ticker, Brand#11: it is the twin of that ticker's rows only.
-    """
+    """Both samples of every ticker written as CSV in another column order and loaded by header as one table."""
     from tickerwise.sources import load_and_compare, write_bars
     from tickerwise.streaming.jobs import run_dir
     path, sp = run_dir(spark, "two-sample"), split_features(spark, sf)
