@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 NAMES = ["dedup_keep_last", "validation_stats", "feasibility_report", "ks_drift", "asof_features",
-         "seeded_sample", "baseline_stratified", "time_contract", "local_ranking", "stream_dedup_last",
+         "seeded_sample", "baseline_stratified", "time_contract", "local_ranking", "stream_dedup", "stream_dedup_last", "stream_features", "stream_bars", "stream_online_snapshot",
          "score_requests", "ticker_predictions", "model_report"]
 
 

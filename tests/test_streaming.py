@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickerwise.operators import features as feat
 from tickerwise.sources import bars_daily, dirty_bars
-from tickerwise.streaming import jobs
+from tickerwise.streaming import dedup, jobs
 from tests.conftest import SF_SMALL
 
 COLS = ["ticker", "Date", "Close", "returns", "ma_5", "ma_10", "ma_20", "volatility_5", "volatility_10", "volatility_20"]
@@ -74,14 +74,14 @@ def test_windowed_streams_take_rows_within_the_watermark_and_drop_later_ones(spa
 
 def test_stream_dedup_last_holds_every_bar(spark):
     dirty = dirty_bars(spark, SF_SMALL)
-    out = jobs.run_stream_dedup_last(spark, dirty)
+    out = dedup.run_stream_dedup(spark, dirty, "last")
     want = dirty.groupBy("ticker", "Date").agg(F.max("seq").alias("seq"))
     assert sorted(map(tuple, out.select("ticker", "Date", "seq").collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_stream_dedup_keeps_first_arrival(spark):
     dirty = dirty_bars(spark, SF_SMALL)
-    out = jobs.run_stream_dedup(spark, dirty)
+    out = dedup.run_stream_dedup(spark, dirty, "first")
     assert out.count() == dirty.select("ticker", "Date").distinct().count()
     assert out.filter(F.col("seq") % 2 == 1).count() == 0
 
@@ -123,3 +123,38 @@ def test_stream_dedup_last_prefers_highest_seq_not_arrival(spark):
     s = jobs.dedup_last_stream(jobs.dir_stream(spark, f"{path}/in", 1))
     out = jobs._sink_upsert(s, path, ["ticker", "Date"]).collect()
     assert sorted((r["Date"], r["Close"], r["seq"]) for r in out) == [(d1, 2.0, 3), (d2, 6.0, 10)]
+
+
+BAR = "ticker string, Date date, Close double, seq long"
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_dedup_does_not_depend_on_partitions_or_arrival_order(spark, keep):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    rows = [("A" if i % 3 else "B", d, float(i), 2 * i) for i, d in enumerate(days)]
+    rows += [(t, d, c + 1, s + 1) for t, d, c, s in rows[::4]] + [(t, d, c + 2, s - 200) for t, d, c, s in rows[::5]]
+    rows += rows[::7] + [("A", days[1], -1.0, None), ("A", None, 1.0, 5), (None, days[0], 2.0, 6), (None, days[0], 3.0, 6), ("C", days[0], None, None)]
+    want = {}
+    for t, d, c, s in rows:
+        rank = (-(2**63) if s is None else s) * (1 if keep == "last" else -1)
+        row = (rank, (c is not None, c or 0.0), (t, d, c, s))
+        want[t, d] = max(want.get((t, d), row), row, key=lambda x: x[:2])
+    want = sorted((x[2] for x in want.values()), key=str)
+    df, saved = spark.createDataFrame(rows, BAR), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n, files in ((3, 1), (17, 5), (64, 9)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            shuffled = df.orderBy(F.rand(seed=n))
+            assert sorted(map(tuple, dedup.run_stream_dedup(spark, shuffled, keep, files=files, max_files=2).collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
+def test_dedup_state_ends_and_the_table_still_holds_the_best_row(spark):
+    d, path = dt.date(2021, 1, 4), jobs.run_dir(spark, "dedup-expiry")
+    for batch in ([("T", d, 3.0, 3)], [("U", d, 1.0, 1)], [("V", d, 1.0, 1)], [("T", d, 2.0, 2)], [("T", d, 9.0, 9)]):
+        spark.createDataFrame(batch, BAR).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    out = dedup.run_dedup(spark, jobs.dir_stream(spark, f"{path}/in", 1), path, keep="last", hold_ms=1)  # state goes with the next arrival
+    assert sorted(map(tuple, out.collect())) == [("T", d, 9.0, 9), ("U", d, 1.0, 1), ("V", d, 1.0, 1)]
+    with pytest.raises(ValueError):
+        dedup.best_arrivals(jobs.dir_stream(spark, f"{path}/in"), keep="any")

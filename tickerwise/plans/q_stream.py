@@ -13,7 +13,7 @@ from tickerwise.plans.q_serving import FIELDS, FV, view
 from tickerwise.plans.registry import register
 from tickerwise.schema import FEATURE_VIEW_FIELDS, LATENCY_BUCKETS
 from tickerwise.sources import bars_daily, dirty_bars
-from tickerwise.streaming import jobs
+from tickerwise.streaming import dedup, jobs
 
 
 @register("stream_bars", f"WITH bars AS ({S.BARS_HOURLY}) SELECT * FROM bars")
@@ -62,8 +62,8 @@ def q_stream_online_snapshot(spark, sf):
 @register("stream_dedup", f"""WITH bars AS ({S.BARS_DAILY}), {S.dirty()}
 SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dirty WHERE seq % 2 = 0""")
 def q_stream_dedup(spark, sf):
-    """ST5: re-sent (ticker, Date) rows are dropped; the first arrival is kept."""
-    return jobs.run_stream_dedup(spark, dirty_bars(spark, sf)).select(
+    """ST5: re-sent (ticker, Date) rows are dropped; the first one sent (lowest seq) is kept."""
+    return dedup.run_stream_dedup(spark, dirty_bars(spark, sf), "first").select(
         "ticker", "Date", "Open", "High", "Low", "Close", "Volume", "seq")
 
 
@@ -78,6 +78,6 @@ def q_stream_features(spark, sf):
 @register("stream_dedup_last", f"""{DIRTY}, {DEDUP_SQL}
 SELECT ticker, Date, Open, High, Low, Close, Volume, seq FROM dedup""")
 def q_stream_dedup_last(spark, sf):
-    """ST5 keep-last: streaming max_by(seq) per (ticker, Date), 7-day watermark."""
-    return jobs.run_stream_dedup_last(spark, dirty_bars(spark, sf)).select(
+    """ST5 keep-last: the highest seq per (ticker, Date) replaces what was published before."""
+    return dedup.run_stream_dedup(spark, dirty_bars(spark, sf), "last").select(
         "ticker", "Date", "Open", "High", "Low", "Close", "Volume", "seq")

@@ -9,6 +9,7 @@ query checkpoint makes a restarted run resume where the lost one stopped.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 import pandas as pd
@@ -26,8 +27,8 @@ LATE_POLICY = {
     "stream_request_counts": "same watermark; one row per (hour, endpoint, status)",
     "stream_latency_histogram": "same watermark; one row per (hour, endpoint, le)",
     "stream_online_snapshot": "no drop: the latest row per ticker by event time wins, whatever the arrival order",
-    "stream_dedup": "duplicates within the 7-day watermark are dropped; the FIRST arrival is kept",
-    "stream_dedup_last": "the highest seq per (ticker, Date) wins among arrivals within the 7-day watermark; later arrivals are dropped",
+    "stream_dedup": "no row is too late: the lowest seq per (ticker, Date) wins, whatever the arrival order; state goes 7 days after a key's last arrival",
+    "stream_dedup_last": "the same with the highest seq",
     "stream_features": "a bar not newer than the ticker's last processed bar is dropped (counted in state)",
 }
 
@@ -87,6 +88,18 @@ def dir_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return r.parquet(path)
 
 
+@contextlib.contextmanager
+def state_in_rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which ``transformWithState`` needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _sink_append(df: DataFrame, path: str) -> DataFrame:
     q = (df.writeStream.outputMode("append").format("parquet").option("path", f"{path}/out")
          .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
@@ -195,28 +208,25 @@ def run_stream_online_snapshot(spark: SparkSession, view: DataFrame, ts: str = "
     return _sink_upsert(latest, path, [KEY])
 
 
-# ------------------------------------------------------------------ ST5
-def run_stream_dedup(spark: SparkSession, bars: DataFrame, delay: str = "7 days") -> DataFrame:
-    """ST5: drop repeated (ticker, Date) arrivals within the watermark; the first arrival is kept."""
-    path = run_dir(spark, "dedup")
-    return _sink_append(dedup_stream(dir_stream(spark, stage_arrivals(bars, f"{path}/in"), 4), delay), path)
-
-
+# ------------------------------------------------------------------ ST5 with a watermark on the bar's date
+# (the registered queries use streaming/dedup.py, which drops no late row)
 def dedup_stream(rows: DataFrame, delay: str = "7 days") -> DataFrame:
+    """Drop repeated (ticker, Date) rows within the watermark, the first arrival is kept; state ends with the watermark, later rows are dropped."""
     return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
             .dropDuplicatesWithinWatermark([KEY, ORDER]).drop("_ets"))
 
 
-def stage_arrivals(bars: DataFrame, path: str, seq: str = "seq") -> str:
-    """First arrivals (even ``seq``) in time order, then the re-sent rows (odd ``seq``).
+def dedup_last_stream(rows: DataFrame, seq: str = "seq", delay: str = "7 days") -> DataFrame:
+    """ST5 keep-last: one row per (ticker, Date), the one with the highest ``seq`` among its arrivals.
 
-    Re-sent rows newer than the watermark meet the dedup state and are
-    dropped as duplicates; older ones are dropped as late.  Either way the
-    first arrival is what the sink holds.
+    A streaming aggregate keyed by (ticker, event time) keeps the best row
+    seen so far in state; ``max_by`` makes the arrival order inside the
+    watermark irrelevant.  A correction may arrive up to ``delay`` late and still win.
     """
-    stage_in_order(bars.filter(F.col(seq) % 2 == 0), path)
-    bars.filter(F.col(seq) % 2 == 1).repartition(KEY).write.mode("append").parquet(path)
-    return path
+    fields = [c for c in rows.columns if c not in (KEY,)]
+    return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
+            .groupBy(KEY, "_ets").agg(F.max_by(F.struct(*fields), F.col(seq)).alias("_r"))
+            .select(KEY, "_r.*"))
 
 
 # ------------------------------------------------------------------ ST6
@@ -289,24 +299,3 @@ def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int = 4
     out = s.groupBy(KEY).applyInPandasWithState(_rolling_update, FEATURE_OUT, FEATURE_STATE, "append",
                                                 GroupStateTimeout.NoTimeout)
     return _sink_append(out, path)
-
-
-# ------------------------------------------------------------------ ST5, keep-last
-def dedup_last_stream(rows: DataFrame, seq: str = "seq", delay: str = "7 days") -> DataFrame:
-    """ST5 keep-last: one row per (ticker, Date), the one with the highest ``seq`` among its arrivals.
-
-    A streaming aggregate keyed by (ticker, event time) keeps the best row
-    seen so far in state; ``max_by`` makes the arrival order inside the
-    watermark irrelevant.  A correction may arrive up to ``delay`` late and still win.
-    """
-    fields = [c for c in rows.columns if c not in (KEY,)]
-    return (rows.withColumn("_ets", F.col(ORDER).cast("timestamp")).withWatermark("_ets", delay)
-            .groupBy(KEY, "_ets").agg(F.max_by(F.struct(*fields), F.col(seq)).alias("_r"))
-            .select(KEY, "_r.*"))
-
-
-def run_stream_dedup_last(spark: SparkSession, bars: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Stage first arrivals and re-sent rows together, span by span in time order, then keep the last."""
-    path = run_dir(spark, "dedup-last")
-    stage_in_order(bars, f"{path}/in")
-    return _sink_upsert(dedup_last_stream(dir_stream(spark, f"{path}/in", 4), "seq", delay), path, [KEY, ORDER])
