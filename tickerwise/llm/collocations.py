@@ -4,8 +4,9 @@ Every task turns its own rows into shards of about ``SHARD`` words of one langua
 transform of the word ids and of their mirror image.  Both are sorted by the first ``longest`` words only: intervals of phrases
 up to that length are the same as in the full index.  Phrases grow a word at a time, at their right and their left end in
 turn; a shard extends only phrases that are frequent over all shards, and only to phrases whose other end is frequent too.
-The counts of each length are summed over the shards (one exchange), and what stays frequent goes back to the shards, which
-meet their index bucket by bucket: the index itself is never shuffled.  No vocabulary and no phrase table is broadcast.
+The counts of each length are summed over the shards: a shard sends its grown phrases packed by hash range (about three bytes a
+phrase), a range adds them up and answers every shard which of its phrases are frequent.  The shards meet the answers and
+their index bucket by bucket: the index itself is never shuffled.  No vocabulary and no phrase table is broadcast.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerwise.llm.common import Workspace, partitions
+from tickerwise.llm.words import mix
 
 SHARD = 1 << 21  # words of a shard; a task holds at most about twice as many, and at least one whole text
+RANGE = 1 << 19  # words of the input to one hash range of phrases, so no range grows with the input
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n\n ")
 _INDEX = "shard long, lang string, n_words long, words array<string>, lo array<int>, n array<int>, bwt binary, mirror binary"
-_GROWN = "shard long, lo int, rlo int, n int, head long, tail long"
 
 
 def by_symbol(symbols: np.ndarray) -> np.ndarray:
@@ -142,23 +144,126 @@ def grow(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarray):
     return p[keep], rest[keep], start[keep], mirrored[keep], count[keep]
 
 
-def _extender(front: bool):
-    def extend(batches):
+def _ints(cell, kind) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), kind).astype(np.int64)
+
+
+def _children(batch, i: int, front: bool):
+    """Grown intervals of row ``i``: (head, tail, lo, rlo, n); head and tail number the phrase without its last and without its first word."""
+    lo, rlo, n, gid = (_ints(batch.column(c)[i], kind) for c, kind in (("lo", np.int32), ("rlo", np.int32), ("n", np.int32), ("gid", np.int64)))
+    bwt = np.frombuffer(batch.column("bwt")[i].as_buffer(), np.int32)
+    if front:
+        p, rest, lo, rlo, n = grow(bwt, lo, rlo, n)
+        return gid[rest], gid[p], lo, rlo, n
+    p, rest, rlo, lo, n = grow(bwt, rlo, lo, n)
+    return gid[p], gid[rest], lo, rlo, n
+
+
+def _dealt(head: np.ndarray, tail: np.ndarray, ranges: int):
+    """(order, range) of phrases by hash range, head and tail: the order in which a shard sends them and gets its answers."""
+    where = (mix(mix(head.astype(np.uint64)) + tail.astype(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+    order = np.lexsort((tail, head, where))
+    return order, where[order]
+
+
+def _pack(v: np.ndarray) -> bytes:
+    """Integers as zstandard of their bytes, place by place: small ones and small steps take little."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(v, np.int64).view(np.uint8).reshape(len(v), 8).T.tobytes())
+
+
+def _unpack(blob: bytes, size: int) -> np.ndarray:
+    import zstandard
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, size).T).view(np.int64)[:, 0]
+
+
+def _sender(front: bool, ranges: int):
+    """Per shard and hash range: the grown phrases and their counts in the shard, packed."""
+    def send(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                head, tail, _, _, n = _children(b, i, front)
+                order, where = _dealt(head, tail, ranges)
+                head, tail, n = head[order], tail[order], n[order]
+                cut = np.searchsorted(where, np.arange(ranges + 1))
+                rows = [(r, x, y) for r, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+                yield pa.record_batch({
+                    "shard": pa.array([b.column("shard")[i].as_py()] * len(rows), pa.int64()), "range": pa.array([r for r, _, _ in rows], pa.int32()),
+                    "size": pa.array([int(y - x) for _, x, y in rows], pa.int32()),
+                    "head": pa.array([_pack(np.diff(head[x:y], prepend=0)) for _, x, y in rows], pa.binary()),
+                    "tail": pa.array([_pack(tail[x:y]) for _, x, y in rows], pa.binary()), "n": pa.array([_pack(n[x:y]) for _, x, y in rows], pa.binary())})
+    return send
+
+
+_SENT = "shard long, range int, size int, head binary, tail binary, n binary"
+_JUDGED = "shard long, range int, size int, head binary, tail binary, total binary, passed binary, gid binary"
+
+
+def _judge(enough: int):
+    """All phrases of a hash range, summed over the shards: one row of those with ``enough`` (shard null), and an answer to every shard."""
+    def judge(table: pa.Table) -> pa.Table:
+        sizes = table.column("size").to_pylist()
+        head, tail, n = (np.concatenate([fix(_unpack(x, k)) for x, k in zip(table.column(c).to_pylist(), sizes)])
+                         for c, fix in (("head", np.cumsum), ("tail", np.asarray), ("n", np.asarray)))
+        order = np.lexsort((tail, head))
+        h, t = head[order], tail[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])])
+        total = np.add.reduceat(n[order], np.flatnonzero(new))
+        frequent = total >= enough
+        number = np.where(frequent, np.cumsum(frequent) - 1, -1)[np.cumsum(new) - 1]  # of each row's phrase, among the frequent ones
+        mine = np.empty(len(order), np.int64)
+        mine[order] = number
+        where = table.column("range")[0].as_py()
+        lead, base = np.flatnonzero(new)[frequent], where << 32
+        out = [(None, where, len(lead), _pack(h[lead]), _pack(t[lead]), _pack(total[frequent]), None, None)] if len(lead) else []
+        ends = np.cumsum(sizes)
+        for shard, e, k in zip(table.column("shard").to_pylist(), ends, sizes):
+            got = mine[e - k:e]
+            if (got >= 0).any():
+                out.append((shard, where, k, None, None, None, np.packbits(got >= 0).tobytes(), _pack(got[got >= 0] + base)))
+        cols = list(zip(*out)) or [()] * 8
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in _JUDGED.split(", ")])
+    return judge
+
+
+def _phrase_rows(batches):
+    for b in batches:
+        for r, k, *blobs in zip(*(b.column(c).to_pylist() for c in ("range", "size", "head", "tail", "total"))):
+            head, tail, total = (_unpack(x, k) for x in blobs)
+            yield pa.record_batch([pa.array((r << 32) + np.arange(k)), pa.array(head), pa.array(tail), pa.array(total)], names=["gid", "head", "tail", "total"])
+
+
+_KNOWN = "shard long, lo binary, rlo binary, n binary, gid binary"
+
+
+def _known_row(shard: int, lo, rlo, n, gid) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([shard], pa.int64()), *(pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (lo, rlo, n)),
+                            pa.array([gid.astype(np.int64).tobytes()], pa.binary())], names=["shard", "lo", "rlo", "n", "gid"])
+
+
+def _keeper(front: bool, ranges: int):
+    """The intervals of a shard's frequent phrases, by the answers to what it sent."""
+    def keep(batches):
         for b in batches:
             for i in range(b.num_rows):
-                known = b.column(2)[i].values
-                lo, rlo, n, gid = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in known.flatten())
-                bwt = np.frombuffer(b.column(1)[i].as_buffer(), np.int32)
-                if front:
-                    p, rest, lo2, rlo2, n2 = grow(bwt, lo, rlo, n)
-                    head, tail = gid[rest], gid[p]
-                else:
-                    p, rest, rlo2, lo2, n2 = grow(bwt, rlo, lo, n)
-                    head, tail = gid[p], gid[rest]
-                shard = np.full(len(p), b.column(0)[i].as_py(), np.int64)
-                yield pa.record_batch([pa.array(shard), *(pa.array(x.astype(np.int32)) for x in (lo2, rlo2, n2)), pa.array(head), pa.array(tail)],
-                                      names=["shard", "lo", "rlo", "n", "head", "tail"])
-    return extend
+                head, tail, lo, rlo, n = _children(b, i, front)
+                order, where = _dealt(head, tail, ranges)
+                cut, chosen, gids = np.searchsorted(where, np.arange(ranges + 1)), [], []
+                for x in b.column("answers")[i].as_py():
+                    passed = np.unpackbits(np.frombuffer(x["passed"], np.uint8), count=x["size"]).astype(bool)
+                    chosen.append(order[cut[x["range"]]:cut[x["range"] + 1]][passed])
+                    gids.append(_unpack(x["gid"], int(passed.sum())))
+                chosen = np.concatenate(chosen)
+                yield _known_row(b.column("shard")[i].as_py(), lo[chosen], rlo[chosen], n[chosen], np.concatenate(gids))
+    return keep
+
+
+def _known_words(batches):
+    for b in batches:
+        for i in range(b.num_rows):
+            lo, n, gid = (x.to_numpy(zero_copy_only=False) for x in b.column(1)[i].values.flatten())
+            yield _known_row(b.column(0)[i].as_py(), lo, lo, n, gid)
 
 
 def _frequent(rows: DataFrame, keys: list[str], at_least: int) -> DataFrame:
@@ -180,29 +285,38 @@ def phrases(docs: DataFrame, longest: int = 5, at_least: int = 100, work: Worksp
     spark = docs.sparkSession
     work = work or Workspace(spark)
     name = f"fm_{uuid.uuid4().hex}"
-    index = docs.select("text", "lang").mapInArrow(_indexer(longest, shard), _INDEX)
-    index.write.bucketBy(partitions(spark), "shard").option("path", f"{work.path}/{name}").option("compression", "zstd").format("parquet").saveAsTable(name)
-    index = spark.table(name)
+
+    def by_shard(df: DataFrame, table: str) -> DataFrame:
+        """A written table whose files are buckets of shards: joins of such tables move no rows."""
+        df.write.bucketBy(partitions(spark), "shard").option("path", f"{work.path}/{table}").option("compression", "zstd").format("parquet").saveAsTable(table)
+        return spark.table(table)
+
+    index = by_shard(docs.select("text", "lang").mapInArrow(_indexer(longest, shard), _INDEX), name)
     sizes = work.table(index.groupBy("lang").agg(F.sum("n_words").alias("n")).where("n > 0"), f"{name}-sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    ranges = -(-total // RANGE) or 1
     words = index.select("shard", "lang", F.explode(F.arrays_zip("words", "lo", "n")).alias("w")).select("shard", "lang", "w.words", "w.lo", "w.n")
-    level = work.table(_frequent(words, ["lang", "words"], at_least).select("shard", "lo", F.col("lo").alias("rlo"), "n", "gid", "lead", "total", "lang",
-                                                                          F.col("words").alias("phrase")), f"{name}-1")
+    level = work.table(_frequent(words, ["lang", "words"], at_least).select("shard", "lo", "n", "gid", "lead", "total", "lang", F.col("words").alias("phrase")), f"{name}-1")
     named = level.where("lead").select("gid", "lang", "phrase", "total")
     out = named.select("lang", "phrase", F.lit(1).alias("m"), F.col("total").alias("a"))
+    known = by_shard(level.groupBy("shard").agg(F.collect_list(F.struct("lo", "n", "gid")).alias("known")).mapInArrow(_known_words, _KNOWN), f"{name}_known_1")
     for m in range(2, longest + 1):
         front = m % 2 == 1
-        known = level.groupBy("shard").agg(F.collect_list(F.struct("lo", "rlo", "n", "gid")).alias("known"))
         met = index.select("shard", F.col("bwt" if front else "mirror").alias("bwt")).join(known.hint("shuffle_hash"), "shard")
-        grown = met.select("shard", "bwt", "known").mapInArrow(_extender(front), _GROWN)
-        level = work.table(_frequent(grown, ["head", "tail"], at_least), f"{name}-{m}")
+        sent = met.mapInArrow(_sender(front, ranges), _SENT)
+        judged = work.table(sent.groupBy("range").applyInArrow(_judge(at_least), _JUDGED), f"{name}-{m}")
+        if m < longest:
+            answers = judged.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("range", "size", "passed", "gid")).alias("answers"))
+            known = by_shard(met.join(answers.hint("shuffle_hash"), "shard").mapInArrow(_keeper(front, ranges), _KNOWN), f"{name}_known_{m}")
         ends = named.select(F.col("gid").alias("tail"), F.substring_index("phrase", " ", -1).alias("last"))
         begins = named.select(F.col("gid").alias("head"), "lang", F.col("phrase").alias("first"))
-        named = (level.where("lead").join(begins, "head").join(ends, "tail")
-                 .select("gid", "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "total"))
+        found = judged.where("shard is null").mapInArrow(_phrase_rows, "gid long, head long, tail long, total long")
+        named = found.join(begins, "head").join(ends, "tail").select("gid", "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "total")
         named = work.table(named, f"{name}-{m}-named")
         out = out.unionByName(named.select("lang", "phrase", F.lit(m).alias("m"), F.col("total").alias("a")))
-    spark.sql(f"DROP TABLE {name}")  # all that follows reads the written levels
-    work.drop(name)
+    for table in (name, *(f"{name}_known_{m}" for m in range(1, longest))):  # all that follows reads the written levels
+        spark.sql(f"DROP TABLE {table}")
+        work.drop(table)
     return out, sizes
 
 
