@@ -1,5 +1,8 @@
 """DuckDB twins of the queries: each states the result directly, not the operator's method."""
 
+from html import unescape
+from html.entities import html5
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SUBSTRING = r"""
@@ -91,10 +94,36 @@ for _p, _t in [(r"(?s)<!--.*?-->", "''"), (r"(?is)<script\b.*?</script\s*>", "''
                (r"(?i)</?(?:address|article|aside|blockquote|body|br|div|dl|dt|dd|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section"
                 r"|table|title|td|th|tr|ul)\b[^>]*>", "chr(10)"), (r"<[^>]*>", "''")]:
     _TEXT = f"regexp_replace({_TEXT}, '{_p}', {_t}, 'g')"
-for _a, _b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
-    _TEXT = f"replace({_TEXT}, '{_a}', '{_b}')"
+_SPACED = "string_agg(decoded, '' ORDER BY i)"
 for _p, _t in [(r"[ \t\r\f]+", "' '"), (r" ?\n[ \n]*", "chr(10)"), (r"^[ \n]+", "''"), (r"[ \n]+$", "''")]:
-    _TEXT = f"regexp_replace({_TEXT}, '{_p}', {_t}, 'g')"
+    _SPACED = f"regexp_replace({_SPACED}, '{_p}', {_t}, 'g')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# character references by the tables of the standard library: all names, and the numbers that do not stand for themselves
+_NAMES = "MAP {" + ", ".join(f"{_quoted(k)}: {_quoted(v.replace(chr(0xa0), ' '))}" for k, v in html5.items()) + "}"
+_ODD = {i: unescape(f"&#{i};") for i in [*range(161), *range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF))]}
+_NUMBERS = "MAP {" + ", ".join(f"{i}: {_quoted(v.replace(chr(0xa0), ' '))}" for i, v in _ODD.items() if v != chr(i) or i == 0xA0) + "}"
+_REFERENCES = rf"""
+raw AS (SELECT row_number() OVER () AS r, page_id, url, coalesce(html, '') AS payload, {_TEXT} AS stripped FROM pages),
+part AS (SELECT r, unnest(string_split(stripped, '&')) AS part, generate_subscripts(string_split(stripped, '&'), 1) AS i FROM raw),
+ref AS (SELECT *, regexp_extract(part, '^[a-zA-Z][a-zA-Z0-9]*;?') AS name, regexp_extract(part, '^#0*([0-9]+);?', 1) AS dec, regexp_extract(part, '^#[xX]0*([0-9a-fA-F]+);?', 1) AS hex,
+               regexp_extract(part, '^#(?:[0-9]+|[xX][0-9a-fA-F]+);?') AS digits FROM part),
+val AS (SELECT *, CASE WHEN dec <> '' AND length(dec) <= 7 THEN CAST(dec AS BIGINT)
+                       WHEN hex <> '' AND length(hex) <= 7 THEN list_reduce(list_transform(string_split('0' || lower(hex), ''), lambda x: CAST(instr('0123456789abcdef', x) - 1 AS BIGINT)), lambda x, y: x * 16 + y)
+                       WHEN digits <> '' THEN 1114112 END AS code,
+               CASE WHEN name <> '' THEN list_max(list_filter(range(2, least(length(name), 40) + 1), lambda k: len(map_extract(names, substr(name, 1, k))) > 0)) END AS known
+        FROM ref, (SELECT {_NAMES} AS names)),
+done AS (SELECT r, i, CASE WHEN i = 1 THEN part
+              WHEN code IS NOT NULL THEN CASE WHEN len(map_extract(numbers, code)) > 0 THEN map_extract(numbers, code)[1]
+                   WHEN code > 1114111 OR code BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr(CAST(code AS INT)) END || substr(part, length(digits) + 1)
+              WHEN known IS NOT NULL THEN map_extract(names, substr(name, 1, known))[1] || substr(part, known + 1)
+              ELSE '&' || part END AS decoded
+         FROM val, (SELECT {_NUMBERS} AS numbers)),
+spaced AS (SELECT r, {_SPACED} AS plain FROM done GROUP BY r)"""
 
 
 def _uuid(text: str) -> str:
@@ -103,10 +132,11 @@ def _uuid(text: str) -> str:
 
 
 WARC = rf"""
-WITH src AS (
-  SELECT page_id, coalesce(html, '') AS payload, {_TEXT} AS plain,
+WITH {_REFERENCES},
+src AS (
+  SELECT page_id, payload, plain,
          replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS target_uri,
-         {_uuid("concat_ws(chr(31), 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(url, ''))")} AS refers_to FROM pages),
+         {_uuid("concat_ws(chr(31), 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(url, ''))")} AS refers_to FROM raw JOIN spaced USING (r)),
 rec AS (
   SELECT page_id, refers_to, target_uri, payload, 'conversion' AS kind, 'metadata' AS other, 'text/plain; charset=UTF-8' AS content_type, plain AS block FROM src
   UNION ALL
