@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tickerwise.operators import features as feat
 from tickerwise.sources import bars_daily, dirty_bars
-from tickerwise.streaming import dedup, jobs
+from tickerwise.operators.serving import asof_features
+from tickerwise.streaming import dedup, jobs, lookup
+from tickerwise.streaming.table import EpochTable
 from tests.conftest import SF_SMALL
 
 COLS = ["ticker", "Date", "Close", "returns", "ma_5", "ma_10", "ma_20", "volatility_5", "volatility_10", "volatility_20"]
@@ -158,3 +160,100 @@ def test_dedup_state_ends_and_the_table_still_holds_the_best_row(spark):
     assert sorted(map(tuple, out.collect())) == [("T", d, 9.0, 9), ("U", d, 1.0, 1), ("V", d, 1.0, 1)]
     with pytest.raises(ValueError):
         dedup.best_arrivals(jobs.dir_stream(spark, f"{path}/in"), keep="any")
+
+
+REQUESTS, VIEW = "request_id long, ticker string, event_timestamp timestamp_ntz", "ticker string, event_timestamp timestamp_ntz, f double, g string"
+
+
+def lookup_rows():
+    """Requests at, before and after feature rows, at the TTL's edge, of unknown and missing tickers; one hot ticker."""
+    t0, rows, asked = dt.datetime(2021, 1, 1), [], []
+    for i in range(40):
+        rows.append(("A", t0 + dt.timedelta(hours=7 * i), float(i), None if i % 3 else "x"))
+        if i % 4 == 0:
+            rows.append(("B", t0 + dt.timedelta(hours=9 * i), None, "y"))
+    for i in range(120):
+        asked.append((i, ("A", "A", "B", "Z", None)[i % 5], t0 + dt.timedelta(hours=2 * i, minutes=(i % 3) * 30)))
+    asked += [(500, "A", t0 + dt.timedelta(days=1)), (501, "B", t0 + dt.timedelta(hours=36)), (502, "A", t0 - dt.timedelta(days=3)), (503, "A", t0 + dt.timedelta(days=90))]
+    return asked, rows
+
+
+@pytest.mark.parametrize("ttl,files,max_files", [(1, 2, (None, None)), (0.25, 1, (1, 5)), (2.5, 3, (12, 3))])
+def test_stream_lookup_equals_the_batch_lookup(spark, ttl, files, max_files):
+    asked, rows = lookup_rows()
+    req, view = spark.createDataFrame(asked, REQUESTS), spark.createDataFrame(rows, VIEW)
+    got = lookup.run_stream_lookup(spark, req, view, ttl_days=ttl, files=files, max_files=max_files)
+    want = asof_features(req, view, ttl_days=ttl)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_stream_lookup_in_any_order_within_the_delay(spark):
+    asked, rows = lookup_rows()
+    req, view = spark.createDataFrame(asked, REQUESTS), spark.createDataFrame(rows, VIEW)
+    path = jobs.run_dir(spark, "lookup-order")
+    for name, table, seed in (("r", req, 1), ("v", view, 2)):
+        for part in table.randomSplit([1.0] * 4, seed=seed):  # each file spans all times
+            part.coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+        lookup.close_stream(f"{path}/{name}", table, "event_timestamp", dt.datetime(2022, 6, 1))
+    streams = [jobs.dir_stream(spark, f"{path}/{n}", k) for n, k in (("r", 1), ("v", 2))]
+    got = jobs._sink_append(lookup.lookup_stream(*streams, ttl_days=1, delay="150 days"), path)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, asof_features(req, view, ttl_days=1).collect()), key=str)
+
+
+def epoch_batches(n):
+    return [[(k, float(e), None if k % 3 else f"e{e}") for k in range(7) if (e + k) % 4 == 0 or e == 0] for e in range(n)]
+
+
+def newest(batches):
+    want = {}
+    for b in batches:
+        want.update({r[0]: r for r in b})
+    return sorted(want.values())
+
+
+def test_table_of_many_epochs_stays_in_few_folders(spark):
+    schema = spark.createDataFrame([], "k long, v double, s string").schema
+    path = jobs.run_dir(spark, "epochs")
+    table, batches = EpochTable(spark, path, schema, ["k"], fanout=4), epoch_batches(50)
+    assert table.read().count() == 0
+    for e, rows in enumerate(batches):
+        table.publish(spark.createDataFrame(rows, schema).coalesce(1), e)
+        assert len(table.parts()) <= 3 * 3
+    assert sorted(map(tuple, table.read().collect())) == newest(batches)
+    assert [(p.first, p.last) for p in table.parts()][0] == (0, 15) and table.parts()[-1].last == 49
+    names = {s.getPath().getName() for s in table._fs.listStatus(table._path(path))}
+    assert len(names) <= 20 and len(table._manifests()) == 3
+
+
+def test_table_survives_a_retry_and_a_crash_between_the_steps(spark, monkeypatch):
+    schema = spark.createDataFrame([], "k long, v double, s string").schema
+    path = jobs.run_dir(spark, "epochs-crash")
+    table, batches = EpochTable(spark, path, schema, ["k"], fanout=2), epoch_batches(12)
+    frames = [spark.createDataFrame(b, schema).coalesce(1) for b in batches]
+    for e, f in enumerate(frames):
+        reader = table.read()
+        for step in ("_publish_manifest", "_merged", "_clean"):  # the epoch fails at each step before it goes through
+            def fail(*a, **k):
+                raise RuntimeError("lost")
+            with monkeypatch.context() as m:
+                m.setattr(table, step, fail)
+                try:
+                    table.publish(f, e)
+                except RuntimeError:
+                    pass
+            if step == "_publish_manifest":  # nothing published yet: the old table, for old and new readers
+                assert sorted(map(tuple, reader.collect())) == sorted(map(tuple, table.read().collect())) == newest(batches[:e])
+        table.publish(f, e)
+        table.publish(f, e)
+        assert sorted(map(tuple, table.read().collect())) == newest(batches[:e + 1])
+
+
+def test_ranked_table_keeps_the_best_row_whatever_the_epoch(spark):
+    schema = spark.createDataFrame([], "k long, v double").schema
+    table = EpochTable(spark, jobs.run_dir(spark, "ranked"), schema, ["k"], rank=F.col("v"), fanout=2)
+    for e, v in enumerate([3.0, 9.0, 1.0, None, 5.0]):
+        table.publish(spark.createDataFrame([(1, v), (2, -(v or 0.0))], schema), e)
+    assert sorted(map(tuple, table.read().collect())) == [(1, 9.0), (2, 0.0)]
+    with pytest.raises(ValueError):
+        EpochTable(spark, "x", schema, ["k"], fanout=1)

@@ -2,16 +2,17 @@
 
 * Linear model, log-odds space: exact Shapley values phi_i = w_i (x_i - E_bg[x_i]),
   base = b + sum_i w_i E_bg[x_i] (Lundberg & Lee 2017, linear case).
-* Any scoring function, probability space: permutation Shapley, exact over
-  all orders (a sum over feature subsets) or over sampled orders
+* Any scoring function (``score``: rows of features -> scores): permutation Shapley,
+  exact over all orders (a sum over feature subsets) or over sampled orders
   (Strumbelj & Kononenko 2014) in ``mapInPandas``; the background (at most
   100 rows, a proven bound) travels as a broadcast variable, rows stay
-  distributed and are processed in Arrow batches.
+  distributed and are processed in Arrow batches.  Tree ensembles have an
+  exact form of their own (``trees.tree_shap``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from math import factorial
 
@@ -27,6 +28,8 @@ from tickerwise.operators.models import LINEAR_INTERCEPT, LINEAR_WEIGHTS
 from tickerwise.schema import KEY, ORDER, SEED
 
 MAX_BACKGROUND = 100
+MAX_EXACT = 16          # features up to which all 2^F subsets are scored; more need n_perm
+BLOCK = 1 << 20         # coalitions scored at once
 
 
 def seeded_sample(df: DataFrame, n: int, hash_cols: list[str], tiebreak: list[str], seed: int = SEED) -> DataFrame:
@@ -79,6 +82,29 @@ def local_ranking(contrib: DataFrame, row_key=(KEY, ORDER)) -> DataFrame:
 
 
 # ------------------------------------------------------- permutation Shapley
+def background_rows(background: DataFrame, features: list[str], max_background: int = MAX_BACKGROUND) -> np.ndarray:
+    """The background as a matrix on the driver; an error beyond its bound, as a cut would be arbitrary."""
+    rows = background.select(*features).limit(max_background + 1).toPandas().to_numpy(dtype=float)
+    if len(rows) > max_background:  # every row is compared with every background row
+        raise ValueError(f"background has more than {max_background} rows; sample it or raise max_background")
+    if not len(rows):
+        raise ValueError("the background is empty")
+    return rows
+
+
+def _score_subsets(x: np.ndarray, z: np.ndarray, score: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """(R, 2^F): mean score over the background where the features of each subset come from x, the others from z, in blocks of subsets."""
+    nf = x.shape[1]
+    out = np.empty((len(x), 1 << nf))
+    step = max(1, BLOCK // len(z))
+    for i, row in enumerate(x):
+        for s in range(0, 1 << nf, step):
+            inside = (np.arange(s, min(s + step, 1 << nf))[:, None] >> np.arange(nf)) & 1 == 1
+            mixed = np.where(inside[:, None, :], row, z[None])
+            out[i, s:s + len(inside)] = score(mixed.reshape(-1, nf)).reshape(len(inside), len(z)).mean(axis=1)
+    return out
+
+
 def _sigmoid_linear(x: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-(x @ w + b)))
 
@@ -111,8 +137,11 @@ def _mean_over_subsets(x: np.ndarray, z: np.ndarray, w: np.ndarray, b: float) ->
 
 def perm_shap(scaled: DataFrame, background: DataFrame, features: list[str], weights: dict | None = None,
               intercept: float = LINEAR_INTERCEPT, n_perm: int | None = None, seed: int = SEED, row_key=(KEY, ORDER),
-              chunk: int = 256, max_background: int = MAX_BACKGROUND) -> DataFrame:
-    """E2(b): permutation Shapley of P(up) against the background.
+              chunk: int = 256, max_background: int = MAX_BACKGROUND, score: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """E2(b): permutation Shapley of a score against the background: of ``score``, or of the linear model's P(up).
+
+    ``score`` takes a matrix of rows x features (rows of x and of the background mixed feature by feature) and returns one
+    number a row; it is called with blocks of about a million rows.  More than MAX_EXACT features need ``n_perm``.
 
     For each row x, each background row z and each feature order, features
     switch from z to x one at a time; the change in P(up) is credited to the
@@ -122,13 +151,16 @@ def perm_shap(scaled: DataFrame, background: DataFrame, features: list[str], wei
     many orders are sampled.  Sum over features + base_value equals P(up)(x)
     (base_value = mean P(up) over the background).
     """
-    weights = weights or LINEAR_WEIGHTS
+    if n_perm is None and len(features) > MAX_EXACT:
+        raise ValueError(f"all orders of {len(features)} features need 2^{len(features)} scores a row (at most 2^{MAX_EXACT}); pass n_perm to sample orders")
     spark = scaled.sparkSession
-    bg_rows = background.select(*features).limit(max_background + 1).toPandas().to_numpy(dtype=float)
-    if len(bg_rows) > max_background:  # every row is compared with every background row; a cut here would be arbitrary
-        raise ValueError(f"background has more than {max_background} rows; sample it or raise max_background")
-    bc = spark.sparkContext.broadcast(bg_rows)
-    w = np.array([weights[f] for f in features], dtype=float)
+    bc = spark.sparkContext.broadcast(background_rows(background, features, max_background))
+    if score is None:
+        weights = weights or LINEAR_WEIGHTS
+        w = np.array([weights[f] for f in features], dtype=float)
+        value, subsets = (lambda m: _sigmoid_linear(m, w, intercept)), (lambda x, z: _mean_over_subsets(x, z, w, intercept))
+    else:
+        value, subsets = score, (lambda x, z: _score_subsets(x, z, score))
     rng = np.random.default_rng(seed)
     perms = [rng.permutation(len(features)) for _ in range(n_perm or 0)]
     credit = _subset_credit(len(features)) if n_perm is None else None
@@ -139,23 +171,24 @@ def perm_shap(scaled: DataFrame, background: DataFrame, features: list[str], wei
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         z = bc.value                       # (B, F)
-        base = float(_sigmoid_linear(z, w, intercept).mean())
+        base = float(value(z).mean())
         nf = len(features)
         for pdf in batches:
             for s in range(0, len(pdf), chunk):
                 part = pdf.iloc[s:s + chunk]
                 x = part[features].to_numpy(dtype=float)      # (R, F)
-                phi = np.zeros_like(x) if credit is None else _mean_over_subsets(x, z, w, intercept) @ credit
+                phi = np.zeros_like(x) if credit is None else subsets(x, z) @ credit
                 for p in perms:
                     cur = np.broadcast_to(z, (len(x),) + z.shape).copy()   # (R, B, F)
-                    prev = _sigmoid_linear(cur, w, intercept)             # (R, B)
+                    mixed = lambda: value(cur.reshape(-1, nf)).reshape(cur.shape[:2])  # noqa: B023, E731
+                    prev = mixed()                                        # (R, B)
                     for j in p:
                         cur[:, :, j] = x[:, None, j]
-                        now = _sigmoid_linear(cur, w, intercept)
+                        now = mixed()
                         phi[:, j] += (now - prev).mean(axis=1)
                         prev = now
                 phi /= len(perms) or 1
-                pred = _sigmoid_linear(x, w, intercept)
+                pred = value(x)
                 long = pd.DataFrame({
                     **{k: np.repeat(part[k].to_numpy(), nf) for k in row_key},
                     "feature": np.tile(np.array(features, dtype=object), len(x)),

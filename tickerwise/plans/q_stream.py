@@ -10,10 +10,10 @@ from tickerwise.plans import sql_blocks as S
 from tickerwise.plans.q_clean import DEDUP_SQL, DIRTY
 from tickerwise.plans.q_model import BASE, FEATS, scaled
 from tickerwise.plans.q_serving import FIELDS, FV, view
-from tickerwise.plans.registry import register
+from tickerwise.plans.registry import ORACLE_SQL, register
 from tickerwise.schema import FEATURE_VIEW_FIELDS, LATENCY_BUCKETS
-from tickerwise.sources import bars_daily, dirty_bars
-from tickerwise.streaming import dedup, jobs
+from tickerwise.sources import bars_daily, dirty_bars, entity_requests
+from tickerwise.streaming import dedup, jobs, lookup
 
 
 @register("stream_bars", f"WITH bars AS ({S.BARS_HOURLY}) SELECT * FROM bars")
@@ -81,3 +81,9 @@ def q_stream_dedup_last(spark, sf):
     """ST5 keep-last: the highest seq per (ticker, Date) replaces what was published before."""
     return dedup.run_stream_dedup(spark, dirty_bars(spark, sf), "last").select(
         "ticker", "Date", "Open", "High", "Low", "Close", "Volume", "seq")
+
+
+@register("stream_lookup", ORACLE_SQL["asof_features"], shared=True)
+def q_stream_lookup(spark, sf):
+    """J1, ST2: a stream of requests joined with the stream of feature rows, TTL 1 day, misses included."""
+    return lookup.run_stream_lookup(spark, entity_requests(spark, sf), view(spark, sf), ttl_days=1)

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from tickerwise.schema import KEY, ORDER
 from tickerwise.streaming.jobs import dir_stream, run_dir, stage, state_in_rocksdb
+from tickerwise.streaming.table import EpochTable
 
 LEAST = -(2**63)  # the rank of a row without a seq: before all others
 
@@ -71,25 +72,14 @@ def best_arrivals(rows: DataFrame, seq: str = "seq", keep: str = "last", hold_ms
 
 
 def run_dedup(spark: SparkSession, arrivals: DataFrame, path: str, seq: str = "seq", keep: str = "last", hold_ms: int = 7 * 86_400_000) -> DataFrame:
-    """Run the stream over what is there and return the table it publishes.
-
-    Every micro-batch writes its rows to a folder of its epoch (a retry writes the same folder again).  A read ranks the rows of a
-    key by ``seq``: an aggregate with map-side combine.
-    """
-    out, columns = f"{path}/out", arrivals.columns
-    spark.createDataFrame([], arrivals.schema).write.mode("overwrite").parquet(f"{out}/epoch=-1")
-
-    def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
+    """Run the stream over what is there and return the table it publishes (an :class:`EpochTable` that ranks the rows of a key by ``seq``)."""
+    rank = F.coalesce(F.col(seq).cast("bigint"), F.lit(LEAST))
+    table = EpochTable(spark, f"{path}/out", arrivals.schema, [KEY, ORDER], rank if keep == "last" else F.bitwise_not(rank))
     with state_in_rocksdb(spark):
-        q = (best_arrivals(arrivals, seq, keep, hold_ms).writeStream.outputMode("update").foreachBatch(publish)
+        q = (best_arrivals(arrivals, seq, keep, hold_ms).writeStream.outputMode("update").foreachBatch(table.publish)
              .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
         q.awaitTermination()
-    rows = spark.read.schema(arrivals.schema).parquet(f"{out}/epoch=*")
-    rank = F.coalesce(F.col(seq).cast("bigint"), F.lit(LEAST))
-    best = rows.groupBy(KEY, ORDER).agg(F.max(F.struct((rank if keep == "last" else F.bitwise_not(rank)).alias("_rank"), *[c for c in columns if c not in (KEY, ORDER)])).alias("_r"))
-    return best.select(KEY, ORDER, "_r.*").select(columns)
+    return table.read()
 
 
 def run_stream_dedup(spark: SparkSession, bars: DataFrame, keep: str, files: int | None = None, max_files: int = 4) -> DataFrame:

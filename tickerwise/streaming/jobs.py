@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tickerwise.operators.models import score_linear
 from tickerwise.schema import KEY, LATENCY_BUCKETS, ORDER, ROLLING_WINDOWS
 from tickerwise.session import checkpoint_dir, remove_at_exit
+from tickerwise.streaming.table import EpochTable
 
 LATE_POLICY = {
     "stream_bars": "every hour is in the result, updated until the watermark (max(ts) - 1 hour) closes it; events later than that are dropped",
@@ -107,27 +108,18 @@ def _sink_append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{path}/out")
 
 
-def _sink_upsert(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+def _sink_upsert(df: DataFrame, path: str, keys: list[str], fanout: int = 8) -> DataFrame:
     """Run a stream whose rows replace earlier rows of the same ``keys``; returns the table as it is at the end.
 
-    Update mode: a micro-batch holds the changed keys only.  It is written to a folder of its own epoch, which a retry
-    of that epoch writes again (idempotent); nothing already published is touched, so a reader always finds a
-    whole table.  A read takes the newest epoch of each key, an aggregate with map-side combine.
+    Update mode: a micro-batch holds the changed keys only and goes to an :class:`EpochTable`, so a reader always finds a
+    whole table in few folders, and a retry of an epoch is idempotent.
     """
-    spark, out = df.sparkSession, f"{path}/out"
-    fields = [c for c in df.columns if c not in keys]
-
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/epoch=-1")  # a table even without input
-
-    def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    q = (df.writeStream.outputMode("update").foreachBatch(publish)
+    spark = df.sparkSession
+    table = EpochTable(spark, f"{path}/out", df.schema, keys, fanout=fanout)
+    q = (df.writeStream.outputMode("update").foreachBatch(table.publish)
          .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("epoch", T.LongType())])).parquet(out)
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), "epoch").alias("_r"))
-    return newest.select(*keys, "_r.*").select(df.columns)
+    return table.read()
 
 
 # ------------------------------------------------------------------ ST1
