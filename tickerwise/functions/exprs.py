@@ -127,3 +127,27 @@ def file_safe(name: Column) -> Column:
 def title_case(name: Column) -> Column:
     """``high_less_than_low`` -> ``High Less Than Low``."""
     return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+
+
+def chi2_tail(x: Column, dof: Column) -> Column:
+    """P(X > x) of a chi-square variable with whole ``dof``: its closed finite sum, term by term in logarithms.
+
+    Even dof: exp(-h) sum of h^j / j! for j < dof / 2, h = x / 2.  Odd dof: erfc(sqrt(h)) + exp(-h) sum of h^(j - 1/2) / Gamma(j + 1/2) for
+    j <= (dof - 1) / 2, where erf(sqrt(h)) is its series of positive terms (beyond h = 50 the tail is under 1e-22).
+    No degree of freedom or x <= 0 gives 1, a NULL x gives NULL.
+    """
+    h, odd = x / F.lit(2.0), dof % 2 == 1
+
+    def series(first: Column, count: Column, shift: Column) -> Column:
+        """Sum of ``count`` terms; a term's logarithm grows by log(h / (j + shift)) from one to the next."""
+        start = F.struct(first.alias("l"), F.exp(first).alias("s"))
+        step = lambda a, j: F.struct((a["l"] + F.log(h) - F.log(j + shift)).alias("l"),
+                                     (a["s"] + F.exp(a["l"] + F.log(h) - F.log(j + shift))).alias("s"))
+        rest = F.when(count > 1, F.sequence(F.lit(1), (count - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(rest, start, step, lambda a: a["s"])
+
+    half = F.lit(0.5) * F.log(F.lit(4.0 / 3.141592653589793)) + F.lit(0.5) * F.log(h) - h  # of exp(-h) h^(1/2) / Gamma(3/2)
+    erf = series(half, F.lit(176), F.lit(0.5))
+    sums = F.when(odd, F.when(dof == 1, F.lit(0.0)).otherwise(series(half, (dof - 1) / 2, F.lit(0.5)))).otherwise(series(-h, dof / 2, F.lit(0.0)))
+    tail = F.when(odd & (h <= 50), F.greatest(F.lit(1.0) - erf, F.lit(0.0))).otherwise(F.lit(0.0)) + sums
+    return F.when((dof < 1) | (x <= 0), F.lit(1.0)).when(x.isNotNull(), F.least(tail, F.lit(1.0)))

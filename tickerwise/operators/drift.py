@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerwise.functions.exprs import erfc_expr, ks_pvalue_expr, safe_div
+from tickerwise.functions.exprs import chi2_tail, erfc_expr, ks_pvalue_expr, safe_div
 from tickerwise.operators.aggregates import unpivot
 from tickerwise.operators.features import temporal_split
 from tickerwise.schema import (
@@ -147,8 +147,7 @@ def target_drift(df: DataFrame, key: str = KEY, target: str = TARGET, p_value: f
 def chi2_drift(df: DataFrame, columns: list[str], key: str = KEY, p_value: float = DRIFT_P_VALUE) -> DataFrame:
     """Chi-square test of category counts, ref vs cur, per (ticker, column).
 
-    p is exact for one degree of freedom (erfc(sqrt(x/2))) and the
-    Wilson-Hilferty normal approximation above.
+    p is the exact chi-square tail for any number of categories (``chi2_tail``).
     """
     long = (df.select(key, "sample", *[F.col(c).cast("string").alias(c) for c in columns])
             .unpivot([key, "sample"], columns, "feature", "category").filter(F.col("category").isNotNull()))
@@ -162,12 +161,7 @@ def chi2_drift(df: DataFrame, columns: list[str], key: str = KEY, p_value: float
     cell = safe_div((F.col("a") - ea) ** 2, ea) + safe_div((F.col("b") - eb) ** 2, eb)
     out = (t.withColumn("cell", cell).groupBy(key, "feature")
            .agg(F.sum("cell").alias("chi2"), (F.count(F.lit(1)) - 1).alias("dof")))
-    k = F.col("dof").cast("double")
-    wh = ((F.col("chi2") / k) ** (1.0 / 3) - (F.lit(1.0) - F.lit(2.0) / (9 * k))) / F.sqrt(F.lit(2.0) / (9 * k))
-    p = (F.when(F.col("dof") < 1, F.lit(1.0))
-         .when(F.col("dof") == 1, erfc_expr(F.sqrt(F.col("chi2") / 2)))
-         .otherwise(F.when(wh >= 0, erfc_expr(wh / F.lit(SQRT2)) / 2)
-                    .otherwise(F.lit(1.0) - erfc_expr(-wh / F.lit(SQRT2)) / 2)))
+    p = chi2_tail(F.col("chi2"), F.col("dof"))
     return out.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < p_value)
 
 

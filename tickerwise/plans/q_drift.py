@@ -124,10 +124,9 @@ t AS (SELECT *, sum(a) OVER (PARTITION BY ticker, feature) AS na, sum(b) OVER (P
 e AS (SELECT *, (a + b) * na / (na + nb) AS ea, (a + b) * nb / (na + nb) AS eb FROM t),
 c AS (SELECT ticker, feature, sum(CASE WHEN ea <> 0 THEN (a - ea) ** 2 / ea END + CASE WHEN eb <> 0 THEN (b - eb) ** 2 / eb END) AS chi2,
   CAST(count(*) - 1 AS BIGINT) AS dof FROM e GROUP BY ticker, feature),
-w AS (SELECT *, ((chi2 / dof) ** (1.0 / 3) - (1.0 - 2.0 / (9 * CAST(dof AS DOUBLE)))) / sqrt(2.0 / (9 * CAST(dof AS DOUBLE))) AS wh FROM c)
-SELECT ticker, feature, round(chi2, 6) AS chi2, dof, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted FROM (
-  SELECT *, CASE WHEN dof < 1 THEN 1.0 WHEN dof = 1 THEN {erfc_sql('sqrt(chi2 / 2)')}
-    WHEN wh >= 0 THEN {erfc_sql(f'wh / {SQ2}')} / 2 ELSE 1.0 - {erfc_sql(f'-wh / {SQ2}')} / 2 END AS p_value FROM w)""")
+w AS (SELECT *, CASE WHEN dof < 1 OR chi2 <= 0 THEN 1.0 WHEN chi2 IS NOT NULL THEN greatest(1.0 - list_sum(list_transform(range(0, CAST(chi2 / 2 + 14 * sqrt(chi2 / 2) + dof + 60 AS BIGINT)),
+    lambda j: exp((dof / 2.0 + j) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0 + j + 1)))), 0.0) END AS p_value FROM c)
+SELECT ticker, feature, round(chi2, 6) AS chi2, dof, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted FROM w""")
 def q_chi2_drift(spark, sf):
     """Chi-square drift of categorical columns (label, weekday)."""
     ds = drift_input(spark, sf).withColumn("dow", F.weekday("Date"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tickerwise.operators import features as feat
@@ -192,3 +194,19 @@ def q_ticker_predictions(spark, sf):
     stats = md.fit_scaler(sp.filter(F.col("split") == "train"), FEATS)
     found = sv.asof_features(entity_requests(spark, sf), view(spark, sf), ttl_days=1)
     return md.score_lookups(found, stats, FEATS, ["request_id", "ticker", "event_timestamp"])
+
+
+WINDOWS = [(dt.datetime(1997, 1, 1), dt.datetime(1997, 4, 30)), (dt.datetime(1997, 3, 1), dt.datetime(1997, 7, 31))]
+
+
+@register("feature_view_materialized", f"""{FV}
+SELECT ticker, event_timestamp, {', '.join(f'round({c}, 6) AS {c}' for c in FEATURE_VIEW_FIELDS)} FROM fv
+WHERE event_timestamp >= TIMESTAMP '1997-01-01' AND event_timestamp < TIMESTAMP '1997-08-01'""", shared=True)
+def q_feature_view_materialized(spark, sf):
+    """Two overlapping windows materialised later one first, the first one again, then read back."""
+    from tickerwise.sources import feature_store as fs
+    from tickerwise.streaming.jobs import run_dir
+    v, path = view(spark, sf), run_dir(spark, "feature-store")
+    for start, end in (WINDOWS[1], WINDOWS[0], WINDOWS[1]):
+        fs.materialize_window(v, path, start, end)
+    return fs.stored_features(spark, path, v).select("ticker", "event_timestamp", *FEATURE_VIEW_FIELDS)
