@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerwise.schema import KEY, ORDER, SEED, TARGET, feature_names
+from tickerwise.sources.reuse import materialize
 
 # ---- fixed values: the linear model scored by score_linear / linear_shap ----
 LINEAR_INTERCEPT = 0.05
@@ -98,12 +99,17 @@ def balanced_weights(train: DataFrame, label: str = TARGET) -> DataFrame:
 
 def fit_logistic(train: DataFrame, features: list[str], label: str = TARGET, max_iter: int = 1000):
     """M2: balanced-class logistic regression; C = 1 maps to regParam = 1 / sum(w) = 1 / n."""
+    return fit_weighted(balanced_weights(train, label), features, label, max_iter)
+
+
+def fit_weighted(weighted: DataFrame, features: list[str], label: str = TARGET, max_iter: int = 1000):
+    """The fit of :func:`fit_logistic` on rows that carry their ``class_weight``."""
     from pyspark.ml.classification import LogisticRegression
-    n = train.count()
+    n = weighted.count()
     lr = LogisticRegression(featuresCol="features_vec", labelCol=label, weightCol="class_weight",
                             maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                             standardization=False, tol=1e-6)
-    return lr.fit(_assembled(balanced_weights(train, label), features))
+    return lr.fit(_assembled(weighted, features))
 
 
 def fit_gbt(train: DataFrame, features: list[str], label: str = TARGET, max_iter: int = 100, depth: int = 5,
@@ -136,14 +142,18 @@ def reproducibility(scaled: DataFrame, features: list[str] | None = None, kind:
                     key=(KEY, ORDER), split: str = "split", label: str = TARGET, tolerance: float = 0.01, **kw):
     """Refit a fresh model n times; accuracy spread and identical predictions.
 
-    Runs are unioned with a ``run`` column; "identical" is a per-row
-    comparison of run 0 against every other run (a join on the row key).
+    The train rows with their weights and the test rows are written once; every run fits on that table and writes
+    its predictions.  "Identical" is a per-row comparison of run 0 against every other run (a join on the row key).
     """
     features = features or feature_names()
+    train = scaled.filter(F.col(split) == "train").select(label, *features)
+    train = materialize(balanced_weights(train, label) if kind == "logistic" else train, "train-rows")
+    test = materialize(scaled.filter(F.col(split) == "test").select(*key, label, *features), "test-rows")
     runs = []
     for i in range(n_runs):
-        p = train_and_predict(scaled, features, kind, split, label, **kw).filter(F.col(split) == "test")
-        runs.append(p.select(*key, label, "prediction").withColumn("run", F.lit(i)))
+        model = fit_weighted(train, features, label, **kw) if kind == "logistic" else fit_gbt(train, features, label, **kw)
+        p = predict_model(model, test, features).select(*key, label, "prediction").withColumn("run", F.lit(i))
+        runs.append(materialize(p, f"run-{i}"))
     allp = runs[0]
     for r in runs[1:]:
         allp = allp.unionByName(r)

@@ -435,16 +435,16 @@ SUMMARY_BANDS = """SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(
   CAST(sum(target) AS BIGINT) AS n_up, true AS labels_valid, true AS probabilities_valid, true AS accuracy_plausible FROM sp GROUP BY split"""
 
 
-def model_summary(pred):
+def model_summary(pred, train_max: float = 0.80):
     """What a fitted model's output must satisfy whatever the optimiser: one row per input row, labels 0 / 1, P(up) in
-    [0, 1] and on the side of the label, pooled accuracy within the plausible bounds (0.40 to 0.80, test 0.75)."""
+    [0, 1] and on the side of the label, pooled accuracy within the plausible bounds (0.40 to ``train_max``, test 0.75)."""
     right = F.avg((F.col("prediction") == F.col("target")).cast("double"))
     side = (F.col("probability") > 0.5) == (F.col("prediction") == 1)
     return pred.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ticker").alias("n_tickers"), F.sum("target").alias("n_up"),
         F.bool_and(F.col("prediction").isin(0, 1)).alias("labels_valid"),
         F.bool_and((F.col("probability") >= 0) & (F.col("probability") <= 1) & (side | (F.abs(F.col("probability") - 0.5) < 1e-9))).alias("probabilities_valid"),
-        right.between(0.40, 0.80).alias("_wide"), right.between(0.40, 0.75).alias("_narrow")).select(
+        right.between(0.40, train_max).alias("_wide"), right.between(0.40, 0.75).alias("_narrow")).select(
             "split", "n_rows", "n_tickers", "n_up", "labels_valid", "probabilities_valid",
             F.when(F.col("split") == "test", F.col("_narrow")).otherwise(F.col("_wide")).alias("accuracy_plausible"))
 
@@ -455,10 +455,14 @@ def q_lr_summary(spark, sf):
     return model_summary(md.train_and_predict(scaled(spark, sf), FEATS, "logistic"))
 
 
-@register("gbt_summary", shared=True)  # no twin: the outcome of a fit is not SQL
+@register("gbt_summary", f"{FEAT_SPLIT} {SUMMARY_BANDS}", shared=True)
 def q_gbt_summary(spark, sf):
-    """M3: the boosted trees' predictions, reported against what should hold of a fit."""
-    return model_summary(md.train_and_predict(scaled(spark, sf), FEATS, "gbt"))
+    """M3: the boosted trees' predictions, checked for what holds of any fit.
+
+    The train bound of 0.80 is a linear model's: a hundred trees of depth five learn a few thousand train rows by heart (accuracy 0.889
+    at sf0.001), so no upper bound is set on their train accuracy; the test bound stays.
+    """
+    return model_summary(md.train_and_predict(scaled(spark, sf), FEATS, "gbt"), train_max=1.0)
 
 
 @register("model_round_trip", f"""{FEAT_SPLIT} SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_diff, 'logistic' AS model_type,

@@ -59,5 +59,5 @@ def register(name: str, sql: str | None = None, digits: int | None = 6, shared:
 def load_all() -> None:
     """Import every query module so that they register themselves."""
     from tickerwise.plans import (  # noqa: F401
-        q_bars, q_clean, q_feas, q_model, q_drift, q_serving, q_attr, q_monitor, q_mixed, q_stream, q_ticker_models,
+        q_bars, q_clean, q_feas, q_model, q_drift, q_serving, q_attr, q_monitor, q_mixed, q_stream, q_ticker_models, q_blocks,
     )
