@@ -8,8 +8,8 @@ its prefix shingles how many candidates it would meet; where that is many, it ta
 pair must share the smaller l of the two before it is verified.
 
 Shape of the job (no step is quadratic in a class of copies, and only texts of likely partners travel):
-1. One pass writes size, 128-bit digest and the shingles that are indexed: everything for small sets, for larger ones a fixed
-   share of the hash space (``TIERS``, in slacks).  Sets just above a tier's limit are in both tiers.  Should a set have
+1. One pass writes size and 128-bit digest, a second sends the shingles that are indexed: everything for small sets, for larger ones a
+   fixed share of the hash space (``TIERS``, in slacks).  Sets just above a tier's limit are in both tiers.  Should a set have
    too few shingles in its share, all sets of its size and the sizes beside it are indexed in full as well.
 2. Shingles held by one class of equal sets only are found in one exchange (``repeats``).  A set with more of them than
    its slack has no partner and is done.
@@ -70,40 +70,50 @@ def _step(n: int, num: int, den: int) -> int:
     return math.floor(math.log(n) / (1.01 * math.log(den / num)))
 
 
-def _profile(shingle: int, num: int, den: int, lower: bool, full: frozenset | None = None):
-    """(doc_id, text) -> size, digest, and per part the indexed shingles; ``full``: only sets of these size steps, in full."""
+def _parts(shingle: int, num: int, den: int, full: frozenset | None):
+    """What of a set is indexed in each part: its shingles, or None; ``full``: only sets of these size steps, in full."""
     tiers = [(lo, TIERS[k + 1][0] if k + 1 < len(TIERS) else None,
               None if share is None else np.uint64(min(2**64 - 1, int(min(1.0, share * (den - num) / den) * 2**64))))
              for k, (lo, share) in enumerate(TIERS)]
 
+    def parts(h: np.ndarray) -> list:
+        n, mine = len(h), [None] * 4
+        if full is None:
+            for k, (lo, above, limit) in enumerate(tiers):
+                if n and lo <= n and (above is None or n * num < above * den):
+                    mine[k] = h if limit is None else h[:np.searchsorted(h, limit, side="right")]
+        elif n and _step(n, num, den) in full:
+            mine[3] = h
+        return mine
+    return parts
+
+
+def _digests(h: np.ndarray) -> tuple[int, int]:
+    return int(mix(h).sum(dtype=np.uint64).view(np.int64)), int(mix(h ^ _SALT).sum(dtype=np.uint64).view(np.int64))
+
+
+def _profile(shingle: int, num: int, den: int, lower: bool, full: frozenset | None = None):
+    """(doc_id, text) -> size, digest and how many shingles each part indexes; the shingles themselves are not kept."""
+    indexed = _parts(shingle, num, den, full)
+
     def run(batches):
         for b in batches:
-            d1, d2, size, short, parts = [], [], [], [], ([], [], [], [])
+            d1, d2, size, short, held = [], [], [], [], ([], [], [], [])
             for c in chunks(b.column(1), "space", lower):
                 for h in _rows(c, shingle):
-                    n = len(h)
-                    d1.append(int(mix(h).sum(dtype=np.uint64).view(np.int64)))
-                    d2.append(int(mix(h ^ _SALT).sum(dtype=np.uint64).view(np.int64)))
+                    n, (x, y), mine = len(h), _digests(h), indexed(h)
+                    d1.append(x)
+                    d2.append(y)
                     size.append(n)
-                    few, mine = False, [None] * 4
-                    if full is None:
-                        for k, (lo, above, limit) in enumerate(tiers):
-                            if n and lo <= n and (above is None or n * num < above * den):
-                                some = h if limit is None else h[:np.searchsorted(h, limit, side="right")]
-                                few |= len(some) < n and len(some) < n - _need(n, num, den) + MAX_MATCH
-                                mine[k] = some.view(np.int64)
-                    elif n and _step(n, num, den) in full:
-                        mine[3] = h.view(np.int64)
-                    short.append(few)
-                    for part, tokens in zip(parts, mine):
-                        part.append(tokens)
-            arrays = [pa.array(p, pa.list_(pa.int64())) for p in parts]
-            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(short, pa.bool_()), *arrays],
-                                  names=["doc_id", "n", "d1", "d2", "short", "t0", "t1", "t2", "t3"])
+                    short.append(any(m is not None and len(m) < n and len(m) < n - _need(n, num, den) + MAX_MATCH for m in mine))
+                    for part, m in zip(held, mine):
+                        part.append(None if m is None else len(m))
+            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(short, pa.bool_()),
+                                   *(pa.array(x, pa.int64()) for x in held)], names=["doc_id", "n", "d1", "d2", "short", "h0", "h1", "h2", "h3"])
     return run
 
 
-PROFILE = "doc_id long, n long, d1 long, d2 long, short boolean, t0 array<long>, t1 array<long>, t2 array<long>, t3 array<long>"
+PROFILE = "doc_id long, n long, d1 long, d2 long, short boolean, h0 long, h1 long, h2 long, h3 long"
 
 
 def _node(d1, part: int):
@@ -111,21 +121,21 @@ def _node(d1, part: int):
     return (d1 & ~np.int64(3)) | np.int64(part)
 
 
-def _index(batches):
-    """(d1, t0..t3) -> rows (shingle of a part, class in that part) for the exchange."""
-    sender = Sender(smaller=False, wide=False)
-    for b in batches:
-        d1 = b.column(0).to_numpy()
-        for part in range(4):
-            lists = b.column(1 + part)
-            held = lists.flatten().to_numpy().view(np.uint64)
-            counts = np.diff(lists.offsets.to_numpy())
-            counts[~lists.is_valid().to_numpy(zero_copy_only=False)] = 0
-            node = _node(np.repeat(d1, counts), part).astype(np.int64)
-            key = mix(held ^ _PARTS[part])
-            for lo in range(0, len(key), 100_000):
-                yield from sender.add(key[lo:lo + 100_000], np.zeros(len(key[lo:lo + 100_000]), np.int64), node[lo:lo + 100_000])
-    yield from sender.flush()
+def _index(shingle: int, num: int, den: int, lower: bool, full: frozenset | None = None):
+    """texts -> rows (shingle of a part, class in that part) for the exchange; no table holds them in between."""
+    indexed = _parts(shingle, num, den, full)
+
+    def run(batches):
+        sender = Sender(smaller=False, wide=False)
+        for b in batches:
+            for c in chunks(b.column(0), "space", lower):
+                for h in _rows(c, shingle):
+                    d1 = np.int64(_digests(h)[0])
+                    for part, held in enumerate(indexed(h)):
+                        if held is not None and len(held):
+                            yield from sender.add(mix(held ^ _PARTS[part]), np.zeros(len(held), np.int64), np.full(len(held), _node(d1, part), np.int64))
+        yield from sender.flush()
+    return run
 
 
 def _postings(sets: list[np.ndarray]):
@@ -180,13 +190,12 @@ def _verify(shingle: int, num: int, den: int, lower: bool):
     return run
 
 
-def _prefixes(profile: DataFrame, num: int, den: int, work: Workspace) -> DataFrame:
-    """Prefix shingles of classes that can have a partner: (node, rep, n, token, holders, pivot, pos)."""
-    sizes = F.array(*[F.struct(F.lit(p).alias("part"), F.size(f"t{p}").alias("held")) for p in range(4)])
-    nodes = (profile.select("doc_id", "n", "d1", F.explode(sizes).alias("p")).where("p.held >= 0")
+def _prefixes(profile: DataFrame, rows: DataFrame, num: int, den: int, work: Workspace) -> DataFrame:
+    """Prefix shingles of classes that can have a partner: (node, rep, n, token, holders, pivot, pos); ``rows``: of ``_index``."""
+    sizes = F.array(*[F.struct(F.lit(p).alias("part"), F.col(f"h{p}").alias("held")) for p in range(4)])
+    nodes = (profile.select("doc_id", "n", "d1", F.explode(sizes).alias("p")).where("p.held is not null")
              .select("doc_id", "n", F.expr("(d1 & ~3L) | p.part").alias("node"), "p.held")
              .groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("held").alias("held")))
-    rows = profile.select("d1", "t0", "t1", "t2", "t3").mapInArrow(_index, schema(wide=False))
     found = repeated(rows, smaller=False, wide=False).select(F.col("doc").alias("node"), F.col("key").alias("token")).distinct()
     found = work.table(found, "repeated")
     seen = found.groupBy("node").agg(F.count("*").alias("seen"))
@@ -266,13 +275,15 @@ def ngram_jaccard(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 1
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = work.table(base.mapInArrow(_profile(shingle, num, den, lower), PROFILE), "profile")
     some = profile.where("doc_id is not null and n > 0")
-    indexed = some
+    texts = base.where("doc_id is not null").select("text")
+    indexed, rows = some, texts.mapInArrow(_index(shingle, num, den, lower), schema(wide=False))
     short = {_step(r["n"], num, den) for r in some.where("short").select("n").distinct().collect()}  # sizes only: as many as the longest text allows
     if short:
         steps = frozenset(s + d for s in short for d in (-1, 0, 1))
-        indexed = some.union(work.table(base.where("doc_id is not null").mapInArrow(_profile(shingle, num, den, lower, steps), PROFILE), "full").where("t3 is not null"))
+        indexed = some.union(work.table(base.where("doc_id is not null").mapInArrow(_profile(shingle, num, den, lower, steps), PROFILE), "full").where("h3 is not null"))
+        rows = rows.union(texts.mapInArrow(_index(shingle, num, den, lower, steps), schema(wide=False)))
     reps = some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    links, classes = _candidate_links(_prefixes(indexed, num, den, work), num, den, work)
+    links, classes = _candidate_links(_prefixes(indexed, rows, num, den, work), num, den, work)
     clumps = connected_components(links, work, "clump").select(F.col("node").alias("rep"), F.col("component").alias("clump"))
     tasks = work.table(_cells(clumps.join(classes, "rep"), num, den), "tasks")
     work.release()
