@@ -62,9 +62,11 @@ def identifiers(docs: DataFrame, size: int = DICTIONARY) -> bytes:
     """The identifiers of all texts that save most (count x length), best last, in at most ``size`` bytes."""
     small_batches(docs.sparkSession)
     counts = docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    best = counts.orderBy(F.desc(F.col("n") * F.length("word")), "word").limit(size // 5).collect()  # an identifier takes five bytes or more
+    best = counts.orderBy(F.desc(F.col("n") * F.length("word")), "word").limit(size // 5)  # an identifier takes five bytes or more
+    # one row to the driver: the best of all tasks meet in a task, not there
+    rows = best.agg(F.collect_list(F.struct("n", "word")).alias("best")).first()["best"]
     words, used = [], 0
-    for r in best:
+    for r in sorted(rows, key=lambda r: (-r["n"] * len(r["word"]), r["word"])):
         used += len(r["word"]) + 1
         if used > size:
             break
