@@ -16,7 +16,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import StructType
 
 from tickerwise.schema import KEY, ORDER
-from tickerwise.streaming.jobs import dir_stream, run_dir, stage, state_in_rocksdb
+from tickerwise.streaming.jobs import dir_stream, run_dir, stage_files, state_in_rocksdb, state_partitions
 from tickerwise.streaming.table import EpochTable
 
 LEAST = -(2**63)  # the rank of a row without a seq: before all others
@@ -82,8 +82,9 @@ def run_dedup(spark: SparkSession, arrivals: DataFrame, path: str, seq: str = "s
     return table.read()
 
 
-def run_stream_dedup(spark: SparkSession, bars: DataFrame, keep: str, files: int | None = None, max_files: int = 4) -> DataFrame:
-    """Stage ``bars`` as files (in no particular order) and deduplicate them as they arrive, ``max_files`` a micro-batch."""
+def run_stream_dedup(spark: SparkSession, bars: DataFrame, keep: str, files: int | None = None, max_files: int | None = None) -> DataFrame:
+    """Stage ``bars`` as files (in no particular order) and deduplicate them as they arrive, ``max_files`` a micro-batch (see :func:`stage_files`)."""
     path = run_dir(spark, f"dedup-{keep}")
-    stage(bars, f"{path}/in", files or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return run_dedup(spark, dir_stream(spark, f"{path}/in", max_files), path, keep=keep)
+    rows, max_files = stage_files(bars, f"{path}/in", files, max_files)
+    with state_partitions(spark, rows):
+        return run_dedup(spark, dir_stream(spark, f"{path}/in", max_files), path, keep=keep)

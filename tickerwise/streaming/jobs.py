@@ -10,6 +10,7 @@ query checkpoint makes a restarted run resume where the lost one stopped.
 from __future__ import annotations
 
 import contextlib
+import math
 import uuid
 
 import pandas as pd
@@ -34,6 +35,13 @@ LATE_POLICY = {
 }
 
 
+# How a staged table is replayed: the number of micro-batches is fixed, and files and state partitions follow the rows, so a run
+# costs what its rows cost, whatever ``spark.sql.shuffle.partitions`` says (each micro-batch has a task and a state store per partition).
+REPLAY_BATCHES = 8
+FILE_ROWS = 100_000
+STATE_ROWS = 20_000
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tickerwise-stream/{name}-{uuid.uuid4().hex[:12]}"
     remove_at_exit(spark, path)
@@ -46,30 +54,45 @@ def stage(df: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
-def stage_in_order(df: DataFrame, path: str, order: str = ORDER, chunks: int = 8, files: int | None = None,
-                   key: str = KEY) -> str:
+def stage_files(df: DataFrame, path: str, files: int | None = None, max_files: int | None = None) -> tuple[int, int]:
+    """Write ``df`` as the file source of a stream that is replayed in :data:`REPLAY_BATCHES` micro-batches.
+
+    Without ``files`` there are as many as the rows need, at least one per micro-batch; without ``max_files`` a micro-batch
+    takes an equal share of them.  Returns the rows and the files per micro-batch.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}-raw")
+    raw = spark.read.schema(df.schema).parquet(f"{path}-raw")
+    rows = raw.count()
+    files = files or max(REPLAY_BATCHES, math.ceil(rows / FILE_ROWS))
+    stage(raw, path, files)
+    return rows, max_files or math.ceil(files / REPLAY_BATCHES)
+
+
+def stage_in_order(df: DataFrame, path: str, order: str = ORDER, chunks: int = REPLAY_BATCHES, files: int | None = None,
+                   key: str = KEY) -> tuple[int, int]:
     """Write ``df`` as ``chunks`` consecutive appends covering equal spans of ``order``.
 
     The file source replays files oldest first, so a stream reading ``path``
     sees the data in time order chunk by chunk.  Inside a chunk the rows are
-    hash-partitioned by ``key`` over ``files`` files (the session's shuffle partitions unless given):
+    hash-partitioned by ``key`` over ``files`` files (unless given, as many as the rows of a chunk need):
     all rows of one ticker in one chunk sit in one file, hence in one
     micro-batch, and never arrive after a later chunk.  The input is computed once, into a
     table partitioned by chunk that the appends read a partition of each.
-    Only the two span bounds reach the driver.
+    Only the two span bounds and the count reach the driver.  Returns the rows and the files per chunk.
     """
     spark = df.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.mode("overwrite").parquet(f"{path}-raw")
     raw = spark.read.schema(df.schema).parquet(f"{path}-raw")
-    lo, hi = raw.agg(F.min(order).cast("date"), F.max(order).cast("date")).first()
+    lo, hi, rows = raw.agg(F.min(order).cast("date"), F.max(order).cast("date"), F.count(F.lit(1))).first()
+    files = files or max(1, math.ceil(rows / chunks / FILE_ROWS))
     span = max((hi - lo).days + 1, 1) if lo is not None else 1
     bucket = F.floor(F.datediff(F.col(order).cast("date"), F.lit(lo)) * F.lit(chunks) / F.lit(span))
     raw.withColumn("_chunk", F.coalesce(bucket, F.lit(0)).cast("int")).write.mode("overwrite").partitionBy("_chunk").parquet(f"{path}-chunks")
     parts = spark.read.parquet(f"{path}-chunks")
     for k in range(chunks):
         parts.filter(F.col("_chunk") == k).select(df.columns).repartition(files, key).write.mode("append").parquet(path)
-    return path
+    return rows, files
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
@@ -101,6 +124,18 @@ def state_in_rocksdb(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, rows: int):
+    """Queries started inside spread their state over partitions of about :data:`STATE_ROWS` rows: one per core at least, the session's at most."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), max(spark.sparkContext.defaultParallelism, math.ceil(rows / STATE_ROWS)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _sink_append(df: DataFrame, path: str) -> DataFrame:
     q = (df.writeStream.outputMode("append").format("parquet").option("path", f"{path}/out")
          .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
