@@ -220,19 +220,20 @@ def run_stream_scores(spark: SparkSession, scaled: DataFrame, features: list[str
 
 # ------------------------------------------------------------------ ST4
 def run_stream_online_snapshot(spark: SparkSession, view: DataFrame, ts: str = "event_timestamp",
-                               max_files: int = 2) -> DataFrame:
+                               max_files: int | None = None) -> DataFrame:
     """ST4: continuously materialized latest row per ticker.
 
     A streaming ``max_by`` aggregation keeps one state row per ticker; each micro-batch publishes the
     tickers it changed (see :func:`_sink_upsert`).
     """
     path = run_dir(spark, "snapshot")
-    stage(view, f"{path}/in", files=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows, max_files = stage_files(view, f"{path}/in", max_files=max_files)
     fields = [c for c in view.columns if c not in (KEY, ts)]
     latest = (dir_stream(spark, f"{path}/in", max_files)
               .groupBy(KEY).agg(F.max_by(F.struct(ts, *fields), F.col(ts)).alias("_r"))
               .select(KEY, "_r.*"))
-    return _sink_upsert(latest, path, [KEY])
+    with state_partitions(spark, rows):
+        return _sink_upsert(latest, path, [KEY])
 
 
 # ------------------------------------------------------------------ ST5 with a watermark on the bar's date
