@@ -257,3 +257,29 @@ def test_ranked_table_keeps_the_best_row_whatever_the_epoch(spark):
     assert sorted(map(tuple, table.read().collect())) == [(1, 9.0), (2, 0.0)]
     with pytest.raises(ValueError):
         EpochTable(spark, "x", schema, ["k"], fanout=1)
+
+
+REPLAYS = {
+    "stream_dedup": (dedup, lambda spark, bars: dedup.run_stream_dedup(spark, bars, "first")),
+    "stream_dedup_last": (dedup, lambda spark, bars: dedup.run_stream_dedup(spark, bars, "last")),
+    "stream_online_snapshot": (jobs, lambda spark, bars: jobs.run_stream_online_snapshot(spark, bars, ts="Date")),
+    "stream_features": (jobs, lambda spark, bars: jobs.run_stream_features(spark, bars)),
+}
+
+
+@pytest.mark.parametrize("name", REPLAYS)
+def test_replay_cost_does_not_follow_the_shuffle_partitions(spark, monkeypatch, tmp_path, name):
+    module, run = REPLAYS[name]
+    monkeypatch.setattr(module, "run_dir", lambda spark, name: f"file://{tmp_path}/{name}")
+    rows = [("T%d" % (i % 9), dt.date(2021, 1, 1) + dt.timedelta(days=i // 9), float(i), i) for i in range(270)]
+    bars, saved = spark.createDataFrame(rows, BAR).repartition(3), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "20")
+        out = run(spark, bars).collect()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    assert len(out) == (9 if name == "stream_online_snapshot" else len(rows))
+    checkpoint = next(tmp_path.glob("*/checkpoint"))
+    assert 1 < len([p for p in (checkpoint / "commits").iterdir() if p.name.isdigit()]) <= jobs.REPLAY_BATCHES + 1
+    assert len([p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]) <= spark.sparkContext.defaultParallelism

@@ -314,16 +314,17 @@ def _rolling_update(key, pdfs, state):
         state.update((last_date, closes, padded_hist, dropped))
 
 
-def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int = 4) -> DataFrame:
+def run_stream_features(spark: SparkSession, bars: DataFrame, max_files: int | None = None) -> DataFrame:
     """ST6: incremental returns / rolling means / rolling volatility per ticker.
 
     Row frames are not allowed on streams, so each ticker keeps its last 21
     closes in state (``applyInPandasWithState``); a micro-batch only carries
-    its own new bars (bounded by ``maxFilesPerTrigger``).
+    its own new bars (``maxFilesPerTrigger``: the files of a chunk of time, unless ``max_files`` says otherwise).
     """
     path = run_dir(spark, "features")
-    stage_in_order(bars.select(KEY, ORDER, "Close"), f"{path}/in")
-    s = dir_stream(spark, f"{path}/in", max_files)
+    rows, files = stage_in_order(bars.select(KEY, ORDER, "Close"), f"{path}/in")
+    s = dir_stream(spark, f"{path}/in", max_files or files)
     out = s.groupBy(KEY).applyInPandasWithState(_rolling_update, FEATURE_OUT, FEATURE_STATE, "append",
                                                 GroupStateTimeout.NoTimeout)
-    return _sink_append(out, path)
+    with state_partitions(spark, rows):
+        return _sink_append(out, path)
