@@ -132,7 +132,13 @@ def predict_model(model, df: DataFrame, features: list[str]) -> DataFrame:
 
 def train_and_predict(scaled: DataFrame, features: list[str] | None = None, kind: str = "logistic",
                       split: str = "split", label: str = TARGET, **kw) -> DataFrame:
+    """M2 - M4: fit on the train rows, predict every row.
+
+    The scaled rows are written once: the fit passes over them several times and the prediction once more, and none of
+    these passes derives them again or takes over the partitions they were derived in.
+    """
     features = features or feature_names()
+    scaled = materialize(scaled, "model-rows")
     train = scaled.filter(F.col(split) == "train")
     model = fit_logistic(train, features, label, **kw) if kind == "logistic" else fit_gbt(train, features, label, **kw)
     return predict_model(model, scaled, features)

@@ -2,16 +2,16 @@
 
 * The offline feature view is a table of (ticker, event_timestamp, fields).
 * The online snapshot is the latest row per ticker inside a window.
-* As-of lookup (J1): each request joins the feature rows of its own ticker
-  whose timestamp lies in (ts - ttl, ts], keeping the latest.  The range is
-  turned into equi-keys by cutting time into buckets of one TTL, so the join
-  is an equi-join on (ticker, bucket) plus a bound check — no ticker-wide
-  many-to-many, and a hot ticker spreads over its buckets.
+* As-of lookup (J1): each request gets the latest feature row of its own ticker
+  whose timestamp lies in (ts - ttl, ts].  The distinct times asked and the
+  feature rows are sorted together inside (ticker, bucket of one TTL) and the
+  latest row is carried along — no request meets more than one row, and a hot
+  ticker spreads over its buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerwise.operators.clean import nan_to_null
@@ -107,26 +107,32 @@ def asof_features(requests: DataFrame, view: DataFrame, ttl_days: float = FEATUR
 
     One row out per row in: a request without a timestamp is asked ``as_of`` (default: now), a
     miss keeps the request with NULL fields and ``found`` = false, a repeated request is answered as often.  ``ttl_days``
-    may be fractional.  The time axis is cut into buckets of one TTL, so the wanted row lies in the request's bucket or
-    the one before: an equi join on (ticker, bucket) with two candidates per request whatever the TTL, and a hot
-    ticker spreads over its buckets.
+    may be fractional.  Each distinct (ticker, time) is answered once and the requests take its answer, so a time that
+    very many ask for costs no more than another.  The time axis is cut into buckets of one TTL: inside a bucket the
+    latest row is carried along the time, before a bucket's first row stands the last one of the bucket before.
+    Every row is sorted once, whatever the TTL, and a hot ticker spreads over its buckets.
     """
     fields = fields or [c for c in view.columns if c not in (key, view_ts)]
     ttl = max(1, round(ttl_days * 86_400_000_000))
     now = F.current_timestamp() if as_of is None else as_of
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     kind = requests.schema[req_ts].dataType
-    asked = (requests.select(request_id, key, F.coalesce(F.col(req_ts), now.cast(kind)).alias("_rts"))
-             .groupBy(request_id, key, "_rts").agg(F.count(F.lit(1)).alias("_times")))
-    bucket = F.floor(F.try_divide(micros(F.col("_rts")), F.lit(ttl)))
-    r = asked.withColumn("_rus", micros(F.col("_rts"))).withColumn("_bucket", F.explode(F.array(bucket, bucket - 1)))
-    v = (view.where(F.col(view_ts).isNotNull())
-         .select(F.col(key).alias("_vkey"), F.col(view_ts).alias("_vts"), *[F.col(c).alias(f"_v_{c}") for c in fields])
-         .withColumn("_vus", micros(F.col("_vts"))).withColumn("_vbucket", F.floor(F.try_divide(F.col("_vus"), F.lit(ttl)))))
-    hit = ((F.col(key) == F.col("_vkey")) & (F.col("_bucket") == F.col("_vbucket"))
-           & (F.col("_vus") <= F.col("_rus")) & (F.col("_vus") > F.col("_rus") - ttl))
-    row = F.struct("_vts", *[f"_v_{c}" for c in fields])
-    best = r.join(v, hit, "left").groupBy(request_id, key, "_rts", "_times").agg(F.max_by(row, F.col("_vus")).alias("_b"))
-    out = best.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    asked = requests.select(request_id, key, F.coalesce(F.col(req_ts), now.cast(kind)).alias("_rts"))
+    bucket = F.floor(F.try_divide(F.col("_us"), F.lit(ttl)))
+    row = F.struct(F.col(view_ts).alias("_vts"), *[F.col(c).alias(f"_v_{c}") for c in fields])
+    rows = (view.where(F.col(view_ts).isNotNull())
+            .select(F.col(key).alias("_key"), micros(F.col(view_ts)).alias("_us"), row.alias("_row")).withColumn("_bucket", bucket))
+    last = rows.groupBy("_key", "_bucket").agg(F.max_by(F.struct("_us", "_row"), "_us").alias("_carried"))
+    carried = last.select("_key", (F.col("_bucket") + 1).alias("_bucket"), F.col("_carried._us").alias("_us"), F.col("_carried._row").alias("_row"))
+    times = (asked.where(F.col(key).isNotNull() & F.col("_rts").isNotNull()).select(F.col(key).alias("_key"), "_rts").distinct()
+             .withColumn("_us", micros(F.col("_rts"))).withColumn("_bucket", bucket))
+    none = lambda df, name: F.lit(None).cast(df.schema[name].dataType).alias(name)
+    cols = ["_key", "_bucket", "_us"]
+    line = (rows.unionByName(carried).select(*cols, F.struct("_us", "_row").alias("_at"), none(times, "_rts"))
+            .unionByName(times.select(*cols, F.lit(None).cast(last.schema["_carried"].dataType).alias("_at"), "_rts")))
+    upto = Window.partitionBy("_key", "_bucket").orderBy("_us", F.col("_rts").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    seen = line.withColumn("_at", F.last("_at", ignorenulls=True).over(upto)).where(F.col("_rts").isNotNull())
+    answers = seen.where(F.col("_at._us") > F.col("_us") - ttl).select("_key", F.col("_rts").alias("_time"), F.col("_at._row").alias("_b"))
+    out = asked.join(answers, (F.col(key) == F.col("_key")) & (F.col("_rts") == F.col("_time")), "left")
     return out.select(request_id, key, F.col("_rts").alias(req_ts), F.col("_b._vts").alias("feature_timestamp"),
                       *[F.col(f"_b._v_{c}").alias(c) for c in fields], F.col("_b._vts").isNotNull().alias("found"))
