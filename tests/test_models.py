@@ -200,3 +200,18 @@ def test_score_requests_paths(spark):
     assert out[2]["status"] == "error" and out[2]["detail"] == "Missing features: b" and out[2]["prediction"] is None
     assert out[3]["status"] == "error" and out[3]["detail"] == "No model for ticker U"
     assert len(out) == 3
+
+
+def test_fit_and_prediction_derive_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tick(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    rows = [("T", i, "train" if i < 80 else "test", i % 2, float(i % 7 + i % 2)) for i in range(100)]
+    df = spark.createDataFrame(rows, "ticker string, n int, split string, target int, x double")
+    once = df.mapInPandas(tick, df.schema)
+    assert md.train_and_predict(once, ["x"], "gbt", max_iter=2).count() == 100
+    assert seen.value == 100

@@ -197,3 +197,37 @@ def test_csv_two_sample_covers_every_ticker(spark):
     got = E.queries()["csv_two_sample"](spark, SF_SMALL).select("sample", "ticker", "n_rows", F.col("volume_sum").alias("v"), F.round("ma_20_sum", 4).alias("m"))
     want, got = sorted(map(tuple, want.collect())), sorted(map(tuple, got.collect()))
     assert got == want and len({r[1] for r in got}) > 1
+
+
+def join_rows(node) -> int:
+    """The most rows that a join of an executed plan gave out."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return join_rows(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return join_rows(node.plan())
+    metric = node.metrics().get("numOutputRows")
+    own = metric.get().value() if "Join" in name and metric.isDefined() else 0
+    children = node.children()
+    return max([own, *(join_rows(children.apply(i)) for i in range(children.size()))])
+
+
+def test_asof_meets_one_row_per_request_at_any_ttl(spark):
+    import random
+    rng, t0 = random.Random(7), dt.datetime(2021, 1, 4)
+    view = [(k, t0 + dt.timedelta(hours=h), float(h)) for k in "AB" for h in range(0, 2400, 5)]
+    reqs = [(i, "A", None) for i in range(2000)] + [(i, None, t0) for i in range(2)]
+    reqs += [(i, rng.choice("ABC"), t0 + dt.timedelta(microseconds=rng.randrange(-10**11, 10**13))) for i in range(300)]
+    v = spark.createDataFrame(view, "ticker string, event_timestamp timestamp_ntz, f double")
+    r = spark.createDataFrame(reqs, "request_id long, ticker string, event_timestamp timestamp_ntz")
+    now = t0 + dt.timedelta(hours=2398)
+    for ttl in (0.1, 1, 90):
+        out = sv.asof_features(r, v, ttl_days=ttl, as_of=F.lit(now))
+        got = sorted(((x["request_id"], x["ticker"], x["event_timestamp"], x["f"]) for x in out.collect()), key=str)
+        want = []
+        for i, k, t in reqs:
+            t = t or now
+            hits = [(s, f) for vk, s, f in view if vk == k and t - dt.timedelta(days=ttl) < s <= t]
+            want.append((i, k, t, max(hits)[1] if hits else None))
+        assert got == sorted(want, key=str)
+        assert join_rows(out._jdf.queryExecution().executedPlan()) == len(reqs)
